@@ -12,13 +12,10 @@ MISSING = "N/A"
 def format_phone(c: Column | str) -> Column:
     """Ten digits as ddd-ddd-dddd, more as +cc-ddd-ddd-dddd, anything else as N/A."""
     digits = F.regexp_replace(as_col(c), "[^0-9]", "")
-    tail = F.concat_ws("-", F.substring(digits, -10, 3), F.substring(digits, -7, 3), F.substring(digits, -4, 4))
-    country = F.concat(F.lit("+"), F.substring(digits, F.lit(1), F.length(digits) - 10), F.lit("-"))
-    return (
-        F.when(F.length(digits) == 10, tail)
-        .when(F.length(digits) > 10, F.concat(country, tail))
-        .otherwise(F.lit(MISSING))
-    )
+    # Each step leaves what an earlier one has formatted alone.
+    long = F.regexp_replace(digits, "^([0-9]+)([0-9]{3})([0-9]{3})([0-9]{4})$", r"+$1-$2-$3-$4")
+    ten = F.regexp_replace(long, "^([0-9]{3})([0-9]{3})([0-9]{4})$", "$1-$2-$3")
+    return F.coalesce(F.regexp_replace(ten, "^[0-9]*$", MISSING), F.lit(MISSING))
 
 
 def join_phone_parts(parts: Column | str) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from parcelflow.functions.text import as_col
+from parcelflow.functions.text import as_col, let
 
 Lexicon = dict[str, list[str]]
 
@@ -88,24 +88,33 @@ def _entries(lexicon: Lexicon) -> Column:
     ])
 
 
-def keyword_hits(lowered: Column | str, lexicon: Lexicon) -> Column:
-    """All lexicon entries found in a lower-cased text, in lexicon order."""
-    text = as_col(lowered)
-    return F.filter(_entries(lexicon), lambda e: text.contains(e["synonym"]))
+def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
+    """All lexicon entries found in a text in any case, in lexicon order."""
+    entries = _entries(lexicon)
+    return let(F.lower(as_col(text)), lambda t: F.filter(entries, lambda e: t.contains(e["synonym"])))
 
 
-def first_keyword(lowered: Column | str, lexicon: Lexicon) -> Column:
-    """The first entry of the lexicon found in a lower-cased text; null without a hit.
+def deciding_rows(lexicon: Lexicon) -> list[tuple[str, str]]:
+    """(keyword, synonym) without synonyms that can never win.
 
-    A chain of branches stops at the first hit. A synonym listed twice can only win once,
-    so later copies are left out.
+    A synonym that contains an earlier one cannot: wherever it occurs, the earlier one does too.
     """
-    text, chain, seen = as_col(lowered), None, set()
+    kept: list[tuple[str, str]] = []
     for _, keyword, _, synonym in lexicon_rows(lexicon):
-        if synonym in seen:
-            continue
-        seen.add(synonym)
-        value = F.struct(F.lit(keyword).alias("keyword"), F.lit(synonym).alias("synonym"))
-        hit = text.contains(synonym)
-        chain = F.when(hit, value) if chain is None else chain.when(hit, value)
-    return chain
+        if not any(earlier in synonym for _, earlier in kept):
+            kept.append((keyword, synonym))
+    return kept
+
+
+def first_keyword(text: Column | str, lexicon: Lexicon) -> Column:
+    """The first lexicon entry found in a text in any case; null without a hit."""
+
+    def chain(t: Column) -> Column:
+        branches = None
+        for keyword, synonym in deciding_rows(lexicon):
+            value = F.struct(F.lit(keyword).alias("keyword"), F.lit(synonym).alias("synonym"))
+            hit = t.contains(synonym)
+            branches = F.when(hit, value) if branches is None else branches.when(hit, value)
+        return branches
+
+    return let(F.lower(as_col(text)), chain)

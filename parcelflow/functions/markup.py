@@ -21,7 +21,9 @@ def first_match(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def _amount(c: Column | str, pattern: str) -> Column:
-    return F.replace(F.regexp_extract(as_col(c), pattern, 1), F.lit(","), F.lit("")).try_cast("int")
+    digits = F.replace(F.regexp_extract(as_col(c), pattern, 1), F.lit(","), F.lit(""))
+    # A failed cast is costly, so an empty text becomes null before it.
+    return F.nullif(digits, F.lit("")).try_cast("int")
 
 
 def labelled_amount(c: Column | str, label: str) -> Column:

@@ -55,27 +55,3 @@ def term_length(price: Column | str, payment: Column | str) -> Column:
     p, m = as_col(price).cast("double"), as_col(payment).cast("double")
     months = F.ceil((p * FINANCED_FROM - p * FINANCED_TO) / m).cast("bigint")
     return F.when(m > 0, F.greatest(F.lit(0).cast("bigint"), months)).otherwise(F.lit(0).cast("bigint"))
-
-
-def offer_metrics(price: Column, rent: Column, insurance: Column, taxes: Column, hoa: Column) -> dict[str, Column]:
-    """The eight derived columns, from decimal inputs. The HOA fee is passed on but not subtracted."""
-    zero = F.lit(0).cast(MONEY_TYPE)
-
-    def if_rented(value: Column) -> Column:
-        return F.when(rent > 0, value).otherwise(zero)
-
-    management = if_rented(share_of(rent, MANAGEMENT_SHARE))
-    capex = if_rented(share_of(rent, CAPEX_SHARE))
-    vacancy = if_rented(share_of(rent, VACANCY_SHARE))
-    fixed = F.lit(FIXED_MONTHLY_COST).cast(MONEY_TYPE)
-    payment = if_rented((rent - (fixed + insurance + taxes + management + capex + vacancy)).cast(MONEY_TYPE))
-    return {
-        "management_fee": management,
-        "capex_fee": capex,
-        "vacancy_fee": vacancy,
-        "monthly_creative_payments": payment,
-        "downpayment": if_rented(share_of(price, DOWNPAYMENT_SHARE)),
-        "cash_offer": share_of(price, CASH_SHARE),
-        "hoa_fee": hoa,
-        "term_length_months": term_length(price, payment),
-    }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -14,6 +15,15 @@ def as_col(x: Column | str) -> Column:
     return x if isinstance(x, Column) else F.col(x)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once per row, however often the body uses it.
+
+    A named column does not do: the optimizer puts its expression back into every branch of a
+    condition, and a filter on the result is pushed below it.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def normalize_key(c: Column | str) -> Column:
     """Letters and digits of any script, lower-cased; null stays null."""
     return F.lower(F.regexp_replace(as_col(c), r"[^\p{L}\p{N}]", ""))
@@ -70,10 +80,14 @@ def contains_any(c: Column | str, terms: list[str]) -> Column:
 
 def keyword_context(c: Column | str, keyword: str, window: int = 30) -> Column:
     """The first hit with up to ``window`` characters on both sides, lower-cased; null without a hit."""
-    text, word = F.lower(as_col(c)), keyword.lower()
-    at = F.locate(word, text)
-    start = F.greatest(F.lit(1), at - window)
-    return F.when(at > 0, F.substring(text, start, at + len(word) + window - start))
+    word = keyword.lower()
+
+    def cut(text: Column) -> Column:
+        at = F.locate(word, text)
+        start = F.greatest(F.lit(1), at - window)
+        return F.when(at > 0, F.substring(text, start, at + len(word) + window - start))
+
+    return let(F.lower(as_col(c)), cut)
 
 
 def _pieces(text: Column, word: str) -> Column:
@@ -91,15 +105,17 @@ def keyword_contexts(c: Column | str, keyword: str, window: int = 30) -> Column:
     ``window`` neighbouring pieces on a side always hold enough text for that side.
     """
     word = keyword.lower()
-    pieces = _pieces(F.lower(as_col(c)), word)
-
-    def context(i: Column) -> Column:
-        first = F.greatest(F.lit(1), i - window)
-        left = F.array_join(F.slice(pieces, first, i - first + 1), word)
-        right = F.array_join(F.slice(pieces, i + 1, F.lit(window + 1)), word)
-        return F.concat(F.right(left, F.lit(window)), F.lit(word), F.left(right, F.lit(window)))
-
-    hits = F.size(pieces) - 1
-    return F.when(hits > 0, F.transform(F.sequence(F.lit(1), hits), context)).otherwise(
-        F.array().cast("array<string>")
-    )
+
+    def contexts(pieces: Column) -> Column:
+        def context(i: Column) -> Column:
+            first = F.greatest(F.lit(1), i - window)
+            left = F.array_join(F.slice(pieces, first, i - first + 1), word)
+            right = F.array_join(F.slice(pieces, i + 1, F.lit(window + 1)), word)
+            return F.concat(F.right(left, F.lit(window)), F.lit(word), F.left(right, F.lit(window)))
+
+        hits = F.size(pieces) - 1
+        return F.when(hits > 0, F.transform(F.sequence(F.lit(1), hits), context)).otherwise(
+            F.array().cast("array<string>")
+        )
+
+    return let(_pieces(F.lower(as_col(c)), word), contexts)

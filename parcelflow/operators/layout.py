@@ -1,0 +1,17 @@
+"""How rows are laid out over tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Give a small scan with heavy work per row up to four times the tasks, at most one per core.
+
+    A large table is read in more splits than there are cores and comes back as it is, without
+    a shuffle. ``keys`` must be near unique, so that rows part evenly and repeatably. Hand in a
+    plain scan: its splits are counted from file sizes, nothing runs.
+    """
+    splits = scan.rdd.getNumPartitions()
+    wanted = min(scan.sparkSession.sparkContext.defaultParallelism, 4 * splits)
+    return scan if splits >= wanted else scan.repartition(wanted, *keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelflow.operators import rollup
-from parcelflow.plans.registry import query, table
+from parcelflow.plans.registry import query, spread_table, table
 from parcelflow.plans.scalars import PHONE_SQL, phone_in_text
 
 
@@ -51,7 +51,7 @@ def contact_rollup_lines(spark, sf_dir):
     UNION ALL SELECT 'users', count(user_id), count(DISTINCT user_id) FROM events
 """)
 def total_and_distinct(spark, sf_dir):
-    phones = rollup.total_and_distinct(table(spark, sf_dir, "documents"), phone_in_text())
+    phones = rollup.total_and_distinct(spread_table(spark, sf_dir, "documents", "doc_id"), phone_in_text())
     users = rollup.total_and_distinct(table(spark, sf_dir, "events"), F.col("user_id"))
     return phones.select(F.lit("phones").alias("counted"), "*").unionByName(users.select(F.lit("users").alias("counted"), "*"))
 
@@ -71,7 +71,7 @@ def conditional_counts(spark, sf_dir):
     FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id
 """)
 def null_profile(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", phone_in_text().alias("phone"))
+    docs = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", phone_in_text().alias("phone"))
     joined = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return rollup.null_profile(joined, ["quality", "toxic", "phone"])
 

@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from parcelflow.functions import money
 from parcelflow.functions.text import normalize_key
 from parcelflow.operators import dedup, documents, enrich
+from parcelflow.operators.metrics import add_offer_metrics
 from parcelflow.plans.enrichment import INDEX_SQL, PROVIDER_FIELDS, index
 from parcelflow.plans.registry import query, table
 
 
 def run_cycle(listings: DataFrame, provider: DataFrame, provider_columns: list[str]) -> DataFrame:
-    """Listings with (agent, county, address, price, rent, insurance, taxes, hoa, seen_at, seq).
+    """Listings with (agent, county, address, price, rent, insurance, property_taxes, hoa_fee,
+    seen_at, seq).
 
     Keeps the newest row per (agent, county, address key), caps each agent, and only then
     joins the provider and computes metrics: both work row by row, so the cap may come first
@@ -25,8 +27,7 @@ def run_cycle(listings: DataFrame, provider: DataFrame, provider_columns: list[s
     arrival = [F.asc("seen_at"), F.asc("seq"), F.desc("county"), F.desc("addr_key")]
     labelled = documents.label_capped(capped, "agent", arrival)
     joined = enrich.enrich(labelled, provider, provider_columns)
-    metrics = money.offer_metrics(*[F.col(c) for c in ("price", "rent", "insurance", "taxes", "hoa")])
-    return joined.withColumns(metrics)
+    return add_offer_metrics(joined)
 
 
 CYCLE_SQL = f"""
@@ -76,7 +77,7 @@ def cycle_listings(spark, sf_dir) -> DataFrame:
             money.money("l_quantity").alias("q"),
         ).alias("seq"),
         price.alias("price"), money.share_of(price, "0.08").alias("rent"),
-        money.money("l_quantity").alias("insurance"), zero.alias("taxes"), zero.alias("hoa"),
+        money.money("l_quantity").alias("insurance"), zero.alias("property_taxes"), zero.alias("hoa_fee"),
     )
 
 

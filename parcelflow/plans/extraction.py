@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelflow.functions import lexicon, markup, text
-from parcelflow.plans.registry import query, table
+from parcelflow.plans.registry import query, spread_table, table
 
 # The listing lexicon, led by words that occur in the test texts.
 TEXT_LEXICON: lexicon.Lexicon = {
@@ -25,8 +25,8 @@ def _lexicon_values(lex: lexicon.Lexicon) -> str:
 LEXICON_SQL = f"lex(priority, keyword, synonym_pos, synonym) AS (VALUES {_lexicon_values(TEXT_LEXICON)})"
 
 
-def lowered(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t"))
+def texts(spark, sf_dir):
+    return spread_table(spark, sf_dir, "documents", "doc_id")
 
 
 @query("keyword_theta_join", f"""
@@ -36,7 +36,7 @@ def lowered(spark, sf_dir):
 """)
 def keyword_theta_join(spark, sf_dir):
     """All (text, synonym) hits. The lexicon is part of the expression; only hits become rows."""
-    hits = lowered(spark, sf_dir).select("doc_id", F.explode(lexicon.keyword_hits("t", TEXT_LEXICON)).alias("h"))
+    hits = texts(spark, sf_dir).select("doc_id", F.explode(lexicon.keyword_hits("text", TEXT_LEXICON)).alias("h"))
     return hits.select("doc_id", "h.priority", "h.keyword", "h.synonym_pos", "h.synonym")
 
 
@@ -48,7 +48,7 @@ def keyword_theta_join(spark, sf_dir):
     SELECT doc_id, keyword, synonym FROM ranked WHERE rn = 1
 """)
 def first_keyword_match(spark, sf_dir):
-    found = lowered(spark, sf_dir).select("doc_id", lexicon.first_keyword("t", TEXT_LEXICON).alias("m"))
+    found = texts(spark, sf_dir).select("doc_id", lexicon.first_keyword("text", TEXT_LEXICON).alias("m"))
     return found.filter("m IS NOT NULL").select("doc_id", "m.keyword", "m.synonym")
 
 
@@ -57,7 +57,7 @@ def first_keyword_match(spark, sf_dir):
     SELECT doc_id, substr(t, greatest(1, p - 30), p + 4 + 30 - greatest(1, p - 30)) AS context FROM x WHERE p > 0
 """)
 def keyword_context(spark, sf_dir):
-    found = table(spark, sf_dir, "documents").select("doc_id", text.keyword_context("text", "Free").alias("context"))
+    found = texts(spark, sf_dir).select("doc_id", text.keyword_context("text", "Free").alias("context"))
     return found.filter("context IS NOT NULL")
 
 
@@ -70,7 +70,7 @@ def keyword_context(spark, sf_dir):
     FROM hits
 """)
 def keyword_occurrences(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir).select(
         "doc_id", text.keyword_count("text", "free").alias("occurrences"),
         F.posexplode(text.keyword_contexts("text", "free")).alias("hit", "context"),
     )
@@ -107,8 +107,8 @@ def extract_labelled_amounts(spark, sf_dir):
         F.lit(" Est. $1,"), F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lit(" per month"),
     )
     ids = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    texts = table(spark, sf_dir, "lineitem").select(*ids, rendered.alias("t"))
-    return texts.select(
+    lines = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
+    return lines.select(*ids, rendered.alias("t")).select(
         *ids,
         *[markup.labelled_amount("t", label).alias(label.lower().replace(" ", "_")) for label in markup.COST_LABELS],
         markup.rent_amount("t").alias("rent"),
@@ -119,7 +119,7 @@ def extract_labelled_amounts(spark, sf_dir):
     SELECT page_id, regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1) AS host FROM pages
 """)
 def url_host(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", markup.url_host("url").alias("host"))
+    return spread_table(spark, sf_dir, "pages", "page_id").select("page_id", markup.url_host("url").alias("host"))
 
 
 @query("extract_links", r"""
@@ -127,7 +127,7 @@ def url_host(spark, sf_dir):
     SELECT page_id, CAST(i - 1 AS BIGINT) AS pos, a[i] AS href FROM (SELECT page_id, a, unnest(range(1, len(a) + 1)) AS i FROM x)
 """)
 def extract_links(spark, sf_dir):
-    found = table(spark, sf_dir, "pages").select("page_id", F.posexplode(markup.links("html")).alias("pos", "href"))
+    found = spread_table(spark, sf_dir, "pages", "page_id").select("page_id", F.posexplode(markup.links("html")).alias("pos", "href"))
     return found.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
 
 
@@ -137,7 +137,7 @@ def extract_links(spark, sf_dir):
     FROM pages
 """)
 def extract_tag_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages", "page_id").select(
         "page_id", markup.tag_text("html", "title").alias("title"), markup.tag_text("html", "h1").alias("heading")
     )
 
@@ -150,4 +150,4 @@ def extract_tag_text(spark, sf_dir):
 """)
 def extract_with_fallback(spark, sf_dir):
     strategies = [markup.tag_text("html", tag) for tag in ("h2", "strong", "h1")]
-    return table(spark, sf_dir, "pages").select("page_id", markup.first_of(*strategies).alias("value"))
+    return spread_table(spark, sf_dir, "pages", "page_id").select("page_id", markup.first_of(*strategies).alias("value"))

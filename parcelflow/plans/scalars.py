@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import contact, locality, logs, markup, money, text
 from parcelflow.operators.dedup import project_to_schema
-from parcelflow.plans.registry import query, table
+from parcelflow.operators.metrics import add_offer_metrics
+from parcelflow.plans.registry import query, spread_table, table
+from parcelflow.schemas import METRIC_COLUMNS
 
 PHONE_SQL = r"""
     nullif(regexp_extract(text, '(\+[0-9]{1,3} )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}', 0), '')
@@ -23,7 +25,7 @@ def phone_in_text():
     SELECT doc_id, md5(lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g'))) AS key_md5 FROM documents
 """)
 def normalize_key(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalize_key("text")).alias("key_md5"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", F.md5(text.normalize_key("text")).alias("key_md5"))
 
 
 @query("sanitize_identifier", r"""
@@ -104,7 +106,7 @@ FORMAT_PHONE_SQL = """
     SELECT kind, id, {FORMAT_PHONE_SQL} AS phone FROM phones
 """)
 def format_phone(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread_table(spark, sf_dir, "documents", "doc_id").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), contact.format_phone(phone_in_text()).alias("phone")
     )
     customers = table(spark, sf_dir, "customer").select(
@@ -319,14 +321,15 @@ def elapsed_between_events(spark, sf_dir):
 def offer_metrics(spark, sf_dir):
     price = money.money("l_extendedprice")
     rent = F.when(F.col("l_returnflag") == "R", F.lit(0).cast(money.MONEY_TYPE)).otherwise(money.share_of(price, "0.08"))
-    metrics = money.offer_metrics(
-        F.col("price"), F.col("rent"), money.money("l_quantity"), money.money(F.col("l_linenumber") * 10),
-        money.money("l_suppkey"),
+    ids = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    listings = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey").select(
+        *ids, price.alias("price"), rent.alias("rent"), money.money("l_quantity").alias("insurance"),
+        money.money(F.col("l_linenumber") * 10).alias("property_taxes"), money.money("l_suppkey").alias("hoa_fee"),
     )
-    base = table(spark, sf_dir, "lineitem").withColumn("price", price).withColumn("rent", rent)
-    return base.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        *[(c if n == "term_length_months" else c.cast("double")).alias(n) for n, c in metrics.items()],
+    priced = add_offer_metrics(listings)
+    return priced.select(
+        *ids, *[F.col(c).cast("double").alias(c) for c in METRIC_COLUMNS if c != "term_length_months"],
+        "term_length_months",
     )
 
 
@@ -362,7 +365,7 @@ def project_to_declared(spark, sf_dir):
     SELECT doc_id FROM documents WHERE regexp_matches(text, '[0-9]') AND NOT contains(lower(text), 'license')
 """)
 def filter_valid_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").filter(contact.valid_address("text", "license")).select("doc_id")
+    return spread_table(spark, sf_dir, "documents", "doc_id").filter(contact.valid_address("text", "license")).select("doc_id")
 
 
 @query("filter_url_blocklist", "SELECT page_id, url FROM pages WHERE NOT contains(lower(url), 'page=')")
@@ -376,7 +379,7 @@ def filter_url_blocklist(spark, sf_dir):
     SELECT doc_id, phone FROM f WHERE phone IS NOT NULL AND phone <> 'N/A'
 """)
 def filter_has_contact(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
+    docs = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
     return docs.filter(contact.has_contact("phone"))
 
 
@@ -410,7 +413,7 @@ def lookup_contains(spark, sf_dir):
 """)
 def filter_exclude_any(spark, sf_dir):
     noise = logs.is_noise("text", ["license", "free", "555-", "$$$", "http://", "|"])
-    return table(spark, sf_dir, "documents").filter(~noise).select("doc_id")
+    return spread_table(spark, sf_dir, "documents", "doc_id").filter(~noise).select("doc_id")
 
 
 @query("filter_level_below", """
@@ -432,7 +435,7 @@ def filter_level_below(spark, sf_dir):
     FROM f
 """)
 def flag_missing_contact(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
+    docs = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
     return docs.select(
         "doc_id", (~contact.has_contact("phone")).alias("expired"),
         contact.contact_or_placeholder("phone", "doc_id").alias("email"),
