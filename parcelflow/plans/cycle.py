@@ -9,7 +9,7 @@ from parcelflow.functions.text import normalize_key
 from parcelflow.operators import dedup, documents, enrich
 from parcelflow.operators.metrics import add_offer_metrics
 from parcelflow.plans.enrichment import INDEX_SQL, PROVIDER_FIELDS, index
-from parcelflow.plans.registry import query, table
+from parcelflow.plans.registry import query, spread_table, table
 
 
 def run_cycle(listings: DataFrame, provider: DataFrame, provider_columns: list[str]) -> DataFrame:
@@ -66,7 +66,7 @@ CYCLE_SQL = f"""
 
 def cycle_listings(spark, sf_dir) -> DataFrame:
     """Line items as listings: the supplier is the agent, the part gives county and address."""
-    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    line, part = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey"), table(spark, sf_dir, "part")
     price, zero = money.money("l_extendedprice"), F.lit(0).cast(money.MONEY_TYPE)
     return line.join(part, line.l_partkey == part.p_partkey).select(
         F.col("l_suppkey").alias("agent"), F.col("p_brand").alias("county"),
