@@ -78,8 +78,8 @@ def scan_kv_records(spark: SparkSession, path: str, fields: list[str], separator
 
     Without ``separator`` a record is a file of its own; with it, large files hold many records.
     """
-    reader = spark.read.option("wholetext", True) if separator is None else spark.read.option("lineSep", separator)
-    kept = reader.text(path).filter(F.trim("value") != "").select(
+    records = spark.read.text(path, wholetext=separator is None, lineSep=separator)
+    kept = records.filter(F.trim("value") != "").select(
         kv_entries("value").alias("_e"), kv_bad_lines("value").alias("bad_lines")
     )
     return kept.select(*[kv_value("_e", f).alias(f) for f in fields], "bad_lines")
@@ -95,7 +95,7 @@ def scan_documents_json(
     """
     flat = T.StructType([T.StructField("agent", T.StringType()), T.StructField("label", T.StringType()), *record.fields])
     try:
-        text = spark.read.option("wholetext", whole_file).text(path)
+        text = spark.read.text(path, wholetext=whole_file)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -134,7 +134,7 @@ def scan_lexicon(spark: SparkSession, path: str, section: str = "keywords") -> D
     """(priority, keyword, synonym_pos, synonym) of a JSON configuration, positions from 0."""
     kind = T.StructType([T.StructField(section, T.MapType(T.StringType(), T.ArrayType(T.StringType())))])
     return (
-        spark.read.option("wholetext", True).text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.posexplode(F.from_json("value", kind)[section]).alias("priority", "keyword", "_s"))
         .select("priority", "keyword", F.posexplode("_s").alias("synonym_pos", "synonym"))
     )

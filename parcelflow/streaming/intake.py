@@ -41,14 +41,29 @@ def append_files(stream: DataFrame, out: str) -> DataStreamWriter:
     return stream.writeStream.format("parquet").outputMode("append").option("path", out)
 
 
-def drop_seen(stream: DataFrame, keys: list[str], ts: str | None = None, within: str | None = None) -> DataFrame:
+def drop_seen(
+    stream: DataFrame, keys: list[str], ts: str | None = None, within: str | None = None, salts: int = 16
+) -> DataFrame:
     """Rows whose key has not been seen before.
 
     With ``ts`` and ``within`` the state forgets keys older than the watermark and stays bounded.
+
+    A streaming dedup does not combine before its shuffle. So it runs twice: first per key and
+    salt, which parts the rows of a hot key over ``salts`` tasks, then per key on the few rows
+    that are left. The salt is the number of the reading task, so equal copies part as well;
+    whichever row comes through, the second step lets one pass. ``salts=1`` leaves out the first.
     """
-    if ts is None:
-        return stream.dropDuplicates(keys)
-    return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
+    columns = stream.columns
+    if ts is not None:
+        # A watermark wants an instant, not a local time.
+        stream = stream.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", within)
+
+    def once(rows: DataFrame, by: list[str]) -> DataFrame:
+        return rows.dropDuplicates(by) if ts is None else rows.dropDuplicatesWithinWatermark(by)
+
+    if salts > 1:
+        stream = once(stream.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts))), [*keys, "_salt"])
+    return once(stream, keys).select(*columns)
 
 
 def running_counts(stream: DataFrame, key: str, out: str) -> DataStreamWriter:
