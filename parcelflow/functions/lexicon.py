@@ -78,20 +78,40 @@ def lexicon_rows(lexicon: Lexicon) -> list[tuple[int, str, int, str]]:
     ]
 
 
-def _entries(lexicon: Lexicon) -> Column:
-    return F.array(*[
-        F.struct(
-            F.lit(i).alias("priority"), F.lit(keyword).alias("keyword"),
-            F.lit(j).alias("synonym_pos"), F.lit(synonym).alias("synonym"),
-        )
-        for i, keyword, j, synonym in lexicon_rows(lexicon)
-    ])
+def _entry(priority: int, keyword: str, position: int, synonym: str) -> Column:
+    return F.struct(
+        F.lit(priority).alias("priority"), F.lit(position).alias("synonym_pos"),
+        F.lit(keyword).alias("keyword"), F.lit(synonym).alias("synonym"),
+    )
+
+
+def synonym_families(lexicon: Lexicon) -> dict[str, list[tuple[int, str, int, str]]]:
+    """Lexicon rows by a shortest synonym that each contains: no row can occur without it."""
+    rows = lexicon_rows(lexicon)
+    synonyms = {synonym for *_, synonym in rows}
+    roots = sorted(s for s in synonyms if not any(o != s and o in s for o in synonyms))
+    families: dict[str, list[tuple[int, str, int, str]]] = {root: [] for root in roots}
+    for row in rows:
+        families[next(root for root in roots if root in row[3])].append(row)
+    return families
 
 
 def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
-    """All lexicon entries found in a text in any case, in lexicon order."""
-    entries = _entries(lexicon)
-    return let(F.lower(as_col(text)), lambda t: F.filter(entries, lambda e: t.contains(e["synonym"])))
+    """All lexicon entries found in a text in any case, in lexicon order.
+
+    The text is searched for the root of each family, and for the rest of a family only if
+    its root is there.
+    """
+    families = F.array(*[
+        F.struct(F.lit(root).alias("root"), F.array(*[_entry(*row) for row in rows]).alias("entries"))
+        for root, rows in synonym_families(lexicon).items()
+    ])
+
+    def search(t: Column) -> Column:
+        present = F.filter(families, lambda f: t.contains(f["root"]))
+        return F.flatten(F.transform(present, lambda f: F.filter(f["entries"], lambda e: t.contains(e["synonym"]))))
+
+    return F.array_sort(let(F.lower(as_col(text)), search))
 
 
 def deciding_rows(lexicon: Lexicon) -> list[tuple[str, str]]:

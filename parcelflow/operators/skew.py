@@ -1,8 +1,8 @@
 """Ordered running totals that survive a hot key.
 
 A window over ``partitionBy(key)`` sorts all rows of a key in one task. Here a key that
-holds more than ``HEAVY_SHARE`` of the rows is cut along its leading order column into
-slices, each slice is totalled on its own, and the totals before a slice are added.
+holds more than ``HEAVY_SHARE`` of the rows is cut along its order into slices, each slice
+is totalled on its own, and the totals before a slice are added.
 
 Both broadcast tables have a size that does not depend on the data: at most
 ``1 / HEAVY_SHARE`` keys are heavy, and all slices together number at most
@@ -21,19 +21,56 @@ MIN_HEAVY_ROWS = 100_000
 MIN_SLICE_ROWS = 20_000
 
 
-def _rank_number(df: DataFrame, name: str) -> Column:
-    """The leading order column as a whole number that grows with it (nulls first)."""
+def _whole_number(df: DataFrame, name: str) -> Column | None:
+    """A column as a whole number that never falls while the column rises; None for other types."""
     kind = df.schema[name].dataType.typeName()
     c = F.col(name)
     if kind in ("timestamp", "timestamp_ntz", "date"):
         at = c.cast("timestamp_ntz")
-        number = F.unix_date(at.cast("date")).cast("bigint") * 86400 + F.hour(at) * 3600 + F.minute(at) * 60
-        number = number + F.second(at)
-    elif kind in ("long", "integer", "short", "byte"):
-        number = c.cast("bigint")
-    else:
-        raise ValueError(f"lead the order with a whole number, a date or a time, not {name}: {kind}")
-    return number
+        days = F.unix_date(at.cast("date")).cast("bigint")
+        return days * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    if kind in ("long", "integer", "short", "byte"):
+        return c.cast("bigint")
+    return None
+
+
+def _with_positions(df: DataFrame, order: list[str], value: Column | None) -> DataFrame:
+    """``df`` plus the value to add up and the first two order columns as whole numbers."""
+    lead = _whole_number(df, order[0])
+    if lead is None:
+        raise ValueError(f"lead the order with a whole number, a date or a time, not {order[0]}")
+    follow = _whole_number(df, order[1]) if len(order) > 1 else None
+    return df.withColumns({
+        "_v": (F.lit(1) if value is None else value).cast("bigint"),
+        "_lead": lead,
+        "_next": F.lit(0).cast("bigint") if follow is None else follow,
+    })
+
+
+def _bounds() -> list[Column]:
+    return [F.min("_lead").alias("_lo"), F.max("_lead").alias("_hi"),
+            F.min("_next").alias("_lo2"), F.max("_next").alias("_hi2"), F.count(F.lit(1)).alias("_n")]
+
+
+def _slice(lo: Column, hi: Column, lo2: Column, hi2: Column, slices: Column) -> Column:
+    """The slice of a row: equal widths over the pair (lead, next), nulls first.
+
+    The second number is the fraction between two values of the first, so rows that tie on the
+    first part as well. The result never falls along the order, which is all that is needed.
+    """
+
+    def place(c: str, low: Column) -> Column:
+        return F.coalesce(F.col(c) - low + 1, F.lit(0))
+
+    def width(low: Column, high: Column) -> Column:
+        return F.coalesce(high - low, F.lit(0)) + 2
+
+    share = (place("_lead", lo) + place("_next", lo2) / width(lo2, hi2)) / width(lo, hi)
+    return F.least(slices - 1, F.floor(share * slices)).cast("int")
+
+
+def _slices(n: Column, rows: Column, min_slice_rows: int) -> Column:
+    return F.ceil(n / F.greatest(rows * SLICE_SHARE, F.lit(min_slice_rows))).cast("bigint")
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -52,37 +89,25 @@ def running_total(
     """``df`` plus ``out``: the sum of ``value`` up to and with this row, per key in ``order``.
 
     ``value`` defaults to 1, which makes ``out`` a row number. ``order`` must be total and
-    ascending, and its first column a whole number, a date or a time. ``df`` is evaluated
-    three times; hand in a stored table, not a long plan.
+    ascending, and its first column a whole number, a date or a time; so should be the second
+    where many rows of a key tie on the first. ``df`` is evaluated three times; hand in a stored
+    table, not a long plan.
     """
     if not keys:
         return _running_total_global(df, order, out, value, min_slice_rows)
-    value = F.lit(1) if value is None else value
-    work = df.withColumn("_v", value.cast("bigint")).withColumn("_lead", _rank_number(df, order[0]))
-    lead, v = F.col("_lead"), F.col("_v")
-
+    work = _with_positions(df, order, value)
     rows = df.agg(F.count(F.lit(1))).scalar()
     heavy = (
         work.groupBy(*[F.col(k).alias(f"_h_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_lead").alias("_lo"), F.max("_lead").alias("_hi"))
+        .agg(*_bounds())
         .withColumn("_rows", rows)
         .filter(F.col("_n") > F.greatest(F.col("_rows") * HEAVY_SHARE, F.lit(min_heavy_rows)))
-        .withColumn(
-            "_slices",
-            F.ceil(F.col("_n") / F.greatest(F.col("_rows") * SLICE_SHARE, F.lit(min_slice_rows))).cast("bigint"),
-        )
-        .select(*[f"_h_{k}" for k in keys], "_lo", "_hi", "_slices")
+        .withColumn("_slices", _slices(F.col("_n"), F.col("_rows"), min_slice_rows))
+        .drop("_n", "_rows")
     )
-    share = (lead - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    sliced = (
-        work.join(F.broadcast(heavy), _same(work, heavy, [(k, f"_h_{k}") for k in keys]), "left")
-        .withColumn(
-            "_slice",
-            F.when(F.col("_slices").isNull(), F.lit(-1))
-            .when(lead.isNull(), F.lit(-1))
-            .otherwise(F.floor(share * F.col("_slices")))
-            .cast("int"),
-        )
+    cut = _slice(F.col("_lo"), F.col("_hi"), F.col("_lo2"), F.col("_hi2"), F.col("_slices"))
+    sliced = work.join(F.broadcast(heavy), _same(work, heavy, [(k, f"_h_{k}") for k in keys]), "left").withColumn(
+        "_slice", F.when(F.col("_slices").isNotNull(), cut).otherwise(F.lit(-1))
     )
     per_slice = (
         sliced.filter(F.col("_slices").isNotNull())
@@ -99,7 +124,7 @@ def running_total(
         "left",
     )
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return placed.withColumn(out, F.sum(v).over(inside) + F.coalesce(F.col("_before"), F.lit(0))).select(
+    return placed.withColumn(out, F.sum("_v").over(inside) + F.coalesce(F.col("_before"), F.lit(0))).select(
         *df.columns, out
     )
 
@@ -108,15 +133,10 @@ def _running_total_global(
     df: DataFrame, order: list[str], out: str, value: Column | None, min_slice_rows: int
 ) -> DataFrame:
     """One order over the whole table: every row belongs to a slice of the leading column."""
-    value = F.lit(1) if value is None else value
-    work = df.withColumn("_v", value.cast("bigint")).withColumn("_lead", _rank_number(df, order[0]))
-    span = work.agg(
-        F.struct(F.min("_lead").alias("lo"), F.max("_lead").alias("hi"), F.count(F.lit(1)).alias("n"))
-    ).scalar()
-    lo, hi, n = span.getField("lo"), span.getField("hi"), span.getField("n")
-    slices = F.ceil(n / F.greatest(n * SLICE_SHARE, F.lit(min_slice_rows))).cast("bigint")
-    share = (F.col("_lead") - lo) / (hi - lo + 1)
-    sliced = work.withColumn("_slice", F.coalesce(F.floor(share * slices).cast("int"), F.lit(-1)))
+    work = _with_positions(df, order, value)
+    span = work.agg(F.struct(*_bounds())).scalar()
+    lo, hi, lo2, hi2, n = (span.getField(f) for f in ("_lo", "_hi", "_lo2", "_hi2", "_n"))
+    sliced = work.withColumn("_slice", _slice(lo, hi, lo2, hi2, _slices(n, n, min_slice_rows)))
     # At most 1 / SLICE_SHARE rows, so one task may add them up.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

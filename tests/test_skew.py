@@ -89,3 +89,55 @@ def test_long_groups_go_on_in_parts(spark):
     }
     wide = rollup.contact_rollup(df, ["k"], F.col("t").cast("string"), ["t"], width=10).collect()
     assert sum(r.addresses for r in wide) == 26 and len(wide) == 4
+
+
+@pytest.mark.parametrize("order", [["same", "id"], ["none", "id"], ["few", "id"]])
+def test_ties_on_the_leading_column_are_cut_too(spark, order):
+    df = spark.range(2000).select(
+        F.lit(1).alias("k"), F.lit(5).alias("same"), F.lit(None).cast("int").alias("none"),
+        (F.col("id") % 3).alias("few"), (F.col("id") * 7919 % 2003).alias("id"),
+    )
+    out = skew.row_number(df, ["k"], order, **SMALL)
+    lead = order[0]
+    want = sorted(df.select(lead, "id").collect(), key=lambda r: (r[0] or 0, r[1]))
+    assert {(r[lead], r["id"]): r.rn for r in out.collect()} == {tuple(r): n for n, r in enumerate(want, 1)}
+    work = skew._with_positions(df, order, None)
+    b = work.agg(*skew._bounds()).first()
+    args = [F.lit(v).cast("bigint") for v in (b["_lo"], b["_hi"], b["_lo2"], b["_hi2"])]
+    sizes = work.groupBy(skew._slice(*args, F.lit(40).cast("bigint")).alias("s")).count().collect()
+    assert len(sizes) >= 15 and max(r["count"] for r in sizes) <= 2000 / 10
+
+
+def test_hot_listing_key_is_split_at_run_time(spark):
+    """A key with a third of the listings, and as many without a county: the join splits both."""
+    from parcelflow.operators import enrich
+
+    listings = spark.range(300_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 1, None).otherwise("Lake").alias("county"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.md5(F.col("id").cast("string"))).alias("addr_key"),
+    )
+    index = spark.range(1000).select(
+        F.lit("Lake").alias("county"), F.when(F.col("id") == 0, "hot").otherwise(F.md5(F.col("id").cast("string"))).alias("addr_key"),
+        F.col("id").alias("beds"),
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = enrich.enrich(listings.repartition(16, "id"), index, ["beds"])
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(rows) == 300_000
+    assert sum(r.matched for r in rows if r.addr_key == "hot") == 100_000
+    assert "skew=true" in plan
