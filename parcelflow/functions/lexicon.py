@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from parcelflow.functions.text import as_col, let
+from parcelflow.functions.text import as_col, contains_any, let
 
 Lexicon = dict[str, list[str]]
 
@@ -126,15 +126,41 @@ def deciding_rows(lexicon: Lexicon) -> list[tuple[str, str]]:
     return kept
 
 
+def _first_entry(lowered: Column, lexicon: Lexicon) -> Column:
+    branches = None
+    for keyword, synonym in deciding_rows(lexicon):
+        value = F.struct(F.lit(keyword).alias("keyword"), F.lit(synonym).alias("synonym"))
+        hit = lowered.contains(synonym)
+        branches = F.when(hit, value) if branches is None else branches.when(hit, value)
+    return branches
+
+
 def first_keyword(text: Column | str, lexicon: Lexicon) -> Column:
     """The first lexicon entry found in a text in any case; null without a hit."""
+    return let(F.lower(as_col(text)), lambda t: _first_entry(t, lexicon))
+
+
+def motivated_status(text: Column | str, lexicon: Lexicon = LISTING_LEXICON, window: int = 30) -> Column:
+    """Struct of motivated, keyword, synonym and the context of the synonym's first occurrence."""
+
+    def describe(t: Column) -> Column:
+        def with_context(entry: Column) -> Column:
+            synonym = entry["synonym"]
+            at = F.position(synonym, t)
+            start = F.greatest(F.lit(1), at - window)
+            return F.struct(
+                entry.isNotNull().alias("motivated"), entry["keyword"].alias("keyword"), synonym.alias("synonym"),
+                F.substring(t, start, at + F.length(synonym) + window - start).alias("context"),
+            )
 
-    def chain(t: Column) -> Column:
-        branches = None
-        for keyword, synonym in deciding_rows(lexicon):
-            value = F.struct(F.lit(keyword).alias("keyword"), F.lit(synonym).alias("synonym"))
-            hit = t.contains(synonym)
-            branches = F.when(hit, value) if branches is None else branches.when(hit, value)
-        return branches
+        return let(_first_entry(t, lexicon), with_context)
 
-    return let(F.lower(as_col(text)), chain)
+    return let(F.lower(as_col(text)), describe)
+
+
+def plain_context(context: Column | str, phrases: list[str] | None = None) -> Column:
+    """Whether a context is free of negating and worthless phrases, found as parts of the text.
+
+    An optional filter: by default no hit is dropped for its context.
+    """
+    return ~contains_any(F.lower(as_col(context)), FALSE_POSITIVE_PHRASES + NEGATING_PHRASES if phrases is None else phrases)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelflow.functions import lexicon, markup, text
+from parcelflow.operators import extract
 from parcelflow.plans.registry import query, spread_table, table
 
 # The listing lexicon, led by words that occur in the test texts.
@@ -152,3 +153,65 @@ def extract_tag_text(spark, sf_dir):
 def extract_with_fallback(spark, sf_dir):
     strategies = [markup.tag_text("html", tag) for tag in ("h2", "strong", "h1")]
     return spread_table(spark, sf_dir, "pages", "page_id").select("page_id", markup.first_of(*strategies).alias("value"))
+
+
+@query("motivated_status", f"""
+    WITH {LEXICON_SQL},
+    ranked AS (
+        SELECT doc_id, keyword, synonym, row_number() OVER (PARTITION BY doc_id ORDER BY priority, synonym_pos) AS rn,
+               lower(text) AS t, strpos(lower(text), synonym) AS p
+        FROM documents JOIN lex ON contains(lower(text), synonym)),
+    hit AS (SELECT doc_id, keyword, substr(t, greatest(1, p - 30), p + length(synonym) + 30 - greatest(1, p - 30)) AS context
+            FROM ranked WHERE rn = 1)
+    SELECT d.doc_id, h.doc_id IS NOT NULL AS motivated, keyword, context,
+           NOT (contains(context, 'not') OR contains(context, 'never') OR contains(context, 'ideal')) AS plain
+    FROM documents d LEFT JOIN hit h ON d.doc_id = h.doc_id
+""")
+def motivated_status(spark, sf_dir):
+    """Every text with its first keyword, the context of it, and whether the context speaks against it."""
+    found = texts(spark, sf_dir).select("doc_id", lexicon.motivated_status("text", TEXT_LEXICON).alias("m"))
+    return found.select(
+        "doc_id", "m.motivated", "m.keyword", "m.context",
+        lexicon.plain_context("m.context", ["not", "never", "ideal"]).alias("plain"),
+    )
+
+
+@query("extract_listing_fields", rf"""
+    WITH {LEXICON_SQL},
+    cut AS (
+        SELECT page_id, html,
+            trim(nullif(trim(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)), '')) || ', '
+                || trim(regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1) || ', ' || regexp_extract(url, '/([a-z][a-z])/', 1)
+                || ' ' || regexp_extract(url, '/([0-9]+)', 1)) AS address,
+            regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1) AS city, regexp_extract(url, '/([a-z][a-z])/', 1) AS state,
+            regexp_extract(url, '/([0-9]+)', 1) AS zip_code,
+            CASE WHEN contains(url, 'page=') THEN 'N/A'
+                 ELSE '813-555-' || lpad(CAST(page_id AS VARCHAR), 4, '0') END AS phone_number
+        FROM pages),
+    ranked AS (
+        SELECT page_id, keyword, lower(html) AS t, synonym, strpos(lower(html), synonym) AS p,
+               row_number() OVER (PARTITION BY page_id ORDER BY priority, synonym_pos) AS rn
+        FROM pages JOIN lex ON contains(lower(html), synonym)),
+    hit AS (SELECT page_id, keyword, substr(t, greatest(1, p - 30), p + length(synonym) + 30 - greatest(1, p - 30)) AS context
+            FROM ranked WHERE rn = 1)
+    SELECT c.page_id, address, city, state, nullif(zip_code, '') AS zip_code, phone_number,
+           CAST(length(html) AS INTEGER) AS rent, h.keyword IS NOT NULL AS motivated, keyword, context,
+           CASE WHEN NOT coalesce(regexp_matches(address, '[0-9]') AND NOT contains(lower(address), 'undisclosed address'), false)
+                THEN 'invalid_address' WHEN phone_number = 'N/A' THEN 'no_contact' ELSE 'saved' END AS outcome
+    FROM cut c LEFT JOIN hit h ON c.page_id = h.page_id
+""")
+def extract_listing_fields(spark, sf_dir):
+    """Pages to listing rows: address, place, phone, rent, keyword with context, and what became of the page."""
+    pages = spread_table(spark, sf_dir, "pages", "page_id")
+    state = F.regexp_extract("url", "/([a-z][a-z])/", 1)
+    place = F.concat(markup.url_host("url"), F.lit(", "), state, F.lit(" "), F.regexp_extract("url", "/([0-9]+)", 1))
+    number = F.concat(F.lit("Call 813-555-"), F.lpad(F.col("page_id").cast("string"), 4, "0"))
+    rows = extract.listing_fields(
+        pages, ["page_id"], markup.tag_text("html", "h1"), place,
+        F.when(F.col("url").contains("page="), "No phone").otherwise(number), F.col("html"),
+        F.concat(F.lit("Est. $"), F.length("html").cast("string"), F.lit(" per month")), TEXT_LEXICON,
+    )
+    return rows.select(
+        "page_id", "address", "city", "state", F.nullif("zip_code", F.lit("")).alias("zip_code"), "phone_number", "rent",
+        "motivated", "keyword", "context", "outcome",
+    )

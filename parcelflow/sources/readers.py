@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from parcelflow.functions.logs import parse_log_line
 from parcelflow.functions.text import as_col
-from parcelflow.schemas import PROVIDER_RAW, WORK_LIST
+from parcelflow.schemas import POSTAL, PROVIDER_RAW, WORK_LIST
 
 URL_EXPORT = "Total_URLs.csv"
 
@@ -130,6 +130,11 @@ def scan_provider_csv(spark: SparkSession, path: str, schema: T.StructType = PRO
     )
 
 
+def scan_postal_reference(spark: SparkSession, path: str) -> DataFrame:
+    """The postal table; ZIPs are text and keep leading zeros."""
+    return spark.read.schema(POSTAL).parquet(path)
+
+
 def scan_lexicon(spark: SparkSession, path: str, section: str = "keywords") -> DataFrame:
     """(priority, keyword, synonym_pos, synonym) of a JSON configuration, positions from 0."""
     kind = T.StructType([T.StructField(section, T.MapType(T.StringType(), T.ArrayType(T.StringType())))])

@@ -144,3 +144,27 @@ def test_log_lines(spark):
     assert got[1:] == [None, None]
     assert values(spark, ["INFO", "ERROR", "odd"], lambda c: logs.level_below(c, "ERROR")) == [True, False, None]
     assert values(spark, ["Remote response: x", "fine"], logs.is_noise) == [True, False]
+
+
+def test_motivated_status_like_the_loop(spark):
+    lex = {"Deal": ["Bargain", "Deal"], "Free": ["free", "deal of the day"]}
+    rng = random.Random(9)
+    words = ["bargain", "DEAL", "free", "House", "of the day", "ideal", "x" * 33]
+    docs = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 6))) for _ in range(300)] + [None]
+
+    def want(doc):
+        low = (doc or "").lower()
+        for keyword, synonyms in lex.items():
+            for s in synonyms:
+                at = low.find(s.lower())
+                if at >= 0:
+                    return True, keyword, s.lower(), low[max(0, at - 30):at + len(s) + 30]
+        return False, None, None, None
+
+    got = values(spark, docs, lambda c: lexicon.motivated_status(c, lex))
+    assert [tuple(g) for g in got] == [want(d) for d in docs]
+
+
+def test_plain_context(spark):
+    raw = ["a great deal", "an ideal home", "No longer a deal", None]
+    assert values(spark, raw, lexicon.plain_context) == [True, False, False, None]

@@ -222,3 +222,24 @@ def test_rollups(spark):
     assert rollup.null_profile(df, ["c", "s"]).first() == Row(rows=4, missing_c=1, missing_s=1)
     empty = rollup.progress_ratio(df.filter("false"), F.col("c") == "Lake").first()
     assert (empty.done, empty.total, empty.ratio) == (0, 0, None)
+
+
+def test_listing_fields(spark):
+    from parcelflow.operators import extract
+
+    pages = spark.createDataFrame(
+        [
+            (1, " 1 Main St ", "Tampa, FL 01234", "Listed by A 813.555.0000", "Must sell!", "HOA dues $ 1,250.99 Est. $900 per month"),
+            (2, "Undisclosed address 5", "Tampa, FL", "x", "", ""),
+            (3, "2 Main St", "Tampa", "Call (813) 555-0000", None, None),
+            (4, None, None, None, None, None),
+        ],
+        "id int, street string, place string, section string, info string, costs string",
+    )
+    args = [F.col(c) for c in ("street", "place", "section", "info", "costs")]
+    rows = {r.id: r for r in extract.listing_fields(pages, ["id"], *args).collect()}
+    a = rows[1]
+    assert (a.address, a.city, a.state, a.zip_code, a.phone_number) == ("1 Main St, Tampa, FL 01234", "Tampa", "FL", "01234", "813-555-0000")
+    assert (a.hoa_dues, a.property_taxes, a.rent, a.motivated, a.keyword, a.context) == (1250, None, 900, True, "Urgent", "must sell!")
+    assert [rows[i].outcome for i in (1, 2, 3, 4)] == ["saved", "invalid_address", "no_contact", "invalid_address"]
+    assert rows[4].motivated is False and len(rows) == 4
