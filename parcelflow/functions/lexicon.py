@@ -6,6 +6,8 @@ instead of a table to join: no row is multiplied and nothing is broadcast.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, functions as F
 
 from parcelflow.functions.text import as_col, contains_any, let
@@ -78,11 +80,12 @@ def lexicon_rows(lexicon: Lexicon) -> list[tuple[int, str, int, str]]:
     ]
 
 
-def _entry(priority: int, keyword: str, position: int, synonym: str) -> Column:
-    return F.struct(
-        F.lit(priority).alias("priority"), F.lit(position).alias("synonym_pos"),
-        F.lit(keyword).alias("keyword"), F.lit(synonym).alias("synonym"),
-    )
+# Priority and position lead, so that sorted entries are in lexicon order.
+ENTRY = ("priority", "synonym_pos", "keyword", "synonym")
+FAMILY_SCHEMA = (
+    "array<struct<root: string, entries: array<struct<"
+    "priority: int, synonym_pos: int, keyword: string, synonym: string>>>>"
+)
 
 
 def synonym_families(lexicon: Lexicon) -> dict[str, list[tuple[int, str, int, str]]]:
@@ -102,10 +105,12 @@ def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
     The text is searched for the root of each family, and for the rest of a family only if
     its root is there.
     """
-    families = F.array(*[
-        F.struct(F.lit(root).alias("root"), F.array(*[_entry(*row) for row in rows]).alias("entries"))
+    groups = [
+        {"root": root, "entries": [dict(zip(ENTRY, (i, j, keyword, synonym))) for i, keyword, j, synonym in rows]}
         for root, rows in synonym_families(lexicon).items()
-    ])
+    ]
+    # A constant: the optimizer parses it once.
+    families = F.from_json(F.lit(json.dumps(groups)), FAMILY_SCHEMA)
 
     def search(t: Column) -> Column:
         present = F.filter(families, lambda f: t.contains(f["root"]))
@@ -114,30 +119,9 @@ def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
     return F.array_sort(let(F.lower(as_col(text)), search))
 
 
-def deciding_rows(lexicon: Lexicon) -> list[tuple[str, str]]:
-    """(keyword, synonym) without synonyms that can never win.
-
-    A synonym that contains an earlier one cannot: wherever it occurs, the earlier one does too.
-    """
-    kept: list[tuple[str, str]] = []
-    for _, keyword, _, synonym in lexicon_rows(lexicon):
-        if not any(earlier in synonym for _, earlier in kept):
-            kept.append((keyword, synonym))
-    return kept
-
-
-def _first_entry(lowered: Column, lexicon: Lexicon) -> Column:
-    branches = None
-    for keyword, synonym in deciding_rows(lexicon):
-        value = F.struct(F.lit(keyword).alias("keyword"), F.lit(synonym).alias("synonym"))
-        hit = lowered.contains(synonym)
-        branches = F.when(hit, value) if branches is None else branches.when(hit, value)
-    return branches
-
-
 def first_keyword(text: Column | str, lexicon: Lexicon) -> Column:
     """The first lexicon entry found in a text in any case; null without a hit."""
-    return let(F.lower(as_col(text)), lambda t: _first_entry(t, lexicon))
+    return F.get(keyword_hits(text, lexicon), F.lit(0))
 
 
 def motivated_status(text: Column | str, lexicon: Lexicon = LISTING_LEXICON, window: int = 30) -> Column:
@@ -153,7 +137,7 @@ def motivated_status(text: Column | str, lexicon: Lexicon = LISTING_LEXICON, win
                 F.substring(t, start, at + F.length(synonym) + window - start).alias("context"),
             )
 
-        return let(_first_entry(t, lexicon), with_context)
+        return let(first_keyword(t, lexicon), with_context)
 
     return let(F.lower(as_col(text)), describe)
 
