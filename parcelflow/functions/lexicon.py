@@ -120,8 +120,9 @@ def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
 
 
 def first_keyword(text: Column | str, lexicon: Lexicon) -> Column:
-    """The first lexicon entry found in a text in any case; null without a hit."""
-    return F.get(keyword_hits(text, lexicon), F.lit(0))
+    """Keyword and synonym of the first lexicon entry found in a text in any case; null without a hit."""
+    first = F.slice(keyword_hits(text, lexicon), 1, 1)
+    return F.get(F.transform(first, lambda e: F.struct(e["keyword"], e["synonym"])), F.lit(0))
 
 
 def motivated_status(text: Column | str, lexicon: Lexicon = LISTING_LEXICON, window: int = 30) -> Column:
