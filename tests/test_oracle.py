@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as entry
 import check
 
+from parcelflow.plans import QUERIES, SQL
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -13,14 +15,14 @@ def con():
     return check.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     ok, note = check.compare(spark, con, name, SF_DIR)
     assert ok, note
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry_runs(spark):

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from parcelflow.plans import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +14,10 @@ ONE_TASK = re.compile(r"SinglePartition.*\n.*HashAggregate\(keys=\[(_slice#\d+)?
 
 
 def plan(spark, name):
-    return entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_unbounded_step(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
