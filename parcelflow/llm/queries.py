@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import cuckoo, mixing, simhash, tiles
+from parcelflow.llm import bpe, crf, cuckoo, mixing, simhash, tiles, tokenfile
 from parcelflow.llm.common import table
 
 
+def op1_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf.scored(docs, crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -20,9 +25,19 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents"), bpe.default_ranks())
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.near_dedup(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op3_cuckoo_dedup, op4_simhash_dedup, op5_source_mix, op9_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_line_quality, op3_cuckoo_dedup, op4_simhash_dedup, op5_source_mix, op6_bpe_transducer, op8_token_files, op9_embedding_dedup,
+)}
 SQL: dict[str, str] = {}
