@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import bpe, crf, cuckoo, mixing, simhash, tiles, tokenfile
+from parcelflow.llm import bpe, crf, cuckoo, licenses, mixing, simhash, tiles, tokenfile, urlfilter, warc
 from parcelflow.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.scored(docs, crf.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -29,15 +33,88 @@ def op6_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), bpe.default_ranks())
 
 
+#: The rules of the query: verdict, host and path.
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame([(host, path, verdict) for verdict, host, path in RULES], urlfilter.RULE_SCHEMA)
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.near_dedup(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_quality, op3_cuckoo_dedup, op4_simhash_dedup, op5_source_mix, op6_bpe_transducer, op8_token_files, op9_embedding_dedup,
+    op1_line_quality, op2_license_scan, op3_cuckoo_dedup, op4_simhash_dedup, op5_source_mix, op6_bpe_transducer,
+    op7_url_rules, op8_token_files, op9_embedding_dedup, op10_warc_round_trip,
 )}
-SQL: dict[str, str] = {}
+
+_HOST_PATH = """
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
+"""
+
+SQL: dict[str, str] = {
+    "op3_cuckoo_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
+        FROM d WINDOW g AS (PARTITION BY text_sha256)
+    """,
+    "op7_url_rules": f"""
+        WITH u AS (SELECT row_number() OVER () AS n, * FROM ({_HOST_PATH})),
+        r AS (SELECT * FROM (VALUES {", ".join(str((v, h, p)) for v, h, p in RULES)}) AS t (verdict, rule_host, rule_path)),
+        fit AS (
+            SELECT n, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                   max_by(verdict, length(rule_host || rule_path)) AS verdict
+            FROM u JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY n
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fit USING (n)
+    """,
+    "op9_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ),
+        fit AS (
+            SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+        ),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id
+    """,
+    "op10_warc_round_trip": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+        ),
+        d AS (
+            SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY h) AS last,
+                   array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+                       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, CAST(1 + 5 * i AS INTEGER), 5) AS BIGINT) >> s) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM d
+    """,
+}
