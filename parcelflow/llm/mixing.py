@@ -179,7 +179,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rows = stored(_sized(docs, id_col, text_col, source_col))
     whole = _sized(docs, id_col, text_col, source_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     at = placed(whole, *plan(rows, weights)).withColumn("copies", F.col("rounds") + (F.col("part") > 0).cast("bigint"))
-    each = at.filter("copies > 0").withColumn("round", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    each = at.filter("size > 0 and copies > 0").withColumn("round", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     pieces = F.regexp_extract_all(F.col("row")[text_col], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     kept = F.filter(pieces, lambda _, i: _chosen(F.floor((F.col("start") + i) / BLOCK_WORDS)))
     cut = F.col("round") > F.col("rounds")

@@ -156,7 +156,8 @@ class Reader:
         self.lengths = np.frombuffer(data, "<u4", documents, 8 * blocks).astype(np.int64)
 
     def read(self, start: int, n: int) -> np.ndarray:
-        """Ids from a place on; only their blocks are read."""
+        """Ids from a place on, as many as there are up to ``n``; only their blocks are read."""
+        n = min(n, self.ids - start)
         if n <= 0:
             return np.zeros(0, np.uint32)
         first, last = start // BLOCK, (start + n - 1) // BLOCK
