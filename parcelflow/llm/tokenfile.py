@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,11 +33,11 @@ from parcelflow.session import workdir
 MAGIC = b"PFOR1"
 BLOCK = 256
 SHARE = 0.9
-FILE_IDS = 4_000_000
+FILE_IDS = 64_000_000
 #: Ids that are held in memory before their blocks are written.
 HELD_IDS = 1 << 18
 END = 0
-MAX_CHUNKS = 500_000
+MAX_CHUNKS = 1_200_000
 
 _HEAD = struct.Struct("<HBHI")
 _FOOT = struct.Struct("<QQQQ5s")
@@ -192,19 +193,17 @@ class Chunks(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are text
 
+    def __missing__(self, chunk: str) -> bytes:
+        ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if len(chunk) <= bpe.LONGEST_KEPT:
+            if len(self) >= MAX_CHUNKS:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
     def ids_of(self, text: str) -> Iterator[bytes]:
         for part in bpe.segments(text):
-            found = bpe.CHUNK.findall(part)
-            missing = list({c for c in found if c not in self})
-            long = {}
-            if missing:
-                if len(self) + len(missing) > MAX_CHUNKS:
-                    self.clear()
-                    missing = list(set(found))
-                for chunk, one in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                    (self if len(chunk) <= bpe.LONGEST_KEPT else long)[chunk] = np.array(one.ids, "<u4").tobytes()
-            get = self.__getitem__ if not long else lambda c: long[c] if c in long else self[c]  # noqa: B023
-            yield b"".join(map(get, found))
+            yield b"".join(map(self.__getitem__, bpe.CHUNK.findall(part)))
 
 
 @lru_cache(maxsize=2)
@@ -276,7 +275,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id_col, start, n_tokens, ids_crc32) per document, read back from the files of ``write``."""
-    return files.repartition("file").select("file", "start", "doc_ids").mapInArrow(
+    # A task per file: by the sizes of these rows, adaptive execution would give all files to one task.
+    return files.repartition(max(1, files.count()), "file").select("file", "start", "doc_ids").mapInArrow(
         _read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     ).withColumnRenamed("doc_id", id_col)
 
