@@ -29,9 +29,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-MAX_STATES = 150_000
+MAX_STATES = 400_000
 MAX_PAIRS = 500_000
-MAX_PIECES = 400_000
+MAX_PIECES = 1_000_000
 #: Characters of the longest piece that is kept, and of a text that is taken at a time.
 LONGEST_KEPT = 48
 SEGMENT = 1 << 22
