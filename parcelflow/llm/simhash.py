@@ -143,7 +143,8 @@ def links(marks: DataFrame) -> DataFrame:
     """Edges (u, v) between distinct fingerprints (column mark) that connect all within ``RADIUS`` bits."""
     n = marks.count()
     bits = (n * (2 * 64 + 1 + len(_TWO)) // 2 // VARIANTS_PER_GROUP).bit_length()
-    return marks.select("mark").mapInArrow(_variants(bits), "part int, v binary, code binary").groupBy("part").applyInArrow(
+    dealt = marks.select("mark").repartition(max(1, n // SLICE), "mark")  # few bytes that make many
+    return dealt.mapInArrow(_variants(bits), "part int, v binary, code binary").groupBy("part").applyInArrow(
         _meet, "u bigint, v bigint"
     )
 
