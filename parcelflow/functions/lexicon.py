@@ -121,8 +121,21 @@ def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
 
 def first_keyword(text: Column | str, lexicon: Lexicon) -> Column:
     """Keyword and synonym of the first lexicon entry found in a text in any case; null without a hit."""
-    first = F.slice(keyword_hits(text, lexicon), 1, 1)
-    return F.get(F.transform(first, lambda e: F.struct(e["keyword"], e["synonym"])), F.lit(0))
+    # Each synonym once, under the keyword that comes first: a later one can never be the first hit.
+    first: dict[str, str] = {}
+    for _, keyword, _, synonym in lexicon_rows(lexicon):
+        first.setdefault(synonym, keyword)
+    entries = list(first.items())
+    known = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(s).alias("synonym")) for s, k in entries])
+
+    def search(t: Column) -> Column:
+        # Conditions are tried in turn, so the search of a text ends at its first hit.
+        place = F.when(t.contains(entries[0][0]), 0)
+        for i, (synonym, _) in enumerate(entries[1:], 1):
+            place = place.when(t.contains(synonym), i)
+        return F.get(known, place)
+
+    return let(F.lower(as_col(text)), search)
 
 
 def motivated_status(text: Column | str, lexicon: Lexicon = LISTING_LEXICON, window: int = 30) -> Column:

@@ -6,13 +6,20 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from parcelflow.functions.text import as_col
+from parcelflow.functions.text import as_col, let, strip
 
-# The labels of the monthly cost table.
-COST_LABELS = ["Principal and interest", "Property taxes", "HOA dues", "Homeowners insurance"]
+# The labels of the monthly cost table, and the words around the rent.
+COST_COLUMNS = {
+    "Principal and interest": "principal_and_interest", "Property taxes": "property_taxes", "HOA dues": "hoa_fee",
+    "Homeowners insurance": "insurance",
+}
+COST_LABELS = list(COST_COLUMNS)
+RENT_BEFORE, RENT_AFTER = "Est.", "per month"
+# Named character references that are decoded; others stay as they are.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "middot": "·", "amp": "&"}
 
-LINK_PATTERN = r'<a[^>]*href="([^"]*)"'
-RENT_PATTERN = r"(?i)Est\.\s*\$?([\d,]+)\s*per month"
+#: href of an ``a`` element: in double quotes, in single quotes, or bare.
+LINK_PATTERN = r"""(?i)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def first_match(c: Column | str, pattern: str, group: int = 1) -> Column:
@@ -27,21 +34,60 @@ def _amount(c: Column | str, pattern: str) -> Column:
 
 
 def labelled_amount(c: Column | str, label: str) -> Column:
-    """Whole dollars after ``label``; cents are dropped; null without a match."""
-    return _amount(c, rf"(?i){re.escape(label)}\s*\$\s*([\d,]+)\.?\d*")
+    """Whole dollars behind ``label`` and a dollar sign; null without a match."""
+    return _amount(c, rf"(?i){re.escape(label)}\s*[$]\s*([0-9,]+)")
 
 
 def rent_amount(c: Column | str) -> Column:
-    return _amount(c, RENT_PATTERN)
+    """Whole dollars between the words of the rent line; the dollar sign may be missing."""
+    return _amount(c, rf"(?i){re.escape(RENT_BEFORE)}\s*[$]?([0-9,]+)\s*{re.escape(RENT_AFTER)}")
+
+
+def decoded(c: Column | str) -> Column:
+    """Named and decimal character references as characters; ``&amp;`` last, so that it opens no new one."""
+
+    def numbers(parts: Column) -> Column:
+        def part(p: Column, i: Column) -> Column:
+            code = F.regexp_extract(p, r"^([0-9]{1,7});", 1).try_cast("int")
+            known = (i > 0) & code.isNotNull() & (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+            char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+            return F.when(known, F.concat(char, F.regexp_replace(p, r"^[0-9]+;", ""))).when(i > 0, F.concat(F.lit("&#"), p)).otherwise(p)
+
+        return F.array_join(F.transform(parts, part), "")
+
+    text = as_col(c)
+    text = F.when(text.contains("&#"), let(F.split(text, "&#", -1), numbers)).otherwise(text)
+    for name, char in ENTITIES.items():
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+    return text
 
 
 def links(html: Column | str) -> Column:
-    return F.regexp_extract_all(as_col(html), F.lit(LINK_PATTERN), F.lit(1))
+    """All href values of ``a`` elements in page order, without quotes, decoded."""
+    raw = F.regexp_extract_all(as_col(html), F.lit(LINK_PATTERN), F.lit(1))
+    return F.transform(raw, lambda x: decoded(strip(F.regexp_replace(x, r"""^["']|["']$""", ""))))
+
+
+def absolute_link(link: Column | str, page_url: Column | str) -> Column:
+    """A link as a browser resolves it against the URL of its page; dot segments are kept."""
+    href, base = as_col(link), F.regexp_replace(as_col(page_url), r"[?#].*$", "")
+    origin = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*", 0)
+    scheme = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*:", 0)
+    folder = F.when(base == origin, F.concat(origin, F.lit("/"))).otherwise(F.regexp_replace(base, r"[^/]*$", ""))
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
+        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("?"), F.concat(base, href))
+        .when((href == "") | href.startswith("#"), F.concat(F.regexp_replace(as_col(page_url), "#.*$", ""), href))
+        .otherwise(F.concat(folder, href))
+    )
 
 
 def tag_text(html: Column | str, tag: str) -> Column:
-    """Trimmed text of the first ``tag`` element; null when absent or empty."""
-    return F.nullif(F.trim(F.regexp_extract(as_col(html), rf"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1)), F.lit(""))
+    """Text of the first ``tag`` element: inner tags removed, references decoded, trimmed; null when absent or empty."""
+    inner = F.regexp_extract(as_col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
+    return F.nullif(strip(decoded(F.regexp_replace(inner, r"<[^>]*>", ""))), F.lit(""))
 
 
 def first_of(*strategies: Column, default: str = "N/A") -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from parcelflow.functions.text import as_col
+from parcelflow.functions.text import as_col, strip
 
 MONEY_TYPE = "decimal(18,2)"
 
@@ -18,13 +18,18 @@ CAPEX_SHARE = "0.05"
 VACANCY_SHARE = "0.05"
 DOWNPAYMENT_SHARE = "0.10"
 FIXED_MONTHLY_COST = "350.00"
-FINANCED_FROM, FINANCED_TO = 0.9, 0.7
+FINANCED_SHARE = "0.20"  # the balance falls from 90% to 70% of the price
+
+
+def _number(c: Column | str) -> Column:
+    """A money text without signs and blanks around it; null where no number is left."""
+    text = strip(F.translate(as_col(c).cast("string"), "$,", ""))
+    return F.when(text.rlike("^[0-9.eE+-]+$"), text)
 
 
 def clean_numeric(c: Column | str) -> Column:
     """A money text as double. Sentinels, unparsable and non-finite values are 0."""
-    text = F.trim(F.translate(as_col(c).cast("string"), "$,", ""))
-    number = F.when(text.rlike("^[0-9.eE+-]+$"), text.try_cast("double"))
+    number = _number(c).try_cast("double")
     return F.when(F.abs(number) < F.lit(float("inf")), number).otherwise(F.lit(0.0))
 
 
@@ -33,8 +38,8 @@ def money(c: Column | str) -> Column:
 
 
 def clean_money(c: Column | str) -> Column:
-    """``clean_numeric`` in decimal; an amount beyond the type counts as unparsable."""
-    return F.coalesce(clean_numeric(c).try_cast(MONEY_TYPE), F.lit(0).cast(MONEY_TYPE))
+    """``clean_numeric`` in decimal, exact to the cent; an amount beyond the type counts as unparsable."""
+    return F.coalesce(_number(c).try_cast(MONEY_TYPE), F.lit(0).cast(MONEY_TYPE))
 
 
 def share_of(amount: Column, share: str) -> Column:
@@ -50,8 +55,8 @@ def round_money(c: Column | str, factor: str | None = None) -> Column:
 def term_length(price: Column | str, payment: Column | str) -> Column:
     """Months until the balance falls from 90% to 70% of the price; 0 without a payment.
 
-    In double on purpose: the closed form then counts the same months as repeated subtraction.
+    In decimal: a payment that divides the amount exactly takes no month more.
     """
-    p, m = as_col(price).cast("double"), as_col(payment).cast("double")
-    months = F.ceil((p * FINANCED_FROM - p * FINANCED_TO) / m).cast("bigint")
-    return F.when(m > 0, F.greatest(F.lit(0).cast("bigint"), months)).otherwise(F.lit(0).cast("bigint"))
+    p, m = money(price), money(payment)
+    months = F.ceil(p * F.lit(FINANCED_SHARE).cast("decimal(3,2)") / F.when(m > 0, m)).cast("bigint")
+    return F.coalesce(F.greatest(F.lit(0).cast("bigint"), months), F.lit(0).cast("bigint"))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
+# The characters that count as blank at the ends of a text.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # Texts that stand for a missing value.
 SENTINELS = ("", "—", "N/A", "Not found", "not found", "None", "nan")
 
@@ -15,6 +17,11 @@ def as_col(x: Column | str) -> Column:
     return x if isinstance(x, Column) else F.col(x)
 
 
+def strip(c: Column | str) -> Column:
+    """A text without blanks of any kind at its ends."""
+    return F.btrim(as_col(c), F.lit(BLANKS))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` worked out once per row, however often the body uses it.
 
@@ -44,7 +51,7 @@ def file_slug(c: Column | str) -> Column:
 
 
 def last_token(c: Column | str) -> Column:
-    return F.element_at(F.split(F.trim(as_col(c)), " "), -1)
+    return F.element_at(F.split(strip(c), " "), -1)
 
 
 def replace_fragment(url: Column | str, fragment: str) -> Column:
@@ -52,7 +59,7 @@ def replace_fragment(url: Column | str, fragment: str) -> Column:
 
 
 def page_url(base: Column | str, zip_code: Column | str, filters: Column | str, page: Column | str) -> Column:
-    return F.concat(as_col(base), F.trim(as_col(zip_code)), as_col(filters), F.lit("/page-"), as_col(page).cast("string"))
+    return F.concat(as_col(base), strip(zip_code), as_col(filters), F.lit("/page-"), as_col(page).cast("string"))
 
 
 def composite_key(*cols: Column | str) -> Column:
@@ -62,7 +69,7 @@ def composite_key(*cols: Column | str) -> Column:
 
 def sentinel_to_null(c: Column | str, sentinels: tuple[str, ...] = SENTINELS) -> Column:
     col = as_col(c)
-    return F.when(F.trim(col).isin(*sentinels), None).otherwise(col)
+    return F.when(strip(col).isin(*sentinels), None).otherwise(col)
 
 
 def contains_ci(c: Column | str, term: str) -> Column:

@@ -1,7 +1,7 @@
 """Agent documents: fill-null merge, cap, labels and nesting.
 
 The system of record is flat, one row per (agent, address). Maps are built for output only,
-after the cap, so a group never exceeds ``MAX_PER_AGENT`` rows.
+after the cap (``cap_latest``), which bounds a group; nesting itself drops nothing.
 """
 
 from __future__ import annotations
@@ -80,8 +80,8 @@ def collect_per_group(
     )
 
 
-def nest(df: DataFrame, agent: str, order: list[Column], columns: list[str], n: int = MAX_PER_AGENT) -> DataFrame:
-    """One row per agent with a map 'Address i' -> record. Caps each agent at ``n`` by position."""
+def nest(df: DataFrame, agent: str, order: list[Column], columns: list[str]) -> DataFrame:
+    """One row per agent with a map 'Address i' -> record of all its rows; cap before it with ``cap_latest``."""
     w = Window.partitionBy(agent).orderBy(*order)
     entry = F.struct(
         F.col("_i"),
@@ -91,7 +91,7 @@ def nest(df: DataFrame, agent: str, order: list[Column], columns: list[str], n:
     listed = F.array_sort(F.collect_list(entry))
     return (
         df.filter(F.col(agent).isNotNull())
-        .withColumn("_i", F.row_number().over(w)).filter(F.col("_i") <= n)
+        .withColumn("_i", F.row_number().over(w))
         .groupBy(agent)
         .agg(F.map_from_entries(F.transform(listed, lambda e: F.struct(e["k"], e["v"]))).alias("listings"))
     )

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelflow.functions.text import normalize_key
+from parcelflow.functions.text import normalize_key, strip
 from parcelflow.operators.dedup import last_wins
 
 
 def provider_index(provider: DataFrame, county: str, address: str, load_order: list[str]) -> DataFrame:
     """One provider row per (county, addr_key): the one loaded last, over all files."""
     rest = [F.col(f"`{c}`") for c in provider.columns if c != county]
-    keyed = provider.select(*rest, F.trim(county).alias("county"), normalize_key(address).alias("addr_key"))
+    keyed = provider.select(*rest, strip(county).alias("county"), normalize_key(address).alias("addr_key"))
     return last_wins(keyed.filter("county IS NOT NULL AND addr_key IS NOT NULL"), ["county", "addr_key"], load_order)
 
 
@@ -45,10 +45,15 @@ def enrich(listings: DataFrame, index: DataFrame, columns: list[str], matched: s
 def zip_to_county(
     df: DataFrame, postal: DataFrame, on: Column, county: str, out: str = "county", default: str = "Unknown"
 ) -> DataFrame:
-    """Lookup of a unique key; a miss and a null name both give ``default``."""
+    """Lookup of a key that is unique in ``postal`` (see ``one_per_zip``); a miss and a null name both give ``default``."""
     return df.join(postal, on, "left").select(df["*"], F.coalesce(postal[county], F.lit(default)).alias(out))
 
 
+def one_per_zip(postal: DataFrame, zip_code: str, order: list[str]) -> DataFrame:
+    """The postal table with one row per ZIP, the last in ``order``, so that a lookup multiplies no row."""
+    return last_wins(postal.filter(F.col(zip_code).isNotNull()), [zip_code], order)
+
+
 def match_rate(enriched: DataFrame, group: str = "county", matched: str = "matched") -> DataFrame:
     return enriched.groupBy(group).agg(
         F.count(F.lit(1)).alias("listings"),

@@ -5,37 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelflow.functions import contact, lexicon as lex, locality, markup
-from parcelflow.functions.text import last_token
+from parcelflow.functions.text import last_token, sentinel_to_null, strip
 
 SAVED, INVALID_ADDRESS, NO_CONTACT = "saved", "invalid_address", "no_contact"
 
 
 def listing_fields(
-    pages: DataFrame, keys: list[str], address: Column, place: Column, contact_section: Column, info: Column,
-    costs: Column, lexicon: lex.Lexicon = lex.LISTING_LEXICON,
+    pages: DataFrame, keys: list[str], url: Column, address: Column, place: Column, price: Column, agent: Column,
+    contact_section: Column, info: Column, costs: Column, lexicon: lex.Lexicon = lex.LISTING_LEXICON,
 ) -> DataFrame:
-    """One row per page with its fields and an ``outcome``; nothing is dropped.
+    """One row per page with the listing columns (``schemas.LISTING_COLUMNS``) and an ``outcome``; nothing is dropped.
 
-    The address is cut from the page by the caller's expressions, as are the texts that hold the
+    The values are cut from the page by the caller's expressions, as are the texts that hold the
     contact (its last word is the phone), the description and the monthly costs. Rows to keep are
-    those with the outcome 'saved': a valid address and a phone.
+    those with the outcome 'saved': a valid address and a phone. Price and agent stay texts (see
+    ``money.clean_money``); a missing one is null.
     """
     cut = pages.select(
         *keys,
         locality.address_line(address, place).alias("address"),
         locality.split_locality(place).alias("_place"),
+        sentinel_to_null(strip(price)).alias("price"),
+        sentinel_to_null(strip(agent)).alias("agent_name"),
         contact.format_phone(last_token(contact_section)).alias("phone_number"),
         lex.motivated_status(info, lexicon).alias("_m"),
-        *[markup.labelled_amount(costs, label).alias(label.lower().replace(" ", "_")) for label in markup.COST_LABELS],
         markup.rent_amount(costs).alias("rent"),
+        *[markup.labelled_amount(costs, label).alias(name) for label, name in markup.COST_COLUMNS.items()],
+        url.alias("url"),
     )
     outcome = (
         F.when(~F.coalesce(contact.valid_address("address"), F.lit(False)), INVALID_ADDRESS)
         .when(~contact.has_contact("phone_number"), NO_CONTACT)
         .otherwise(SAVED)
     )
-    amounts = [label.lower().replace(" ", "_") for label in markup.COST_LABELS]
     return cut.select(
-        *keys, "address", "_place.*", "phone_number", *amounts, "rent", "_m.motivated", "_m.keyword", "_m.context",
-        outcome.alias("outcome"),
+        *keys, "address", "_place.*", "price", "rent", "hoa_fee", "property_taxes", "insurance", "principal_and_interest",
+        "agent_name", "phone_number", F.col("_m.motivated").alias("Motivated"), F.col("_m.keyword").alias("Trigger Keyword"),
+        F.col("_m.synonym").alias("Trigger Sentence"), F.col("_m.context").alias("Trigger Context"), "url", outcome.alias("outcome"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelflow.operators.dedup import last_wins
 from parcelflow.schemas import URL_STATE
@@ -136,12 +136,9 @@ def page_novelty(hits: DataFrame, group: str, page: str, url: str) -> DataFrame:
     a new URL. ``hits`` shrinks to one row per (group, page, url) before any shuffle.
     """
     on_page = hits.select(group, page, url).distinct()
-    first = on_page.groupBy(group, url).agg(F.min(page).alias(page))
-    fresh = first.groupBy(group, page).agg(F.count(F.lit(1)).alias("new_urls"))
-    pages = on_page.groupBy(group, page).agg(F.count(F.lit(1)).alias("urls"))
-    counted = pages.join(fresh, [group, page], "left").withColumn("new_urls", F.coalesce("new_urls", F.lit(0)))
-    stop = counted.filter(F.col("new_urls") == 0).groupBy(group).agg(F.min(page).alias("_stop"))
-    return counted.join(stop, group, "left").select(
-        group, page, "urls", "new_urls",
-        F.coalesce(F.col(page) == F.col("_stop"), F.lit(False)).alias("stops_here"),
+    first = F.min(page).over(Window.partitionBy(group, url))
+    counted = on_page.withColumn("_first", first).groupBy(group, page).agg(
+        F.count(F.lit(1)).alias("urls"), F.count_if(F.col(page) == F.col("_first")).alias("new_urls")
     )
+    stop = F.min(F.when(F.col("new_urls") == 0, F.col(page))).over(Window.partitionBy(group))
+    return counted.select(group, page, "urls", "new_urls", F.coalesce(F.col(page) == stop, F.lit(False)).alias("stops_here"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelflow.operators.skew import row_number, running_total
@@ -22,7 +24,7 @@ def count_by_geo(df: DataFrame, county: str, region: str) -> DataFrame:
 def contact_rollup(
     df: DataFrame, keys: list[str], address: Column, order: list[str], width: int = 15
 ) -> DataFrame:
-    """Per contact: the number of addresses and the addresses in columns ``address_1..width``.
+    """Per contact: the number of addresses, in all and in this row, and the addresses in columns ``address_1..width``.
 
     A contact with more than ``width`` addresses goes on in part 1, 2, …, each part being a
     row of its own; no address is left out. Null contacts form a group like any other.
@@ -34,7 +36,9 @@ def contact_rollup(
         F.count(F.lit(1)).alias("addresses"),
         *[F.max(F.when(F.col("_slot") == i, F.col("_addr"))).alias(f"address_{i + 1}") for i in range(width)],
     )
-    return parts
+    total = placed.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("total_addresses"))
+    same = reduce(lambda a, b: a & b, [parts[k].eqNullSafe(total[f"_t_{k}"]) for k in keys])
+    return parts.join(total, same).drop(*[f"_t_{k}" for k in keys])
 
 
 def total_and_distinct(df: DataFrame, value: Column) -> DataFrame:

@@ -1,183 +1,65 @@
 """Ordered running totals that survive a hot key.
 
-A window over ``partitionBy(key)`` sorts all rows of a key in one task. Here a key that
-holds more than ``HEAVY_SHARE`` of the rows is cut along its order into slices, each slice
-is totalled on its own, and the totals before a slice are added.
-
-Heavy keys are looked for when the plan is built: a count, and for large tables one scan of
-the keys that fills a sketch of frequent items per task and shuffles nothing else. The list
-only decides what is cut. Totals are exact whatever it holds, and without a heavy key the
-plan is the plain window.
-
-Both broadcast tables have a size that does not depend on the data: at most
-``1 / HEAVY_SHARE`` keys are heavy, and all slices together number at most
-``1 / SLICE_SHARE`` plus one per heavy key.
+A window over ``partitionBy(key)`` sorts all rows of a key in one task. Where a key has more rows than
+``MAX_TASK_ROWS``, and for an order over the whole table, the rows are first dealt by ranges of
+(key, order): Spark samples values of the order itself, so ranges are about equal in size for every type
+and cut a hot key where its rows lie. The ranges are written to the shared folder, each is totalled on its own, and the
+totals before a range are added.
+
+Both plans give the same result; the count of rows per key only chooses between them. The table of
+totals that is broadcast has at most two rows per range.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
-
-HEAVY_SHARE = 1e-3
-SLICE_SHARE = 1e-4
-MIN_HEAVY_ROWS = 1_000_000
-MIN_SLICE_ROWS = 200_000
-
-# The sketch overstates a count by at most about 3.5 / SKETCH_ITEMS of all rows, far below the share.
-SKETCH_ITEMS = 16_384
-MAX_HEAVY = round(1 / HEAVY_SHARE)
-SKETCH_GROUPS = 256
-
-
-def _whole_number(df: DataFrame, name: str) -> Column | None:
-    """A column as a whole number that never falls while the column rises; None for other types."""
-    kind = df.schema[name].dataType.typeName()
-    c = F.col(name)
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        at = c.cast("timestamp_ntz")
-        days = F.unix_date(at.cast("date")).cast("bigint")
-        return days * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-    if kind in ("long", "integer", "short", "byte"):
-        return c.cast("bigint")
-    return None
-
-
-def _with_positions(df: DataFrame, order: list[str], value: Column | None) -> DataFrame:
-    """``df`` plus the value to add up and the first two order columns as whole numbers."""
-    lead = _whole_number(df, order[0])
-    if lead is None:
-        raise ValueError(f"lead the order with a whole number, a date or a time, not {order[0]}")
-    follow = _whole_number(df, order[1]) if len(order) > 1 else None
-    return df.withColumns({
-        "_v": (F.lit(1) if value is None else value).cast("bigint"),
-        "_lead": lead,
-        "_next": F.lit(0).cast("bigint") if follow is None else follow,
-    })
-
-
-def _bounds() -> list[Column]:
-    return [F.min("_lead").alias("_lo"), F.max("_lead").alias("_hi"),
-            F.min("_next").alias("_lo2"), F.max("_next").alias("_hi2"), F.count(F.lit(1)).alias("_n")]
-
-
-HEAVY_SCHEMA = "_hash bigint, _lo bigint, _hi bigint, _lo2 bigint, _hi2 bigint, _slices bigint"
-
-
-def _slice(lo: Column, hi: Column, lo2: Column, hi2: Column, slices: Column) -> Column:
-    """The slice of a row: equal widths over the pair (lead, next), nulls first.
-
-    The second number is the fraction between two values of the first, so rows that tie on the
-    first part as well. The result never falls along the order, which is all that is needed.
-    """
-
-    def place(c: str, low: Column) -> Column:
-        return F.coalesce(F.col(c) - low + 1, F.lit(0))
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-    def width(low: Column, high: Column) -> Column:
-        return F.coalesce(high - low, F.lit(0)) + 2
+from parcelflow.session import stored
 
-    share = (place("_lead", lo) + place("_next", lo2) / width(lo2, hi2)) / width(lo, hi)
-    return F.greatest(F.lit(0), F.least(slices - 1, F.floor(share * slices))).cast("int")
+MAX_TASK_ROWS = 10_000_000
 
 
-def heavy_keys(work: DataFrame, keys: list[str], min_heavy_rows: int, min_slice_rows: int) -> list[Row]:
-    """Hash, bounds and number of slices of each heavy key; at most ``MAX_HEAVY`` rows.
-
-    Keys are named by their hash. Two keys with one hash are both cut, which does no harm.
-    """
-    rows = work.count()
-    limit = max(rows * HEAVY_SHARE, min_heavy_rows)
-    if rows <= limit:
-        return []
-    hashed = work.select(F.xxhash64(*keys).alias("_hash"), "_lead", "_next")
-    # Sketches of the tasks are merged in groups first, so that no task receives all of them.
-    sketches = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(
-        F.expr(f"approx_top_k_accumulate(_hash, {SKETCH_ITEMS})").alias("_s")
-    )
-    merged = F.expr(f"approx_top_k_estimate(approx_top_k_combine(_s, {SKETCH_ITEMS}), {MAX_HEAVY})")
-    frequent = [item["item"] for item in sketches.agg(merged.alias("t")).first()["t"] if item["count"] > limit]
-    if not frequent:
-        return []
-    slice_rows = max(rows * SLICE_SHARE, min_slice_rows)
+def _totals_before(ranged: DataFrame, keys: list[str]) -> DataFrame:
+    """For each key that lies in several ranges: what the ranges before each one add up to."""
+    per_range = ranged.groupBy(*keys, "__range").agg(F.sum("__v").alias("__s"))
+    by_key = Window.partitionBy(*keys)
+    before = by_key.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        hashed.filter(F.col("_hash").isin(frequent)).groupBy("_hash").agg(*_bounds())
-        .withColumn("_slices", F.ceil(F.col("_n") / slice_rows).cast("bigint")).drop("_n").collect()
+        per_range.withColumn("__ranges", F.count(F.lit(1)).over(by_key)).withColumn("__before", F.sum("__s").over(before))
+        .filter("__ranges > 1").select(*[F.col(f"`{k}`").alias(f"__o_{k}") for k in keys], F.col("__range").alias("__o_range"), "__before")
     )
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
-
-
 def running_total(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    out: str,
-    value: Column | None = None,
-    min_heavy_rows: int = MIN_HEAVY_ROWS,
-    min_slice_rows: int = MIN_SLICE_ROWS,
+    df: DataFrame, keys: list[str], order: list[str], out: str, value: Column | None = None, max_task_rows: int = MAX_TASK_ROWS
 ) -> DataFrame:
     """``df`` plus ``out``: the sum of ``value`` up to and with this row, per key in ``order``.
 
-    ``value`` defaults to 1, which makes ``out`` a row number. ``order`` must be total and
-    ascending, and its first column a whole number, a date or a time; so should be the second
-    where many rows of a key tie on the first. ``df`` is evaluated several times; hand in a stored
-    table, not a long plan.
+    ``value`` is a whole number and defaults to 1, which makes ``out`` a row number. ``order`` is ascending, nulls
+    first, and should be total; rows that tie on all of it and on the key stay in one range. Without
+    ``keys`` there is one order over the whole table. Columns named ``__v``, ``__range`` and ``__before`` are
+    taken for the work.
     """
-    if not keys:
-        return _running_total_global(df, order, out, value, min_slice_rows)
-    work = _with_positions(df, order, value)
-    heavy = heavy_keys(work, keys, min_heavy_rows, min_slice_rows)
-    if not heavy:
+    work = df.withColumn("__v", (F.lit(1) if value is None else value).cast("bigint"))
+    if keys:
+        most, rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    else:
+        rows = most = df.count()
+    if keys and (most or 0) <= max_task_rows:
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return work.withColumn(out, F.sum("_v").over(whole)).select(*df.columns, out)
-    hot = df.sparkSession.createDataFrame(heavy, HEAVY_SCHEMA)
-    cut = _slice(F.col("_lo"), F.col("_hi"), F.col("_lo2"), F.col("_hi2"), F.col("_slices"))
-    sliced = work.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "_hash", "left").withColumn(
-        "_slice", F.when(F.col("_slices").isNotNull(), cut).otherwise(F.lit(-1))
-    )
-    per_slice = (
-        sliced.filter(F.col("_slices").isNotNull())
-        .groupBy(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_slice").alias("_o_slice"))
-        .agg(F.sum("_v").alias("_s"))
-    )
-    before = Window.partitionBy(*[f"_o_{k}" for k in keys]).orderBy("_o_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = per_slice.withColumn("_before", F.sum("_s").over(before)).drop("_s")
-    placed = sliced.join(
-        F.broadcast(offsets),
-        _same(sliced, offsets, [*[(k, f"_o_{k}") for k in keys], ("_slice", "_o_slice")]),
-        "left",
-    )
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return placed.withColumn(out, F.sum("_v").over(inside) + F.coalesce(F.col("_before"), F.lit(0))).select(
-        *df.columns, out
-    )
-
-
-def _running_total_global(
-    df: DataFrame, order: list[str], out: str, value: Column | None, min_slice_rows: int
-) -> DataFrame:
-    """One order over the whole table: every row belongs to a slice of the leading column."""
-    work = _with_positions(df, order, value)
-    span = work.agg(F.struct(*_bounds())).scalar()
-    lo, hi, lo2, hi2, n = (span.getField(f) for f in ("_lo", "_hi", "_lo2", "_hi2", "_n"))
-    slices = F.ceil(n / F.greatest(n * SLICE_SHARE, F.lit(min_slice_rows))).cast("bigint")
-    sliced = work.withColumn("_slice", _slice(lo, hi, lo2, hi2, slices))
-    # At most 1 / SLICE_SHARE rows, so one task may add them up.
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy("_slice").agg(F.sum("_v").alias("_s"))
-        .withColumn("_before", F.sum("_s").over(before)).drop("_s")
+        return work.withColumn(out, F.sum("__v").over(whole)).select(*df.columns, out)
+    ranges = max(1, -(-(rows or 0) // max_task_rows))
+    ranged = stored(work.repartitionByRange(ranges, *keys, *order).withColumn("__range", F.spark_partition_id()))
+    totals = _totals_before(ranged, keys)
+    same = reduce(
+        lambda a, b: a & b, [ranged[k].eqNullSafe(totals[f"__o_{k}"]) for k in keys], ranged["__range"] == totals["__o_range"]
     )
-    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        sliced.join(F.broadcast(offsets), "_slice")
-        .withColumn(out, F.sum("_v").over(inside) + F.coalesce(F.col("_before"), F.lit(0)))
+        ranged.join(F.broadcast(totals), same, "left")  # at most two rows per range, one range per MAX_TASK_ROWS rows
+        .withColumn(out, F.sum("__v").over(inside) + F.coalesce(F.col("__before"), F.lit(0)))
         .select(*df.columns, out)
     )
 

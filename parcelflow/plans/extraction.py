@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import lexicon, markup, text
 from parcelflow.operators import extract
-from parcelflow.plans.registry import query, spread_table, table
+from parcelflow.plans.registry import query, table
 
 # The listing lexicon, led by words that occur in the test texts.
 TEXT_LEXICON: lexicon.Lexicon = {
@@ -27,7 +27,7 @@ LEXICON_SQL = f"lex(priority, keyword, synonym_pos, synonym) AS (VALUES {_lexico
 
 
 def texts(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 @query("keyword_theta_join", f"""
@@ -49,7 +49,7 @@ def keyword_theta_join(spark, sf_dir):
     SELECT doc_id, keyword, synonym FROM ranked WHERE rn = 1
 """)
 def first_keyword_match(spark, sf_dir):
-    """Misses go by exploding an empty array: a filter would be pushed below the spread and search twice."""
+    """Misses go by exploding an empty array: a filter on the result would search each text twice."""
     found = F.array_compact(F.array(lexicon.first_keyword("text", TEXT_LEXICON)))
     return texts(spark, sf_dir).select("doc_id", F.explode(found).alias("m")).select("doc_id", "m.keyword", "m.synonym")
 
@@ -89,14 +89,14 @@ def keyword_occurrences(spark, sf_dir):
             || ' Est. $1,' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || ' per month' AS t
         FROM lineitem)
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-        TRY_CAST(replace(regexp_extract(t, '(?i)Principal and interest\s*\$\s*([\d,]+)\.?\d*', 1), ',', '') AS INTEGER)
+        TRY_CAST(replace(regexp_extract(t, '(?i)Principal and interest\s*[$]\s*([0-9,]+)', 1), ',', '') AS INTEGER)
             AS principal_and_interest,
-        TRY_CAST(replace(regexp_extract(t, '(?i)Property taxes\s*\$\s*([\d,]+)\.?\d*', 1), ',', '') AS INTEGER)
+        TRY_CAST(replace(regexp_extract(t, '(?i)Property taxes\s*[$]\s*([0-9,]+)', 1), ',', '') AS INTEGER)
             AS property_taxes,
-        TRY_CAST(replace(regexp_extract(t, '(?i)HOA dues\s*\$\s*([\d,]+)\.?\d*', 1), ',', '') AS INTEGER) AS hoa_dues,
-        TRY_CAST(replace(regexp_extract(t, '(?i)Homeowners insurance\s*\$\s*([\d,]+)\.?\d*', 1), ',', '') AS INTEGER)
+        TRY_CAST(replace(regexp_extract(t, '(?i)HOA dues\s*[$]\s*([0-9,]+)', 1), ',', '') AS INTEGER) AS hoa_dues,
+        TRY_CAST(replace(regexp_extract(t, '(?i)Homeowners insurance\s*[$]\s*([0-9,]+)', 1), ',', '') AS INTEGER)
             AS homeowners_insurance,
-        TRY_CAST(replace(regexp_extract(t, '(?i)Est\.\s*\$?([\d,]+)\s*per month', 1), ',', '') AS INTEGER) AS rent
+        TRY_CAST(replace(regexp_extract(t, '(?i)Est\.\s*[$]?([0-9,]+)\s*per month', 1), ',', '') AS INTEGER) AS rent
     FROM x
 """)
 def extract_labelled_amounts(spark, sf_dir):
@@ -109,7 +109,7 @@ def extract_labelled_amounts(spark, sf_dir):
         F.lit(" Est. $1,"), F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lit(" per month"),
     )
     ids = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    lines = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
+    lines = table(spark, sf_dir, "lineitem")
     return lines.select(*ids, rendered.alias("t")).select(
         *ids,
         *[markup.labelled_amount("t", label).alias(label.lower().replace(" ", "_")) for label in markup.COST_LABELS],
@@ -121,38 +121,45 @@ def extract_labelled_amounts(spark, sf_dir):
     SELECT page_id, regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1) AS host FROM pages
 """)
 def url_host(spark, sf_dir):
-    return spread_table(spark, sf_dir, "pages", "page_id").select("page_id", markup.url_host("url").alias("host"))
+    return table(spark, sf_dir, "pages").select("page_id", markup.url_host("url").alias("host"))
 
 
-@query("extract_links", r"""
-    WITH x AS (SELECT page_id, regexp_extract_all(html, '<a[^>]*href="([^"]*)"', 1) AS a FROM pages)
-    SELECT page_id, CAST(i - 1 AS BIGINT) AS pos, a[i] AS href FROM (SELECT page_id, a, unnest(range(1, len(a) + 1)) AS i FROM x)
+def _element_sql(tag: str) -> str:
+    """Text of the first element, by splitting at its tags; the pages hold these references only."""
+    inner = f"split_part(list_extract(string_split(html, '<{tag}>'), 2), '</{tag}>', 1)"
+    plain = f"list_reduce(list_transform(string_split({inner}, '<'), lambda x, i: CASE WHEN i = 1 THEN x ELSE substr(x, strpos(x, '>') + 1) END), lambda x, y: x || y)"
+    for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        plain = f"replace({plain}, '&{name};', '{char}')"
+    return f"nullif(trim({plain}), '')"
+
+
+@query("extract_links", """
+    WITH parts AS (SELECT page_id, url, string_split(html, '<a href="') AS p FROM pages),
+    raw AS (SELECT page_id, url, i - 2 AS pos, replace(split_part(p[i], '"', 1), '&amp;', '&') AS link
+            FROM (SELECT page_id, url, p, unnest(range(2, len(p) + 1)) AS i FROM parts)),
+    whole AS (SELECT page_id, pos, split_part(url, '/', 1) || '//' || split_part(split_part(split_part(url, '/', 3), '?', 1), '#', 1) || link AS href FROM raw)
+    SELECT page_id, CAST(pos AS BIGINT) AS pos, href FROM whole WHERE NOT contains(lower(href), '/the') AND NOT contains(lower(href), 'casino')
 """)
 def extract_links(spark, sf_dir):
-    found = spread_table(spark, sf_dir, "pages", "page_id").select("page_id", F.posexplode(markup.links("html")).alias("pos", "href"))
-    return found.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
+    """Links of every page as absolute URLs, without those on the block list."""
+    found = table(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(markup.links("html")).alias("pos", "link"))
+    whole = found.select("page_id", F.col("pos").cast("bigint").alias("pos"), markup.absolute_link("link", "url").alias("href"))
+    return whole.filter(~text.contains_any(F.lower("href"), ["/the", "casino"]))
 
 
-@query("extract_tag_text", r"""
-    SELECT page_id, nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '') AS title,
-           nullif(trim(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)), '') AS heading
-    FROM pages
-""")
+@query("extract_tag_text", f"SELECT page_id, {_element_sql('title')} AS title, {_element_sql('h1')} AS heading FROM pages")
 def extract_tag_text(spark, sf_dir):
-    return spread_table(spark, sf_dir, "pages", "page_id").select(
+    return table(spark, sf_dir, "pages").select(
         "page_id", markup.tag_text("html", "title").alias("title"), markup.tag_text("html", "h1").alias("heading")
     )
 
 
-@query("extract_with_fallback", r"""
-    SELECT page_id, coalesce(nullif(trim(regexp_extract(html, '(?is)<h2[^>]*>(.*?)</h2>', 1)), ''),
-           nullif(trim(regexp_extract(html, '(?is)<strong[^>]*>(.*?)</strong>', 1)), ''),
-           nullif(trim(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)), ''), 'N/A') AS value
-    FROM pages
+@query("extract_with_fallback", f"""
+    SELECT page_id, coalesce({_element_sql('h2')}, {_element_sql('footer')}, {_element_sql('h1')}, 'N/A') AS value FROM pages
 """)
 def extract_with_fallback(spark, sf_dir):
-    strategies = [markup.tag_text("html", tag) for tag in ("h2", "strong", "h1")]
-    return spread_table(spark, sf_dir, "pages", "page_id").select("page_id", markup.first_of(*strategies).alias("value"))
+    strategies = [markup.tag_text("html", tag) for tag in ("h2", "footer", "h1")]
+    return table(spark, sf_dir, "pages").select("page_id", markup.first_of(*strategies).alias("value"))
 
 
 @query("motivated_status", f"""
@@ -179,39 +186,50 @@ def motivated_status(spark, sf_dir):
 @query("extract_listing_fields", rf"""
     WITH {LEXICON_SQL},
     cut AS (
-        SELECT page_id, html,
-            trim(nullif(trim(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)), '')) || ', '
-                || trim(regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1) || ', ' || regexp_extract(url, '/([a-z][a-z])/', 1)
-                || ' ' || regexp_extract(url, '/([0-9]+)', 1)) AS address,
-            regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1) AS city, regexp_extract(url, '/([a-z][a-z])/', 1) AS state,
-            regexp_extract(url, '/([0-9]+)', 1) AS zip_code,
-            CASE WHEN contains(url, 'page=') THEN 'N/A'
-                 ELSE '813-555-' || lpad(CAST(page_id AS VARCHAR), 4, '0') END AS phone_number
+        SELECT page_id, url, html, {_element_sql('h1')} AS street, {_element_sql('footer')} AS agent_name,
+            split_part(split_part(split_part(url, '/', 3), '?', 1), '#', 1) AS city, regexp_extract(url, '/([a-z][a-z])/', 1) AS state,
+            nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS zip_code, len(string_split(html, '<p>')) - 1 AS paragraphs,
+            len(string_split(html, '<a ')) - 1 AS anchors
         FROM pages),
     ranked AS (
         SELECT page_id, keyword, lower(html) AS t, synonym, strpos(lower(html), synonym) AS p,
                row_number() OVER (PARTITION BY page_id ORDER BY priority, synonym_pos) AS rn
         FROM pages JOIN lex ON contains(lower(html), synonym)),
-    hit AS (SELECT page_id, keyword, substr(t, greatest(1, p - 30), p + length(synonym) + 30 - greatest(1, p - 30)) AS context
-            FROM ranked WHERE rn = 1)
-    SELECT c.page_id, address, city, state, nullif(zip_code, '') AS zip_code, phone_number,
-           CAST(length(html) AS INTEGER) AS rent, h.keyword IS NOT NULL AS motivated, keyword, context,
+    hit AS (SELECT page_id, keyword, synonym, substr(t, greatest(1, p - 30), p + length(synonym) + 30 - greatest(1, p - 30)) AS context
+            FROM ranked WHERE rn = 1),
+    listed AS (
+        SELECT c.page_id, street || ', ' || city || ', ' || trim(state || ' ' || coalesce(zip_code, '')) AS address, city, state, zip_code,
+               CASE WHEN paragraphs % 5 = 0 THEN NULL ELSE '$' || paragraphs || ',000' END AS price, CAST(length(html) AS INTEGER) AS rent,
+               CAST(anchors AS INTEGER) AS hoa_fee, CAST(paragraphs AS INTEGER) AS property_taxes, agent_name,
+               CASE WHEN contains(url, 'page=') THEN 'N/A' ELSE '813-555-' || lpad(CAST(length(html) % 10000 AS VARCHAR), 4, '0') END AS phone_number,
+               keyword IS NOT NULL AS "Motivated", keyword AS "Trigger Keyword", synonym AS "Trigger Sentence", context AS "Trigger Context", url
+        FROM cut c LEFT JOIN hit h ON c.page_id = h.page_id)
+    SELECT *, CAST(NULL AS INTEGER) AS insurance, property_taxes * 1000 + hoa_fee AS principal_and_interest,
            CASE WHEN NOT coalesce(regexp_matches(address, '[0-9]') AND NOT contains(lower(address), 'undisclosed address'), false)
                 THEN 'invalid_address' WHEN phone_number = 'N/A' THEN 'no_contact' ELSE 'saved' END AS outcome
-    FROM cut c LEFT JOIN hit h ON c.page_id = h.page_id
+    FROM listed
 """)
 def extract_listing_fields(spark, sf_dir):
-    """Pages to listing rows: address, place, phone, rent, keyword with context, and what became of the page."""
-    pages = spread_table(spark, sf_dir, "pages", "page_id")
-    state = F.regexp_extract("url", "/([a-z][a-z])/", 1)
-    place = F.concat(markup.url_host("url"), F.lit(", "), state, F.lit(" "), F.regexp_extract("url", "/([0-9]+)", 1))
-    number = F.concat(F.lit("Call 813-555-"), F.lpad(F.col("page_id").cast("string"), 4, "0"))
-    rows = extract.listing_fields(
-        pages, ["page_id"], markup.tag_text("html", "h1"), place,
-        F.when(F.col("url").contains("page="), "No phone").otherwise(number), F.col("html"),
-        F.concat(F.lit("Est. $"), F.length("html").cast("string"), F.lit(" per month")), TEXT_LEXICON,
+    """Pages to listing rows: all listing columns, cut from the page, and what became of the page.
+
+    The pages name no prices and phones, so their numbers of paragraphs, links and characters are written out as such.
+    """
+    pages = table(spark, sf_dir, "pages").withColumns({
+        "paragraphs": F.regexp_count("html", F.lit("<p>")), "anchors": F.regexp_count("html", F.lit("<a ")), "size": F.length("html"),
+    })
+    place = F.concat(
+        markup.url_host("url"), F.lit(", "), F.regexp_extract("url", "/([a-z][a-z])/", 1), F.lit(" "), F.regexp_extract("url", "/([0-9]+)", 1)
+    )
+    price = F.when(F.col("paragraphs") % 5 == 0, "N/A\r").otherwise(F.concat(F.lit("\t$"), F.col("paragraphs").cast("string"), F.lit(",000 ")))
+    phone = F.concat(F.lit("Call 813-555-"), F.lpad((F.col("size") % 10000).cast("string"), 4, "0"), F.lit("\xa0"))
+    number = lambda c, width=1: F.lpad(F.col(c).cast("string"), width, "0")
+    costs = F.concat(
+        F.lit("Est. $"), F.col("size").cast("string"), F.lit(" per month. Principal and interest $ "), F.col("paragraphs").cast("string"),
+        F.lit(","), number("anchors", 3), F.lit(".25 HOA dues $"), F.col("anchors").cast("string"), F.lit(" Property taxes\n$"),
+        F.col("paragraphs").cast("string"), F.lit(" no insurance"),
     )
-    return rows.select(
-        "page_id", "address", "city", "state", F.nullif("zip_code", F.lit("")).alias("zip_code"), "phone_number", "rent",
-        "motivated", "keyword", "context", "outcome",
+    rows = extract.listing_fields(
+        pages, ["page_id"], F.col("url"), markup.tag_text("html", "h1"), place, price, markup.tag_text("html", "footer"),
+        F.when(F.col("url").contains("page="), "No phone").otherwise(phone), F.col("html"), costs, TEXT_LEXICON,
     )
+    return rows.withColumn("zip_code", F.nullif("zip_code", F.lit("")))

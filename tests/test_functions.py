@@ -2,6 +2,7 @@
 
 import random
 import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row, functions as F
@@ -31,11 +32,15 @@ def test_clean_numeric(spark):
     raw = ["", "—", "not found", "Not Found", "N/A", "$1,250.50", "abc", None, "nan", "inf", " 7 ", "1e400", "-3", "1_000", "5d", "--"]
     assert values(spark, raw, money.clean_numeric) == [0, 0, 0, 0, 0, 1250.5, 0, 0, 0, 0, 7, 0, -3, 0, 0, 0]
     assert values(spark, ["1e30", "$2.345"], lambda c: money.clean_money(c).cast("string")) == ["0.00", "2.35"]
+    odd = ["\t$5\r", "\xa0$7", "$9,007,199,254,740,993.01", "N/A\r", "1e3", "5e-3"]
+    assert values(spark, odd, lambda c: money.clean_money(c).cast("string")) == ["5.00", "7.00", "9007199254740993.01", "0.00", "1000.00", "0.01"]
+    assert values(spark, odd[:2], money.clean_numeric) == [5, 7]
 
 
 def test_term_length_counts_like_the_loop(spark):
     def loop(price, payment):
-        left, target, n = price * 0.9, price * 0.7, 0
+        price, payment = Decimal(str(price)), Decimal(str(payment))
+        left, target, n = price * Decimal("0.9"), price * Decimal("0.7"), 0
         while left > target and payment > 0:
             left -= payment
             n += 1
@@ -44,6 +49,7 @@ def test_term_length_counts_like_the_loop(spark):
     rng = random.Random(7)
     rows = [(round(rng.uniform(-1e4, 9e5), 2), round(rng.uniform(-50, 4000), 2)) for _ in range(3000)]
     rows += [(0.0, 10.0), (100000.0, 0.0), (100000.0, 20000.0), (100.0, 1e9)]
+    rows += [(333000.0, 266.40), (500.0, 100.0), (500.0, 33.33), (1.0, 0.1), (1e9, 0.01 * 2**20)]  # exact divisions among them
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, p double, m double")
     got = [r.t for r in df.select("i", money.term_length("p", "m").alias("t")).orderBy("i").collect()]
     assert got == [loop(*r) for r in rows]
@@ -58,6 +64,7 @@ def test_format_phone(spark):
 
 def test_contacts(spark):
     assert values(spark, ["813-555-0000", "N/A", "", None], contact.has_contact) == [True, False, False, False]
+    assert values(spark, ["N/A\r", "\xa0", "\u3000—\t"], contact.has_contact) == [False, False, False]
     mails = values(spark, ["a", "b", "a"], contact.placeholder_contact)
     assert mails[0] == mails[2] != mails[1] and mails[0].endswith("@example.com")
     raw = ["1 Main St", "Main St", "Undisclosed Address 5", None]
@@ -131,7 +138,18 @@ def test_amounts(spark):
 def test_markup(spark):
     html = '<h1 class="x"> A\nB </h1><a class="k" href="/1">x</a><A href="/2">y</A><a href="">z</a>'
     assert values(spark, [html], lambda c: markup.tag_text(c, "H1")) == ["A\nB"]
-    assert values(spark, [html], markup.links) == [["/1", ""]]
+    assert values(spark, [html], markup.links) == [["/1", "/2", ""]]
+    odd = """<a\n href='/x?a=1&amp;b=2'>q</a><a href=/bare>b</a><abbr href="/no">n</abbr><a data-href="/no" href = " /s ">s</a><A HREF="&#233;&#x;&#8364;">e</A>"""
+    assert values(spark, [odd], markup.links) == [["/x?a=1&b=2", "/bare", "/s", "é&#x;€"]]
+    text_of = lambda c: markup.tag_text(c, "h1")
+    nested = ["<h1><span>12 Main</span> &amp; Co</h1>", "<h1>&nbsp;a &amp;lt; b&#38;#39;\t</h1>", "<h10>no</h10><H1 >yes</H1 >", "<h1><b></b> </h1>"]
+    assert values(spark, nested, text_of) == ["12 Main & Co", "a &lt; b&#39;", "yes", None]
+    base = "https://h.example/a/b.html?q=1#f"
+    links = ["http://o/x", "//o/y", "/z", "c", "?r=2", "#g", "", "mailto:a@b"]
+    want = ["http://o/x", "https://o/y", "https://h.example/z", "https://h.example/a/c", "https://h.example/a/b.html?r=2",
+            "https://h.example/a/b.html?q=1#g", "https://h.example/a/b.html?q=1", "mailto:a@b"]
+    assert values(spark, links, lambda c: markup.absolute_link(c, F.lit(base))) == want
+    assert values(spark, ["c", "/d"], lambda c: markup.absolute_link(c, F.lit("http://h"))) == ["http://h/c", "http://h/d"]
     two = lambda c: markup.first_of(markup.tag_text(c, "h2"), markup.tag_text(c, "h1"))
     assert values(spark, [html, "<p>"], two) == ["A\nB", "N/A"]
     assert values(spark, ["https://a.example:80/x?y#z", "no url", None], markup.url_host) == ["a.example", None, None]

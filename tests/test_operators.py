@@ -3,10 +3,11 @@
 import datetime
 import random
 
-from pyspark.sql import Row, functions as F
+from pyspark.sql import Row, functions as F, types as T
 
 from parcelflow.operators import dedup, documents, enrich, frontier, metrics, rollup
 from parcelflow.schemas import LISTING_RAW, URL_STATE
+from parcelflow.sources import readers, writers
 
 AS_OF = datetime.datetime(2024, 9, 1)
 EARLY = datetime.datetime(2024, 1, 1)
@@ -85,6 +86,25 @@ def test_nest_and_flatten(spark):
     ]
 
 
+def test_nesting_drops_nothing(spark, tmp_path):
+    df = spark.range(40).selectExpr("'a' as agent", "id as t", "cast(id as string) as address")
+    path = writers.save_documents_json(df, str(tmp_path / "docs"), "agent", [F.asc("t")], ["address"])
+    record = T.StructType([T.StructField("address", T.StringType())])
+    assert sorted(int(r.address) for r in readers.scan_documents_json(spark, path, record).collect()) == list(range(40))
+    capped = documents.cap_latest(df, "agent", [F.desc("t")])
+    path = writers.save_documents_json(capped, str(tmp_path / "docs"), "agent", [F.asc("t")], ["address"])
+    back = readers.scan_documents_json(spark, path, record).collect()
+    assert {r.label: int(r.address) for r in back} == {f"Address {i + 1}": 25 + i for i in range(15)}
+
+
+def test_a_repeated_zip_multiplies_no_row(spark):
+    postal = spark.createDataFrame([("1", "Old", 1), ("1", "New", 2), (None, "x", 3)], "zip string, county string, n int")
+    df = spark.createDataFrame([(1, "1"), (2, "9"), (3, None)], "id int, z string")
+    one = enrich.one_per_zip(postal, "zip", ["n"])
+    out = enrich.zip_to_county(df, one, df["z"] == one["zip"], "county", out="place").collect()
+    assert sorted((r.id, r.place) for r in out) == [(1, "New"), (2, "Unknown"), (3, "Unknown")]
+
+
 def test_merge_reports(spark):
     out = merge(spark, [("a", "x", None, 1, EARLY)], [("a", "x", 5, 2, 0), ("a", "y", 1, 1, 1), ("b", "y", 1, 1, 2)])
     assert {tuple(r) for r in documents.merge_summary(out, "agent").collect()} == {("filled", 1, 1), ("inserted", 2, 2)}
@@ -226,6 +246,7 @@ def test_rollups(spark):
 
 def test_listing_fields(spark):
     from parcelflow.operators import extract
+    from parcelflow.schemas import LISTING_COLUMNS
 
     pages = spark.createDataFrame(
         [
@@ -236,10 +257,14 @@ def test_listing_fields(spark):
         ],
         "id int, street string, place string, section string, info string, costs string",
     )
-    args = [F.col(c) for c in ("street", "place", "section", "info", "costs")]
-    rows = {r.id: r for r in extract.listing_fields(pages, ["id"], *args).collect()}
+    url, price, agent = F.concat(F.lit("u"), "id"), F.when(F.col("id") == 1, "\t$250,000\r").otherwise("N/A\r"), F.lit(" Ann ")
+    args = [url, F.col("street"), F.col("place"), price, agent, *[F.col(c) for c in ("section", "info", "costs")]]
+    out = extract.listing_fields(pages, ["id"], *args)
+    assert set(LISTING_COLUMNS) < set(out.columns)
+    rows = {r.id: r for r in out.collect()}
+    assert [(rows[i].price, rows[i].agent_name, rows[i].url) for i in (1, 2)] == [("$250,000", "Ann", "u1"), (None, "Ann", "u2")]
     a = rows[1]
     assert (a.address, a.city, a.state, a.zip_code, a.phone_number) == ("1 Main St, Tampa, FL 01234", "Tampa", "FL", "01234", "813-555-0000")
-    assert (a.hoa_dues, a.property_taxes, a.rent, a.motivated, a.keyword, a.context) == (1250, None, 900, True, "Urgent", "must sell!")
+    assert (a.hoa_fee, a.property_taxes, a.rent, a.Motivated, a["Trigger Keyword"], a["Trigger Context"]) == (1250, None, 900, True, "Urgent", "must sell!")
     assert [rows[i].outcome for i in (1, 2, 3, 4)] == ["saved", "invalid_address", "no_contact", "invalid_address"]
-    assert rows[4].motivated is False and len(rows) == 4
+    assert rows[4].Motivated is False and len(rows) == 4
