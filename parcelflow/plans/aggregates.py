@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelflow.operators import rollup
-from parcelflow.plans.registry import query, spread_table, table
+from parcelflow.plans.registry import query, table
 from parcelflow.plans.scalars import PHONE_SQL, phone_in_text
 
 
@@ -18,9 +18,10 @@ def _wide_sql(width: int) -> str:
         SELECT n_name AS agent, s_nationkey AS phone, s_name || ', ' || n_name || ' ' || n_regionkey AS line,
                row_number() OVER (PARTITION BY n_name, s_nationkey ORDER BY s_suppkey) AS rn
         FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-    SELECT agent, phone, CAST((rn - 1) // 3 AS BIGINT) AS part, count(*) AS addresses, {_wide_sql(3)}
-    FROM ranked GROUP BY ALL
-""".replace("GROUP BY ALL", "GROUP BY agent, phone, (rn - 1) // 3"))
+    SELECT agent, phone, CAST((rn - 1) // 3 AS BIGINT) AS part, count(*) AS addresses, {_wide_sql(3)},
+           CAST(sum(count(*)) OVER (PARTITION BY agent, phone) AS BIGINT) AS total_addresses
+    FROM ranked GROUP BY agent, phone, (rn - 1) // 3
+""")
 def contact_rollup_wide(spark, sf_dir):
     """Addresses of a contact side by side, three to a row; longer contacts go on in the next part."""
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
@@ -36,7 +37,8 @@ def contact_rollup_wide(spark, sf_dir):
         SELECT l_orderkey, l_linenumber || '/' || l_partkey || '/' || l_suppkey AS line,
                row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
         FROM lineitem)
-    SELECT l_orderkey, CAST((rn - 1) // 8 AS BIGINT) AS part, count(*) AS addresses, {_wide_sql(8)}
+    SELECT l_orderkey, CAST((rn - 1) // 8 AS BIGINT) AS part, count(*) AS addresses, {_wide_sql(8)},
+           CAST(sum(count(*)) OVER (PARTITION BY l_orderkey) AS BIGINT) AS total_addresses
     FROM ranked GROUP BY l_orderkey, (rn - 1) // 8
 """)
 def contact_rollup_lines(spark, sf_dir):
@@ -51,7 +53,7 @@ def contact_rollup_lines(spark, sf_dir):
     UNION ALL SELECT 'users', count(user_id), count(DISTINCT user_id) FROM events
 """)
 def total_and_distinct(spark, sf_dir):
-    phones = rollup.total_and_distinct(spread_table(spark, sf_dir, "documents", "doc_id"), phone_in_text())
+    phones = rollup.total_and_distinct(table(spark, sf_dir, "documents"), phone_in_text())
     users = rollup.total_and_distinct(table(spark, sf_dir, "events"), F.col("user_id"))
     return phones.select(F.lit("phones").alias("counted"), "*").unionByName(users.select(F.lit("users").alias("counted"), "*"))
 
@@ -71,7 +73,7 @@ def conditional_counts(spark, sf_dir):
     FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id
 """)
 def null_profile(spark, sf_dir):
-    docs = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", phone_in_text().alias("phone"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", phone_in_text().alias("phone"))
     joined = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return rollup.null_profile(joined, ["quality", "toxic", "phone"])
 

@@ -9,7 +9,7 @@ from parcelflow.functions.text import normalize_key
 from parcelflow.operators import dedup, documents, enrich
 from parcelflow.operators.metrics import add_offer_metrics
 from parcelflow.plans.enrichment import INDEX_SQL, PROVIDER_FIELDS, index
-from parcelflow.plans.registry import query, spread_table, table
+from parcelflow.plans.registry import query, table
 
 
 def run_cycle(listings: DataFrame, provider: DataFrame, provider_columns: list[str]) -> DataFrame:
@@ -57,8 +57,8 @@ CYCLE_SQL = f"""
            strftime(seen_at, '%Y-%m-%d') AS seen_on, prov_key IS NOT NULL AS matched, prov_key, p_type, p_size,
            CAST(round(price * CAST(0.75 AS DECIMAL(4,2)), 2) AS DOUBLE) AS cash_offer,
            CAST(payment AS DOUBLE) AS monthly_creative_payments,
-           CASE WHEN payment > 0 THEN greatest(0, CAST(ceil((CAST(price AS DOUBLE) * CAST(0.9 AS DOUBLE)
-                - CAST(price AS DOUBLE) * CAST(0.7 AS DOUBLE)) / CAST(payment AS DOUBLE)) AS BIGINT)) ELSE 0 END
+           CASE WHEN payment > 0 THEN greatest(0, CAST((CAST(price * 100 AS HUGEINT) * 20
+                + CAST(payment * 100 AS HUGEINT) * 100 - 1) // (CAST(payment * 100 AS HUGEINT) * 100) AS BIGINT)) ELSE 0 END
                 AS term_length_months
     FROM paid
 """
@@ -66,7 +66,7 @@ CYCLE_SQL = f"""
 
 def cycle_listings(spark, sf_dir) -> DataFrame:
     """Line items as listings: the supplier is the agent, the part gives county and address."""
-    line, part = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey"), table(spark, sf_dir, "part")
+    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     price, zero = money.money("l_extendedprice"), F.lit(0).cast(money.MONEY_TYPE)
     return line.join(part, line.l_partkey == part.p_partkey).select(
         F.col("l_suppkey").alias("agent"), F.col("p_brand").alias("county"),

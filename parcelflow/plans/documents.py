@@ -154,3 +154,10 @@ def nested_document_json(spark, sf_dir):
         F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("seen"),
     )
     return document_lines(capped, "o_custkey", ["o_orderdate", "o_orderkey"], ["address", "status", "seen"])
+
+
+@query("agents_by_action", f"""
+    WITH {SIDES_SQL} SELECT DISTINCT action, agent FROM merged WHERE action <> 'unchanged'
+""")
+def agents_by_action(spark, sf_dir):
+    return documents.agents_by_action(merged(spark, sf_dir), "agent")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import markup
 from parcelflow.operators import dedup, frontier, rollup
+from parcelflow.operators.skew import row_number
 from parcelflow.plans.registry import query, table
 
 CUT = "1998-06-01"
@@ -169,7 +170,7 @@ def advance_frontier(spark, sf_dir):
 
 @query("record_outcomes", """
     WITH r AS (SELECT user_id, bool_or(event_type <> 'error') AS ok, count(*) FILTER (WHERE event_type = 'error') AS bad
-               FROM events WHERE event_type IN ('error', 'signup') AND value < 5 GROUP BY user_id),
+               FROM events GROUP BY user_id),
     s AS (SELECT DISTINCT user_id FROM events)
     SELECT s.user_id AS url, CASE WHEN r.ok THEN 'processed' WHEN NOT r.ok AND bad >= 3 THEN 'failed' ELSE 'pending' END
            AS state, CAST(coalesce(bad, 0) AS INTEGER) AS attempts
@@ -183,8 +184,7 @@ def record_outcomes(spark, sf_dir):
         "url", F.lit("x").alias("location"), F.lit(frontier.PENDING).alias("state"), F.lit(0).alias("attempts"),
         day.alias("first_seen"), day.alias("last_seen"),
     )
-    tried = events.filter(F.col("event_type").isin("error", "signup") & (F.col("value") < 5))
-    outcomes = tried.select("url", (F.col("event_type") != "error").alias("success"))
+    outcomes = events.select("url", (F.col("event_type") != "error").alias("success"))
     return frontier.record_outcomes(state, outcomes).select("url", "state", "attempts")
 
 
@@ -249,6 +249,37 @@ def page_novelty(spark, sf_dir):
     return frontier.page_novelty(hits, "l_linestatus", "page", "l_partkey")
 
 
+@query("failure_streaks_sliced", """
+    WITH marked AS (
+        SELECT user_id, event_type = 'error' AS failed,
+               sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END)
+                   OVER (PARTITION BY user_id ORDER BY date_trunc('minute', ts), -event_id) AS run
+        FROM events),
+    runs AS (SELECT user_id, run, count(*) AS length FROM marked WHERE failed GROUP BY user_id, run)
+    SELECT user_id, CAST(sum(length) AS BIGINT) AS failures, count(*) AS streaks, max(length) AS longest
+    FROM runs GROUP BY user_id
+""")
+def failure_streaks_sliced(spark, sf_dir):
+    """The same on the path of hot keys, in an order that runs against the ids."""
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.date_trunc("minute", "ts").alias("minute"), (-F.col("event_id")).alias("newest")
+    )
+    return rollup.failure_streaks(events, "user_id", ["minute", "newest"], F.col("event_type") == "error", max_task_rows=2)
+
+
+@query("row_numbers_sliced", """
+    SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, -event_id) AS rn,
+           row_number() OVER (ORDER BY props, ts, -event_id) AS place
+    FROM events
+""")
+def row_numbers_sliced(spark, sf_dir):
+    """Places by sub-second time against the ids, per hot key and over the whole table, the latter led by a text."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props", "ts", (-F.col("event_id")).alias("newest"))
+    limit = {"max_task_rows": 1000}
+    numbered = row_number(events, ["event_type"], ["ts", "newest"], "rn", **limit)
+    return row_number(numbered, [], ["props", "ts", "newest"], "place", **limit).select("event_id", "rn", "place")
+
+
 @query("failure_streaks", """
     WITH marked AS (
         SELECT user_id, event_type = 'error' AS failed,

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.operators.layout import spread
-
 Build = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Build] = {}
@@ -31,7 +29,3 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """A table for heavy work per row."""
-    return spread(table(spark, sf_dir, name), *keys)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parcelflow.functions import contact, locality, logs, markup, money, text
 from parcelflow.operators.dedup import project_to_schema
 from parcelflow.operators.metrics import add_offer_metrics
-from parcelflow.plans.registry import query, spread_table, table
+from parcelflow.plans.registry import query, table
 from parcelflow.schemas import METRIC_COLUMNS
 
 PHONE_SQL = r"""
@@ -25,7 +25,7 @@ def phone_in_text():
     SELECT doc_id, md5(lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g'))) AS key_md5 FROM documents
 """)
 def normalize_key(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", F.md5(text.normalize_key("text")).alias("key_md5"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalize_key("text")).alias("key_md5"))
 
 
 @query("sanitize_identifier", r"""
@@ -106,7 +106,7 @@ FORMAT_PHONE_SQL = """
     SELECT kind, id, {FORMAT_PHONE_SQL} AS phone FROM phones
 """)
 def format_phone(spark, sf_dir):
-    docs = spread_table(spark, sf_dir, "documents", "doc_id").select(
+    docs = table(spark, sf_dir, "documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), contact.format_phone(phone_in_text()).alias("phone")
     )
     customers = table(spark, sf_dir, "customer").select(
@@ -313,8 +313,8 @@ def elapsed_between_events(spark, sf_dir):
            CASE WHEN rent > 0 THEN CAST(round(price * CAST(0.10 AS DECIMAL(4,2)), 2) AS DOUBLE) ELSE 0.0 END AS downpayment,
            CAST(round(price * CAST(0.75 AS DECIMAL(4,2)), 2) AS DOUBLE) AS cash_offer,
            CAST(hoa AS DOUBLE) AS hoa_fee,
-           CASE WHEN payment > 0 THEN greatest(0, CAST(ceil((CAST(price AS DOUBLE) * CAST(0.9 AS DOUBLE)
-                - CAST(price AS DOUBLE) * CAST(0.7 AS DOUBLE)) / CAST(payment AS DOUBLE)) AS BIGINT)) ELSE 0 END
+           CASE WHEN payment > 0 THEN greatest(0, CAST((CAST(price * 100 AS HUGEINT) * 20
+                + CAST(payment * 100 AS HUGEINT) * 100 - 1) // (CAST(payment * 100 AS HUGEINT) * 100) AS BIGINT)) ELSE 0 END
                 AS term_length_months
     FROM m
 """)
@@ -322,7 +322,7 @@ def offer_metrics(spark, sf_dir):
     price = money.money("l_extendedprice")
     rent = F.when(F.col("l_returnflag") == "R", F.lit(0).cast(money.MONEY_TYPE)).otherwise(money.share_of(price, "0.08"))
     ids = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    listings = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey").select(
+    listings = table(spark, sf_dir, "lineitem").select(
         *ids, price.alias("price"), rent.alias("rent"), money.money("l_quantity").alias("insurance"),
         money.money(F.col("l_linenumber") * 10).alias("property_taxes"), money.money("l_suppkey").alias("hoa_fee"),
     )
@@ -334,10 +334,10 @@ def offer_metrics(spark, sf_dir):
 
 
 @query("term_length", """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_quantity - 5 > 0 THEN greatest(0, CAST(ceil(
-           (l_extendedprice * CAST(0.9 AS DOUBLE) - l_extendedprice * CAST(0.7 AS DOUBLE)) / (l_quantity - 5)) AS BIGINT))
-           ELSE 0 END AS months
-    FROM lineitem
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN payment > 0 THEN
+           CAST((price * 20 + payment * 100 - 1) // (payment * 100) AS BIGINT) ELSE 0 END AS months
+    FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS HUGEINT) AS price,
+                 CAST(CAST(l_quantity - 5 AS DECIMAL(18,2)) * 100 AS HUGEINT) AS payment FROM lineitem)
 """)
 def term_length(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
@@ -365,7 +365,7 @@ def project_to_declared(spark, sf_dir):
     SELECT doc_id FROM documents WHERE regexp_matches(text, '[0-9]') AND NOT contains(lower(text), 'license')
 """)
 def filter_valid_text(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").filter(contact.valid_address("text", "license")).select("doc_id")
+    return table(spark, sf_dir, "documents").filter(contact.valid_address("text", "license")).select("doc_id")
 
 
 @query("filter_url_blocklist", "SELECT page_id, url FROM pages WHERE NOT contains(lower(url), 'page=')")
@@ -379,7 +379,7 @@ def filter_url_blocklist(spark, sf_dir):
     SELECT doc_id, phone FROM f WHERE phone IS NOT NULL AND phone <> 'N/A'
 """)
 def filter_has_contact(spark, sf_dir):
-    docs = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
     return docs.filter(contact.has_contact("phone"))
 
 
@@ -413,7 +413,7 @@ def lookup_contains(spark, sf_dir):
 """)
 def filter_exclude_any(spark, sf_dir):
     noise = logs.is_noise("text", ["license", "free", "555-", "$$$", "http://", "|"])
-    return spread_table(spark, sf_dir, "documents", "doc_id").filter(~noise).select("doc_id")
+    return table(spark, sf_dir, "documents").filter(~noise).select("doc_id")
 
 
 @query("filter_level_below", """
@@ -435,8 +435,32 @@ def filter_level_below(spark, sf_dir):
     FROM f
 """)
 def flag_missing_contact(spark, sf_dir):
-    docs = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", contact.format_phone(phone_in_text()).alias("phone"))
     return docs.select(
         "doc_id", (~contact.has_contact("phone")).alias("expired"),
         contact.contact_or_placeholder("phone", "doc_id").alias("email"),
     )
+
+
+@query("contact_line", """
+    SELECT s_suppkey, concat_ws(', ', s_name, concat_ws(' ', CASE WHEN s_suppkey % 3 > 0 THEN n_name END, 'FL', CAST(10000 + s_nationkey AS VARCHAR))) AS line
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+""")
+def contact_line(spark, sf_dir):
+    """The line of a contact roll-up: every part trimmed of all blanks, missing parts left out."""
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    rows = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    return rows.select("s_suppkey", locality.contact_line(
+        F.concat(F.lit("\t"), "s_name", F.lit("\xa0 ")), F.when(F.col("s_suppkey") % 3 > 0, F.concat("n_name", F.lit("\r"))), F.lit(" FL\u3000"),
+        F.col("s_nationkey") + 10000,
+    ).alias("line"))
+
+
+@query("clean_money", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 0.0 ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS amount FROM orders
+""")
+def clean_money(spark, sf_dir):
+    """Money texts with signs, blanks of all kinds and sentinels, exact to the cent."""
+    exact = money.money("o_totalprice").cast("string")
+    written = F.when(F.col("o_orderkey") % 5 == 0, "N/A\r").otherwise(F.concat(F.lit("\xa0$"), F.regexp_replace(exact, r"([0-9]{3})\.", r",$1."), F.lit("\t\r")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", money.clean_money(written).cast("double").alias("amount"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parcelflow.functions.logs import parse_log_line
 from parcelflow.plans.registry import query, table
 from parcelflow.schemas import EVENTS
 from parcelflow.session import workdir
@@ -51,7 +52,34 @@ def stream_upsert_latest(spark, sf_dir):
 def stream_state_counts(spark, sf_dir):
     base = workdir(spark, "stream_counts")
     intake.drain(intake.running_counts(arrivals(spark, sf_dir), "user_id", f"{base}/out"), f"{base}/checkpoint")
-    return intake.latest_batch(spark, f"{base}/out")
+    return intake.latest_counts(spark, f"{base}/out", "user_id")
+
+
+@query("stream_dedup_within", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup_within(spark, sf_dir):
+    """Copies within a time: the state forgets what is older than the watermark. Here the time spans the table."""
+    base = workdir(spark, "stream_dedup_within")
+    fresh = intake.drop_seen(arrivals(spark, sf_dir), ["user_id", "event_type"], "ts", "3000 days")
+    intake.drain(intake.append_files(fresh.select("user_id", "event_type"), f"{base}/out"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_log_dedup", """
+    SELECT DISTINCT upper(event_type) AS level, 'user ' || (user_id % 40) || ' at step ' || (event_id % 3) AS message FROM events
+""")
+def stream_log_dedup(spark, sf_dir):
+    """Log files as a stream: a line whose level and message came before is dropped."""
+    base = workdir(spark, "stream_log_dedup")
+    line = F.concat(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" - "), F.upper("event_type"), F.lit(" - user "),
+        (F.col("user_id") % 40).cast("string"), F.lit(" at step "), (F.col("event_id") % 3).cast("string"),
+    )
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(f"{base}/logs")
+    lines = spark.readStream.schema("value string").format("text").load(f"{base}/logs")
+    parsed = lines.select(parse_log_line("value").alias("l")).filter("l IS NOT NULL").select("l.*")
+    fresh = intake.drop_seen(parsed, ["level", "message"], "ts", "3000 days")
+    intake.drain(intake.append_files(fresh.select("level", "message"), f"{base}/out"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
 
 
 @query("stream_resume", "SELECT event_id, user_id FROM events")

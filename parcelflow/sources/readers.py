@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from parcelflow.functions.logs import parse_log_line
-from parcelflow.functions.text import as_col
+from parcelflow.functions.text import as_col, strip
 from parcelflow.schemas import POSTAL, PROVIDER_RAW, WORK_LIST
 
 URL_EXPORT = "Total_URLs.csv"
@@ -30,13 +30,13 @@ def scan_work_list(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("line_no"),
         F.col("Location").alias("location"),
         split_list("ZipCodes").alias("zip_codes"),
-        (F.lower(F.trim(F.coalesce("Completed", F.lit("")))) == "yes").alias("completed"),
+        (F.lower(strip(F.coalesce("Completed", F.lit("")))) == "yes").alias("completed"),
     )
 
 
 def split_list(c: Column | str) -> Column:
     """A comma list as an array of trimmed, non-empty parts."""
-    return F.filter(F.split(F.trim(as_col(c)), r"\s*,\s*"), lambda x: x != "")
+    return F.filter(F.transform(F.split(as_col(c), ","), strip), lambda x: x != "")
 
 
 def scan_comma_list(spark: SparkSession, path: str, out: str = "zip_code") -> DataFrame:
@@ -63,7 +63,7 @@ def kv_bad_lines(record: Column | str) -> Column:
 
 
 def _kv_lines(record: Column | str) -> Column:
-    lines = F.transform(F.split(as_col(record), "\r?\n"), lambda line: F.trim(line))
+    lines = F.transform(F.split(as_col(record), "\r?\n"), strip)
     return F.filter(lines, lambda line: line != "")
 
 
@@ -79,19 +79,20 @@ def scan_kv_records(spark: SparkSession, path: str, fields: list[str], separator
     Without ``separator`` a record is a file of its own; with it, large files hold many records.
     """
     records = spark.read.text(path, wholetext=separator is None, lineSep=separator)
-    kept = records.filter(F.trim("value") != "").select(
+    kept = records.filter(strip("value") != "").select(
         kv_entries("value").alias("_e"), kv_bad_lines("value").alias("bad_lines")
     )
     return kept.select(*[kv_value("_e", f).alias(f) for f in fields], "bad_lines")
 
 
 def scan_documents_json(
-    spark: SparkSession, path: str, record: T.StructType, whole_file: bool = False
+    spark: SparkSession, path: str, record: T.StructType, whole_file: bool = False, bad: str | None = None
 ) -> DataFrame:
     """Nested agent documents as flat rows (agent, label, record fields).
 
     Each line is an object {agent: {label: record}} of one or more agents; ``whole_file``
-    reads a pretty-printed document. A missing path and broken JSON give no rows.
+    reads a pretty-printed document. A missing path gives no rows. With ``bad`` each broken line is a row of
+    nulls that holds its text in the column of that name; else broken lines are left out.
     """
     flat = T.StructType([T.StructField("agent", T.StringType()), T.StructField("label", T.StringType()), *record.fields])
     try:
@@ -99,34 +100,42 @@ def scan_documents_json(
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], flat)
+        return spark.createDataFrame([], flat if bad is None else flat.add(bad, T.StringType()))
     kind = T.MapType(T.StringType(), T.MapType(T.StringType(), record))
-    return (
-        text.select(F.explode(F.from_json("value", kind)).alias("agent", "_m"))
+    parsed = text.select("value", F.from_json("value", kind).alias("_d"))
+    rows = (
+        parsed.select(F.explode("_d").alias("agent", "_m"))
         .select("agent", F.explode("_m").alias("label", "_r"))
         .select("agent", "label", "_r.*")
     )
+    if bad is None:
+        return rows
+    broken = parsed.filter(F.col("_d").isNull() & (strip("value") != "")).select(F.col("value").alias(bad))
+    return rows.unionByName(broken, allowMissingColumns=True)
 
 
-def scan_provider_csv(spark: SparkSession, path: str, schema: T.StructType = PROVIDER_RAW) -> DataFrame:
-    """Provider files with a trimmed county per row; malformed lines are dropped.
+def scan_provider_csv(spark: SparkSession, path: str, schema: T.StructType = PROVIDER_RAW, bad: str | None = None, header: bool = True) -> DataFrame:
+    """Provider files with a trimmed county per row.
 
+    With ``bad`` malformed lines stay as rows that hold their text in the column of that name; else they are left out.
     ``load_seq`` orders rows by file time, file name and position for the last-wins rule.
     """
-    bad = "_corrupt_record"
-    with_bad = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    broken = bad or "_corrupt_record"
+    with_bad = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
     raw = (
         spark.read.schema(with_bad)
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=bad, escape='"', pathGlobFilter="*.csv")
+        .options(header=header, columnPruning=False, mode="PERMISSIVE", columnNameOfCorruptRecord=broken, escape='"', pathGlobFilter="*.csv")
         .csv(path)
     )
-    return raw.filter(F.col(bad).isNull()).select(
-        *[(F.trim("County") if f.name == "County" else F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields],
+    kept = raw.filter(F.col(broken).isNull()) if bad is None else raw
+    return kept.select(
+        *[(strip("County") if f.name == "County" else F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields],
         F.struct(
             F.col("_metadata.file_modification_time").alias("at"),
             F.col("_metadata.file_path").alias("file"),
             F.monotonically_increasing_id().alias("pos"),
         ).alias("load_seq"),
+        *([] if bad is None else [bad]),
     )
 
 
@@ -155,6 +164,12 @@ def scan_url_state(spark: SparkSession, path: str, location: str | None = None,
     return df
 
 
-def scan_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(ts, level, message) of log files; lines of another form are left out."""
-    return spark.read.text(path).select(parse_log_line("value").alias("_l")).filter("_l IS NOT NULL").select("_l.*")
+def scan_log_lines(spark: SparkSession, path: str, bad: str | None = None) -> DataFrame:
+    """(ts, level, message) of log files.
+
+    With ``bad`` lines of another form are rows that hold their text in the column of that name; else they are left out.
+    """
+    lines = spark.read.text(path).select(parse_log_line("value").alias("_l"), "value")
+    if bad is None:
+        return lines.filter("_l IS NOT NULL").select("_l.*")
+    return lines.select("_l.*", F.when(F.col("_l").isNull(), F.col("value")).alias(bad))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelflow.functions.text import file_slug
@@ -28,15 +29,15 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(found)
 
 
-def publish(df: DataFrame, base: str) -> str:
+def publish(df: DataFrame, base: str, fmt: str = "parquet", **options: str) -> str:
     """Write ``df`` as the next version of the table ``base``; readers see it once it is complete.
 
-    ``df`` may be derived from the current version, which stays as it is.
+    ``df`` may be derived from the current version, which stays as it is. Returns the folder of the version.
     """
     spark = df.sparkSession
     versions = _versions(spark, base)
     target = f"{base}/{VERSION}{(versions[-1] if versions else 0) + 1}"
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").format(fmt).options(**options).save(target)  # at most a broken try of this version is replaced
     return target
 
 
@@ -48,6 +49,23 @@ def current(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{VERSION}{versions[-1]}")
 
 
+def archive_old(spark: SparkSession, base: str, archive: str, keep: int = 3) -> list[str]:
+    """Move all versions but the newest ``keep`` to the folder ``archive``; returns where they are now. Nothing is deleted."""
+    return [move(spark, f"{base}/{VERSION}{v}", archive) for v in _versions(spark, base)[:-keep]]
+
+
+def move(spark: SparkSession, path: str, folder: str) -> str:
+    """Move a folder into another one, under its name."""
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(folder)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    goal = jvm.org.apache.hadoop.fs.Path(target, source.getName())
+    if not fs.rename(source, goal):
+        raise OSError(f"{path} could not be moved to {folder}")
+    return goal.toString()
+
+
 def retained(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
     """The newest ``keep`` versions, newest first; anything older may be archived."""
     return [f"{base}/{VERSION}{v}" for v in reversed(_versions(spark, base)[-keep:])]
@@ -58,11 +76,19 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 def append_fresh(batch: DataFrame, path: str, keys: list[str], order: list[str]) -> None:
-    """Append only rows whose key is neither stored nor earlier in the batch."""
-    append(fresh_rows(batch, batch.sparkSession.read.parquet(path), keys, order), path)
-
-
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Append only rows whose key is neither stored nor earlier in the batch; the first call starts the table."""
+    spark = batch.sparkSession
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], batch.schema)
+    append(fresh_rows(batch, stored, keys, order), path)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """CSV files in a new folder, or appended. A table that is replaced is published instead: ``publish(df, base, "csv", header="true")``."""
     df.write.mode(mode).options(header=True, escape='"').csv(path)
 
 
@@ -85,8 +111,9 @@ def document_lines(df: DataFrame, agent: str, order: list[Column], columns: list
     return docs.select(F.to_json(F.create_map(F.col(agent).cast("string"), F.col("listings"))).alias("value"))
 
 
-def save_documents_json(df: DataFrame, path: str, agent: str, order: list[Column], columns: list[str]) -> None:
-    document_lines(df, agent, order, columns).write.mode("overwrite").text(path)
+def save_documents_json(df: DataFrame, base: str, agent: str, order: list[Column], columns: list[str]) -> str:
+    """All rows of ``df`` as documents, as the next version of ``base``; returns its folder."""
+    return publish(document_lines(df, agent, order, columns), base, "text")
 
 
 def kv_record(columns: list[str]) -> Column:
@@ -94,12 +121,12 @@ def kv_record(columns: list[str]) -> Column:
     return F.concat_ws("\n", *[F.concat(F.lit(f"{c}: "), F.col(c).cast("string")) for c in columns])
 
 
-def save_kv_records(df: DataFrame, path: str, columns: list[str], slug_of: str | None = None) -> None:
+def save_kv_records(df: DataFrame, base: str, columns: list[str], slug_of: str | None = None) -> str:
     """Key-value records in large files, parted by a separator; one file per record does not scale.
 
-    With ``slug_of`` each record starts with the file slug of that column.
+    They are the next version of ``base``; returns its folder. With ``slug_of`` each record starts with the file slug of that column.
     """
     body = kv_record(columns)
     if slug_of is not None:
         body = F.concat_ws("\n", F.concat(F.lit("slug: "), file_slug(slug_of)), body)
-    df.select(body.alias("value")).write.mode("overwrite").option("lineSep", RECORD_SEPARATOR).text(path)
+    return publish(df.select(body.alias("value")), base, "text", lineSep=RECORD_SEPARATOR)

@@ -1,16 +1,20 @@
 """File intake as a stream: dedup, running counts and keyed upserts.
 
 Each query keeps its progress in a checkpoint folder, so a restart goes on where the last
-run stopped. Batch outputs are folders named by batch id and written with overwrite, so a
+run stopped. Batch outputs are folders named by query and batch and written with overwrite, so a
 repeated batch replaces itself and changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from parcelflow.operators.dedup import last_wins
+from parcelflow.sources.writers import move
 
 
 def watch_folder(
@@ -66,19 +70,25 @@ def drop_seen(
     return once(stream, keys).select(*columns)
 
 
-def running_counts(stream: DataFrame, key: str, out: str) -> DataStreamWriter:
-    """Counts per key after each batch, one folder per batch; read with ``latest_batch``."""
-    counts = stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def _store_delta(out: str, rows: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A batch as a folder of its own. The folder's name holds the id of the query, which lives in its checkpoint: a
+    batch that is repeated replaces itself, and a query that has lost its checkpoint never writes over older batches."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows(batch).withColumn("_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{out}/query={query}/batch={batch_id}")
 
-    return counts.writeStream.outputMode("complete").foreachBatch(store)
+    return store
 
 
-def latest_batch(spark: SparkSession, out: str) -> DataFrame:
-    table = spark.read.parquet(out)
-    return table.filter(F.col("batch") == table.agg(F.max("batch")).scalar()).drop("batch")
+def running_counts(stream: DataFrame, key: str, out: str) -> DataStreamWriter:
+    """Counts per key; each batch stores only the keys whose count has changed. Read with ``latest_counts``."""
+    counts = stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.writeStream.outputMode("update").foreachBatch(_store_delta(out, lambda batch: batch))
+
+
+def latest_counts(spark: SparkSession, out: str, key: str) -> DataFrame:
+    return latest_rows(spark, out, [key], [])
 
 
 def upsert_deltas(stream: DataFrame, keys: list[str], order: list[str], out: str) -> DataStreamWriter:
@@ -87,19 +97,23 @@ def upsert_deltas(stream: DataFrame, keys: list[str], order: list[str], out: str
     The table is the last row per key over all folders (``latest_rows``). No batch rewrites
     older data; ``compact`` folds the folders now and then.
     """
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        last_wins(batch, keys, order).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    return stream.writeStream.outputMode("update").foreachBatch(store)
+    return stream.writeStream.outputMode("update").foreachBatch(_store_delta(out, lambda batch: last_wins(batch, keys, order)))
 
 
 def latest_rows(spark: SparkSession, out: str, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key over all deltas; between equal orders the later batch wins."""
     table = spark.read.parquet(out)
-    return last_wins(table, keys, [*order, "batch"]).drop("batch")
+    return last_wins(table, keys, [*order, "_at", "batch", "query"]).drop("_at", "batch", "query")
 
 
-def compact(spark: SparkSession, out: str, target: str, keys: list[str], order: list[str]) -> None:
-    """Fold all deltas into one new folder, as batch -1, which later deltas may follow."""
-    latest_rows(spark, out, keys, order).write.mode("overwrite").parquet(f"{target}/batch=-1")
+def compact(spark: SparkSession, out: str, archive: str, keys: list[str], order: list[str]) -> None:
+    """Fold all deltas into one folder of the table and move those that it holds to ``archive``.
+
+    Readers and the stream go on as before: until the old folders are gone a key has the same row twice.
+    """
+    table = spark.read.parquet(out)
+    folded = [f"query={r['query']}/batch={r['batch']}" for r in table.select("query", "batch").distinct().collect()]
+    last = last_wins(table, keys, [*order, "_at", "batch", "query"]).drop("batch", "query")
+    last.write.parquet(f"{out}/query=folded-{uuid.uuid4().hex}/batch=-1")
+    for name in folded:
+        move(spark, f"{out}/{name}", f"{archive}/{name.split('/')[0]}")

@@ -49,6 +49,8 @@ def test_documents_json(spark, tmp_path):
     assert sorted((r.agent, r.label, r.address, r.price) for r in rows) == [("Ann", "Address 1", "x", "$1"), ("Ann", "Address 2", "y", None)]
     broken = write(tmp_path / "bad.json", '{"Ann": {')
     assert readers.scan_documents_json(spark, broken, record, whole_file=True).count() == 0
+    kept = readers.scan_documents_json(spark, broken, record, whole_file=True, bad="bad").collect()
+    assert [(r.agent, r.bad) for r in kept] == [(None, '{"Ann": {')]
     none = readers.scan_documents_json(spark, str(tmp_path / "absent.json"), record)
     assert none.count() == 0 and none.columns == ["agent", "label", "address", "price"]
 
@@ -58,6 +60,8 @@ def test_provider_csv(spark, tmp_path):
     write(tmp_path / "p" / "a.csv", "County,Address,Sq,Year\n Lake ,1 Main,10,1990\nLake,2 Main,20,1991,9,9\n")
     rows = readers.scan_provider_csv(spark, str(tmp_path / "p"), schema).collect()
     assert [(r.County, r.Address) for r in rows] == [("Lake", "1 Main")]
+    every = readers.scan_provider_csv(spark, str(tmp_path / "p"), schema, bad="bad").collect()
+    assert sorted((r.bad or "", r.Address) for r in every) == [("", "1 Main"), ("Lake,2 Main,20,1991,9,9", "2 Main")]
 
 
 def test_lexicon_file(spark, tmp_path):
@@ -88,6 +92,9 @@ def test_versions(spark, tmp_path):
     assert [r.id for r in writers.current(spark, base).collect()] == [4]
     assert [p.rsplit("=")[-1] for p in writers.retained(spark, base, 3)] == ["5", "4", "3"]
     (tmp_path / "t" / "version=6").mkdir()
+    moved = writers.archive_old(spark, base, str(tmp_path / "archive"), 3)
+    assert [p.rsplit("/")[-1] for p in moved] == ["version=1", "version=2"]
+    assert [r.id for p in moved for r in spark.read.parquet(p).collect()] == [0, 1]
     assert [r.id for r in writers.current(spark, base).collect()] == [4]
 
 
@@ -96,6 +103,8 @@ def test_append_fresh(spark, tmp_path):
     schema = "address string, zip string, price string, n int"
     writers.append(spark.createDataFrame([("a", "1", "$1", 0)], schema), path)
     batch = spark.createDataFrame([("a", "1", "$1", 1), ("b", "1", "$1", 3), ("b", "1", "$1", 2)], schema)
+    writers.append_fresh(batch, str(tmp_path / "new"), ["address", "zip", "price"], ["n"])
+    assert sorted((r.address, r.n) for r in spark.read.parquet(str(tmp_path / "new")).collect()) == [("a", 1), ("b", 2)]
     for _ in range(2):
         writers.append_fresh(batch, path, ["address", "zip", "price"], ["n"])
     assert sorted((r.address, r.n) for r in spark.read.parquet(path).collect()) == [("a", 0), ("b", 2)]
@@ -139,9 +148,47 @@ def test_upserts_and_compaction(spark, tmp_path):
     want = {0: 15, 1: 16, 2: 12, 3: 13, 4: 14}
     latest = intake.latest_rows(spark, f"{base}/out", ["user_id"], order)
     assert {r.user_id: r.event_id for r in latest.collect()} == want
-    intake.compact(spark, f"{base}/out", f"{base}/folded", ["user_id"], order)
-    folded = intake.latest_rows(spark, f"{base}/folded", ["user_id"], order)
-    assert {r.user_id: r.event_id for r in folded.collect()} == want
+    intake.compact(spark, f"{base}/out", f"{base}/archive", ["user_id"], order)
+    assert {r.user_id: r.event_id for r in intake.latest_rows(spark, f"{base}/out", ["user_id"], order).collect()} == want
+    assert spark.read.parquet(f"{base}/out").count() == 5 and spark.read.parquet(f"{base}/archive").count() == 10
+    events(spark, range(17, 18)).write.mode("append").parquet(f"{base}/in")
+    stream = intake.watch_folder(spark, f"{base}/in", EVENTS)
+    intake.drain(intake.upsert_deltas(stream, ["user_id"], order, f"{base}/out"), f"{base}/cp")
+    assert {r.user_id: r.event_id for r in intake.latest_rows(spark, f"{base}/out", ["user_id"], order).collect()} == want | {2: 17}
+
+
+def test_a_lost_checkpoint_loses_no_delta(spark, tmp_path):
+    base, order = str(tmp_path), ["ts", "event_id"]
+    for run, ids in enumerate((range(10), range(3))):
+        events(spark, ids).write.parquet(f"{base}/in{run}")
+        stream = intake.watch_folder(spark, f"{base}/in{run}", EVENTS)
+        intake.drain(intake.upsert_deltas(stream, ["user_id"], order, f"{base}/out"), f"{base}/cp{run}")
+    latest = intake.latest_rows(spark, f"{base}/out", ["user_id"], order)
+    assert {r.user_id: r.event_id for r in latest.collect()} == {0: 5, 1: 6, 2: 7, 3: 8, 4: 9}
+
+
+def test_poll_takes_up_new_files(spark, tmp_path):
+    base = str(tmp_path)
+    events(spark, range(4)).write.parquet(f"{base}/in")
+    query = intake.poll(intake.append_files(intake.watch_folder(spark, f"{base}/in", EVENTS), f"{base}/out"), f"{base}/cp", seconds=1)
+    try:
+        query.processAllAvailable()
+        events(spark, range(4, 7)).write.mode("append").parquet(f"{base}/in")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{base}/out").count() == 7
+
+
+def test_read_files_are_archived(spark, tmp_path):
+    base = str(tmp_path)
+    (tmp_path / "archive").mkdir()
+    for ids in (range(4), range(4, 7), range(7, 9)):
+        events(spark, ids).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = intake.watch_folder(spark, f"{base}/in", EVENTS, archive=f"{base}/archive")
+        intake.drain(intake.append_files(stream, f"{base}/out"), f"{base}/cp")
+    assert spark.read.parquet(f"{base}/out").count() == 9
+    assert any((tmp_path / "archive").rglob("*.parquet"))
 
 
 def test_counts_over_two_runs(spark, tmp_path):
@@ -150,4 +197,4 @@ def test_counts_over_two_runs(spark, tmp_path):
         events(spark, ids).write.mode("append").parquet(f"{base}/in")
         stream = intake.watch_folder(spark, f"{base}/in", EVENTS)
         intake.drain(intake.running_counts(stream, "event_type", f"{base}/out"), f"{base}/cp")
-    assert {r.event_type: r.n for r in intake.latest_batch(spark, f"{base}/out").collect()} == {"click": 8, "view": 7}
+    assert {r.event_type: r.n for r in intake.latest_counts(spark, f"{base}/out", "event_type").collect()} == {"click": 8, "view": 7}
