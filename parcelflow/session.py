@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "parcelflow") -> SparkSession:
@@ -17,6 +17,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "par
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Small tables in as many splits as there are cores, without a shuffle.
+        .config("spark.sql.files.openCostInBytes", str(64 << 10))
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # halves the time to build a plan
@@ -36,3 +38,11 @@ def workdir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/parcelflow/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder; what follows reads it from there and agrees on it."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(workdir(df.sparkSession, "checkpoint"))
+    return df.checkpoint(eager=True)

@@ -9,8 +9,8 @@ from parcelflow.plans import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 
 # What one task may receive: partial rows of an aggregate over the whole table, one per task; and
-# the totals per slice of a global order, whose number is bounded.
-ONE_TASK = re.compile(r"SinglePartition.*\n.*HashAggregate\(keys=\[(_slice#\d+)?\]")
+# the totals per range of a global order, of which there is one per ten million rows.
+ONE_TASK = re.compile(r"SinglePartition.*\n.*HashAggregate\(keys=\[(__range#\d+)?\]")
 
 
 def plan(spark, name):
@@ -57,3 +57,13 @@ def test_lookup_joins_carry_no_hint(spark):
             assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_page_novelty_reads_once_and_joins_nothing(spark):
+    text = plan(spark, "page_novelty")
+    assert text.count("Scan parquet") == 1 and "Join" not in text
+
+
+@pytest.mark.parametrize("name", ["first_keyword_match", "extract_links", "extract_tag_text", "normalize_key", "filter_exclude_any"])
+def test_raw_text_is_not_shuffled(spark, name):
+    assert "Exchange" not in plan(spark, name)
