@@ -1,15 +1,17 @@
-"""The whole cycle in one plan: dedup, enrich, metrics, cap, label."""
+"""The whole cycle: dedup, enrich, metrics, cap, label; and from raw files to merged documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from parcelflow.functions import money
-from parcelflow.functions.text import normalize_key
+from parcelflow.functions import contact, money
+from parcelflow.functions.text import normalize_key, sentinel_to_null, strip
 from parcelflow.operators import dedup, documents, enrich
 from parcelflow.operators.metrics import add_offer_metrics
 from parcelflow.plans.enrichment import INDEX_SQL, PROVIDER_FIELDS, index
 from parcelflow.plans.registry import query, table
+from parcelflow.session import workdir
+from parcelflow.sources import writers
 
 
 def run_cycle(listings: DataFrame, provider: DataFrame, provider_columns: list[str]) -> DataFrame:
@@ -90,3 +92,80 @@ def listing_cycle(spark, sf_dir):
         F.col("cash_offer").cast("double").alias("cash_offer"),
         F.col("monthly_creative_payments").cast("double").alias("monthly_creative_payments"), "term_length_months",
     )
+
+
+DOCUMENT_COLUMNS = ["price", "rent", "insurance", "property_taxes", "hoa_fee", "phone_number", "Email_sent"]
+RAW_LISTING = T.StructType([
+    T.StructField("seq", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("agent", "address", *DOCUMENT_COLUMNS)],
+])
+
+
+def merge_listing_files(spark: SparkSession, path: str, base: str, as_of: Column) -> str:
+    """One cycle: raw CSV in, texts cleaned, merged into the stored documents, published as their next version."""
+    raw = spark.read.schema(RAW_LISTING).options(header=True, escape='"').csv(path)
+    clean = raw.select("seq", *[sentinel_to_null(strip(c)).alias(c) for c in ("agent", "address", *DOCUMENT_COLUMNS)])
+    try:
+        stored = writers.current(spark, base)
+    except FileNotFoundError:
+        stored = clean.limit(0).drop("seq").withColumn("timestamp", as_of)
+    merged = documents.fill_null_upsert(stored, clean, ["agent", "address"], DOCUMENT_COLUMNS, "timestamp", "seq", as_of)
+    return writers.publish(merged.drop("action"), base)
+
+
+def offer_documents(stored: DataFrame) -> DataFrame:
+    """Stored documents with amounts, offer metrics, a placeholder contact where the phone is missing, the newest 15 per agent labelled."""
+    amounts = ["price", "rent", "insurance", "property_taxes", "hoa_fee"]
+    priced = add_offer_metrics(stored.withColumns({c: money.clean_money(c) for c in amounts}))
+    key = F.concat_ws("|", "agent", "address")
+    reached = priced.withColumn("email", contact.contact_or_placeholder("phone_number", key))
+    capped = documents.cap_latest(reached, "agent", [F.desc("timestamp"), F.desc("address")])
+    return documents.label_capped(capped, "agent", [F.asc("timestamp"), F.asc("address")])
+
+
+@query("document_merge_cycle", """
+    WITH raw AS (
+        SELECT CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 1 ELSE 2 END AS run, o_orderkey AS seq, 'Agent ' || o_custkey AS agent,
+               o_orderpriority || '/' || year(o_orderdate) AS address,
+               CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS price,
+               CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 3000 + 600 AS DECIMAL(18,2)) END AS rent,
+               CASE WHEN o_orderkey % 3 > 0 THEN '813-555-' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') END AS phone_number,
+               CASE WHEN o_orderkey % 11 = 0 THEN 'yes' END AS sent
+        FROM orders),
+    merged AS (
+        SELECT agent, address, arg_min(price, (run, seq)) FILTER (WHERE price IS NOT NULL) AS p, arg_min(rent, (run, seq)) FILTER (WHERE rent IS NOT NULL) AS r,
+               arg_min(phone_number, (run, seq)) FILTER (WHERE phone_number IS NOT NULL) AS phone_number,
+               arg_min(sent, (run, seq)) FILTER (WHERE sent IS NOT NULL) AS sent, min(run) AS run
+        FROM raw GROUP BY agent, address),
+    amounts AS (SELECT *, coalesce(p, 0) AS price, coalesce(r, 0) AS rent FROM merged),
+    fees AS (SELECT *, CAST(round(rent * CAST(0.10 AS DECIMAL(4,2)), 2) + 2 * round(rent * CAST(0.05 AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS fee FROM amounts),
+    capped AS (SELECT *, row_number() OVER (PARTITION BY agent ORDER BY run DESC, address DESC) AS pos FROM fees)
+    SELECT agent, 'Address ' || row_number() OVER (PARTITION BY agent ORDER BY run, address) AS label, address, CAST(price AS DOUBLE) AS price,
+           CAST(round(price * CAST(0.75 AS DECIMAL(4,2)), 2) AS DOUBLE) AS cash_offer,
+           CASE WHEN rent > 0 THEN CAST(rent - 350 - fee AS DOUBLE) ELSE 0 END AS monthly_creative_payments, phone_number,
+           CASE WHEN phone_number IS NULL THEN substr(sha256(agent || '|' || address), 1, 32) || '@example.com' END AS email,
+           sent AS "Email_sent", CASE WHEN run = 1 THEN '2001-01-01' ELSE '2002-01-01' END AS stamped
+    FROM capped WHERE pos <= 15
+""")
+def document_merge_cycle(spark, sf_dir):
+    """Two cycles from raw CSV to labelled documents: the second fills what the first left open and adds new listings."""
+    base, orders = workdir(spark, "document_merge"), table(spark, sf_dir, "orders")
+    cut, key = F.lit("1996-01-01").cast("timestamp_ntz"), F.col("o_orderkey")
+    exact = F.regexp_replace(money.money("o_totalprice").cast("string"), r"([0-9]{3})\.", ",$1.")
+    text = {
+        "agent": F.concat(F.lit("\tAgent "), F.col("o_custkey").cast("string"), F.lit("\xa0")),
+        "address": F.concat("o_orderpriority", F.lit("/"), F.year("o_orderdate").cast("string"), F.lit(" ")),
+        "price": F.when(key % 7 > 0, F.concat(F.lit(" $"), exact)).otherwise("Not found"),
+        "rent": F.when(key % 5 > 0, F.concat(F.lit("$"), (key % 3000 + 600).cast("string"))).otherwise("N/A"),
+        "insurance": F.lit("—"), "property_taxes": F.lit("nan"), "hoa_fee": F.lit(""),
+        "phone_number": F.when(key % 3 > 0, F.concat(F.lit("813-555-"), F.lpad((key % 10000).cast("string"), 4, "0"))).otherwise("\tN/A"),
+        "Email_sent": F.when(key % 11 == 0, "yes"),
+    }
+    rows = orders.select("o_orderdate", key.alias("seq"), *[v.alias(c) for c, v in text.items()])
+    for run, part in enumerate((rows.filter(F.col("o_orderdate") < cut), rows.filter(F.col("o_orderdate") >= cut)), 1):
+        writers.write_csv(part.drop("o_orderdate"), f"{base}/in{run}")
+        merge_listing_files(spark, f"{base}/in{run}", f"{base}/documents", F.lit(f"200{run}-01-01").cast("timestamp_ntz"))
+    out = offer_documents(writers.current(spark, f"{base}/documents"))
+    return out.select(
+        "agent", "label", "address", *[F.col(c).cast("double").alias(c) for c in ("price", "cash_offer", "monthly_creative_payments")],
+        "phone_number", "email", "Email_sent", F.date_format("timestamp", "yyyy-MM-dd").alias("stamped"),
+    )
