@@ -10,7 +10,7 @@ token. States and their transitions are made when a byte first asks for them, an
 together when they number ``MAX_STATES``.
 
 Texts are parted by the pattern of the rank file into pieces, each encoded from the start state. Pieces
-repeat, so a task keeps the ids of up to ``MAX_PIECES`` short ones.
+repeat, so a task keeps the ids of up to ``MAX_PIECES`` short ones; the states stay for the tasks that follow.
 
 Decoding. Ids give bytes; ``Utf8Stream`` turns bytes into text as they come and holds back at most three
 bytes of an unfinished character.
@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -29,9 +30,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from parcelflow.llm.common import released
+
 MAX_STATES = 400_000
 MAX_PAIRS = 500_000
-MAX_PIECES = 1_000_000
+MAX_PIECES = 600_000
 #: Characters of the longest piece that is kept, and of a text that is taken at a time.
 LONGEST_KEPT = 48
 SEGMENT = 1 << 22
@@ -64,18 +67,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-class State:
-    __slots__ = ("ends", "next", "tail")
-
-    def __init__(self, tail: bytes, ends: tuple[tuple[int, ...] | None, ...]):
-        #: What was read and may grow into a token, and for each place in it the tokens up to there from the
-        #: last common one on; None where no token can begin.
-        self.tail, self.ends = tail, ends
-        self.next: dict[int, tuple[State, tuple[int, ...]]] = {}
-
-
 class Transducer:
-    """Bytes to token ids, for one set of ranks."""
+    """Bytes to token ids, for one set of ranks.
+
+    A state is a number. Its key holds, in few bytes, what was read and may grow into a token, and for each place in
+    it the tokens up to there from the last common one on; none where no token can begin.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -85,16 +82,36 @@ class Transducer:
         self.reset()
 
     def reset(self) -> None:
-        self.states: dict[tuple, State] = {}
+        self.numbers: dict[bytes, int] = {}
+        self.keys: list[bytes] = []
+        self.next: dict[int, int] = {}  # 256 * state + byte -> state
+        self.out: dict[int, tuple[int, ...]] = {}  # the same -> ids, where there are some
         self.shapes: dict[bytes, tuple] = {}
-        self.start = self._state(b"", ((START,),))
-
-    def _state(self, tail: bytes, ends: tuple) -> State:
-        key = (tail, ends)
-        state = self.states.get(key)
-        if state is None:
-            state = self.states[key] = State(tail, ends)
-        return state
+        self.start = self._state(b"", [(START,)])
+
+    def _state(self, tail: bytes, ends: list[tuple[int, ...]]) -> int:
+        key = bytes((len(tail),)) + tail + array("i", [n for end in ends for n in (*end, len(end))]).tobytes()
+        number = self.numbers.get(key)
+        if number is None:
+            number = self.numbers[key] = len(self.keys)
+            self.keys.append(key)
+        return number
+
+    def _read(self, state: int) -> tuple[bytes, list[tuple[int, ...]]]:
+        key = self.keys[state]
+        flat, ends = array("i", key[key[0] + 1 :]), []
+        at = len(flat)
+        while at:
+            n = flat[at - 1]
+            ends.append(tuple(flat[at - 1 - n : at - 1]))
+            at -= n + 1
+        return key[1 : key[0] + 1], ends[::-1]
+
+    def _last(self, state: int) -> array:
+        """The ids that are left when a piece ends here."""
+        key = self.keys[state]
+        n = int.from_bytes(key[-4:], "little")
+        return array("i", key[-4 * n : -4])
 
     def merged(self, data: bytes) -> list[bytes]:
         """Plain merging, lowest rank first and leftmost among equals; used on one or two tokens."""
@@ -127,11 +144,12 @@ class Transducer:
             found = self.shapes[grown] = tokens, [at for at in places if grown[at:] in self.starts]
         return found
 
-    def _step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        grown, before = state.tail + bytes((byte,)), state.ends
+    def _step(self, state: int, byte: int) -> int:
+        tail, before = self._read(state)
+        grown = tail + bytes((byte,))
         tokens, places = self._shape(grown)
         for at, token in tokens:
-            if before[at] is not None and self.fits(before[at][-1], token):
+            if before[at] and self.fits(before[at][-1], token):
                 now = (*before[at], token)
                 break
         else:
@@ -146,35 +164,48 @@ class Transducer:
         else:
             open_ends = [e[common - 1 :] for e in open_ends]
         first = places[0] if places else len(grown)
-        ends: list[tuple[int, ...] | None] = [None] * (len(grown) - first + 1)
+        ends: list[tuple[int, ...]] = [()] * (len(grown) - first + 1)
         for at, end in zip(places, open_ends, strict=False):
             ends[at - first] = end
         ends[-1] = open_ends[-1]
-        return self._state(grown[first:], tuple(ends)), now[1:common]
+        after = self._state(grown[first:], ends)
+        self.next[state << 8 | byte] = after
+        if common > 1:
+            self.out[state << 8 | byte] = now[1:common]
+        return after
 
     def encode(self, piece: bytes) -> list[int]:
         """The ids of one piece. A piece that is a token as a whole is that token."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        out: list[int] = []
-        for ids in self.stream(piece):
-            out.extend(ids)
-        return out
+        if len(self.keys) > MAX_STATES:
+            self.reset()
+        state, follow, emitted, ids = self.start, self.next, self.out, []
+        for byte in piece:
+            at = state << 8 | byte
+            state = follow.get(at)
+            if state is None:
+                state = self._step(at >> 8, byte)
+            if at in emitted:
+                ids += emitted[at]
+        ids += self._last(state)
+        return ids
 
     def stream(self, piece: Iterable[int]) -> Iterator[tuple[int, ...]]:
         """Ids as soon as no later byte can change them."""
-        if len(self.states) > MAX_STATES:
+        if len(self.keys) > MAX_STATES:
             self.reset()
-        state = self.start
+        state, follow, out = self.start, self.next, self.out
         for byte in piece:
-            step = state.next.get(byte)
-            if step is None:
-                step = state.next[byte] = self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                yield step[1]
-        yield state.ends[-1][1:]
+            at = state << 8 | byte
+            state = follow.get(at)
+            if state is None:
+                state = self._step(at >> 8, byte)
+            ids = out.get(at)
+            if ids is not None:
+                yield ids
+        yield tuple(self._last(state))
 
 
 class Pieces(dict):
@@ -272,6 +303,11 @@ def token_table(path: str) -> list[bytes]:
     return table
 
 
+def _forget() -> None:
+    encoder.cache_clear()
+    token_table.cache_clear()
+
+
 def _encoded(path: str, pattern: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, table = encoder(path, pattern), token_table(path)
@@ -293,8 +329,9 @@ def _encoded(path: str, pattern: str, with_ids: bool):
             if with_ids:
                 columns["ids"] = pa.array(held, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
+        pieces.clear()  # a worker that waits keeps the transducer, not the pieces
 
-    return run
+    return released(run, "bpe", _forget)
 
 
 def encoded(docs: DataFrame, path: str, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text",

@@ -21,6 +21,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from parcelflow.llm.common import released
+
 SAMPLE = 2000
 SAMPLE_LINES = 48
 SAMPLE_SEED = 11
@@ -32,7 +34,7 @@ HELD_OUT_MOD = 5
 #: A document is taken for good from this score on.
 GOOD = 0.3
 #: Bytes that are classified at a time.
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20
 
 # Classes of bytes: lower case, upper case, digits, blanks, stops, exclamation, bars, brackets and quotes, other signs, not ASCII.
 LOWER, UPPER, DIGIT, BLANK, STOP, CRY, BAR, QUOTE, SIGN, HIGH = range(10)
@@ -244,7 +246,7 @@ def _scores(model: Model | None):
             scores = score_all((t.as_py() for t in batch.column("text")), model)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
-    return run
+    return released(run)
 
 
 def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,19 +22,19 @@ from itertools import combinations, islice, repeat
 import numpy as np
 import pyarrow as pa
 import re
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from xxhash import xxh64_intdigest
 
-from parcelflow.llm.common import stored
+from parcelflow.llm.common import released, stored
 from parcelflow.llm.components import components, forest
 
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
 #: Variants that one group of the meeting holds on average.
-VARIANTS_PER_GROUP = 4_000_000
+VARIANTS_PER_GROUP = 1_500_000
 #: Fingerprints whose variants a task makes at a time.
-SLICE = 8192
+SLICE = 2048
 #: Bytes of a text that are parted into words at a time.
 SEGMENT = 1 << 22
 
@@ -82,10 +82,16 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(marks.view(np.int64))], ["doc_id", "mark"])
 
 
+def _own_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        marks = np.fromiter((fingerprint(t.as_py()) for t in batch.column("text")), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(marks.view(np.int64))], ["row", "__own"])
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, mark) of each row; mark is the fingerprint as a signed whole number."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id bigint, mark bigint")
+    return rows.mapInArrow(released(_fingerprints), "doc_id bigint, mark bigint")
 
 
 def _variants(bits: int):
@@ -144,7 +150,7 @@ def links(marks: DataFrame) -> DataFrame:
     n = marks.count()
     bits = (n * (2 * 64 + 1 + len(_TWO)) // 2 // VARIANTS_PER_GROUP).bit_length()
     dealt = marks.select("mark").repartition(max(1, n // SLICE), "mark")  # few bytes that make many
-    return dealt.mapInArrow(_variants(bits), "part int, v binary, code binary").groupBy("part").applyInArrow(
+    return dealt.mapInArrow(released(_variants(bits)), "part int, v binary, code binary").groupBy("part").applyInArrow(
         _meet, "u bigint, v bigint"
     )
 
@@ -189,8 +195,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = stored(classes_of(rows))
     heads = rows.join(classes, "mark").filter("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
     named = docs.join(heads, F.col(id_col).cast("bigint") == F.col("__head")).dropDuplicates([id_col]).select(*columns)
-    one = F.pandas_udf(lambda texts: texts.map(lambda t: fingerprint(None if t is None else bytes(t))).astype("uint64").astype("int64"), "bigint")
     bare = classes.filter("component_id is null").select(F.col("mark").alias("__mark"), F.col("root").alias("__root"))
-    nameless = docs.filter(F.col(id_col).isNull()).withColumn("__own", one(F.col(text_col).cast("binary")))
-    nameless = nameless.join(bare, F.col("__own") == F.col("__mark")).dropDuplicates(["__root"]).select(*columns)
+    loose = docs.filter(F.col(id_col).isNull()).select(F.struct(*columns).alias("row"), F.col(text_col).cast("binary").alias("text"))
+    kind = loose.schema["row"].dataType
+    nameless = loose.mapInArrow(released(_own_marks), T.StructType([T.StructField("row", kind), T.StructField("__own", T.LongType())]))
+    nameless = nameless.join(bare, F.col("__own") == F.col("__mark")).dropDuplicates(["__root"]).select("row.*")
     return named.unionByName(nameless)

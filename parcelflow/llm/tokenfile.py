@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from parcelflow.llm import bpe
-from parcelflow.llm.common import stored
+from parcelflow.llm.common import released, stored
 from parcelflow.llm.shared import Target, opened
 from parcelflow.session import workdir
 
@@ -238,7 +238,7 @@ def _write(folder: str, tokenizer: str, file_ids: int):
         if writer is not None:
             yield closed()
 
-    return run
+    return released(run, "chunks", chunks.cache_clear)
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
