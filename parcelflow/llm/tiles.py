@@ -56,9 +56,9 @@ def quantise(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _pack(group: pa.Table) -> pa.Table:
     """One tile as one row."""
     dim = group["dim"][0].as_py()
-    flat = group["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    vectors = flat.reshape(-1, dim)
-    q, bounds = quantise(unit(vectors))
+    flat = group["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    vectors = flat.reshape(-1, dim)  # as given, in four or eight bytes
+    q, bounds = quantise(unit(vectors.astype(np.float64)))
     blob = lambda x: pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())
     return pa.table({
         "label": group["label"].slice(0, 1), "dim": group["dim"].slice(0, 1), "tile": group["tile"].slice(0, 1),
@@ -73,7 +73,8 @@ class Tile:
         self.ids, self.sizes = (np.frombuffer(row[c], np.int64) for c in ("ids", "sizes"))
         self.q = np.frombuffer(row["q"], np.int8).reshape(-1, dim)
         self.scale, self.length, self.error = np.frombuffer(row["bounds"], np.float64).reshape(-1, 3).T
-        self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
+        width = len(row["vectors"]) // (len(self.ids) * dim)
+        self.vectors = np.frombuffer(row["vectors"], f"f{width}").reshape(-1, dim).astype(np.float64)
 
 
 def linked(a: Tile, b: Tile, threshold: float) -> tuple[np.ndarray, int]:
