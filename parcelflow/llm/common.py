@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import gc
 import os
 import shutil
 import tempfile
@@ -60,7 +59,6 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
         if drop is not None:
             _kept[kind] = drop
         yield from run(batches)
-        gc.collect()
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
             ctypes.CDLL(None).malloc_trim(0)
