@@ -10,7 +10,8 @@ token. States and their transitions are made when a byte first asks for them, an
 together when they number ``MAX_STATES``.
 
 Texts are parted by the pattern of the rank file into pieces, each encoded from the start state. Pieces
-repeat, so a task keeps the ids of up to ``MAX_PIECES`` short ones; the states stay for the tasks that follow.
+repeat, so a worker keeps the ids of up to ``MAX_PIECES`` short ones; they and the states stay until a task of
+another kind begins in it.
 
 Decoding. Ids give bytes; ``Utf8Stream`` turns bytes into text as they come and holds back at most three
 bytes of an unfinished character.
@@ -329,7 +330,6 @@ def _encoded(path: str, pattern: str, with_ids: bool):
             if with_ids:
                 columns["ids"] = pa.array(held, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
-        pieces.clear()  # a worker that waits keeps the transducer, not the pieces
 
     return released(run, "bpe", _forget)
 
