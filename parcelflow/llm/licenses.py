@@ -1,9 +1,9 @@
 """License notices by conditional compression.
 
-A candidate block is the part of a text around words that notices use. It is compressed alone and with each
-template as the compressor's dictionary; how many bytes a template saves, as a share of what it saves on itself,
-ranks the templates. The best ones are confirmed word by word: the place of the block where the template fits
-with the fewest changes, and these changes.
+A candidate block is the part of a text around words that notices use, cut into overlapping windows of a few
+template lengths. A window is compressed alone and with each template as the compressor's dictionary; how many bytes
+a template saves, as a share of what it saves on itself, ranks the templates. The best ones are confirmed word by
+word: the place of the window where the template fits with the fewest changes, and these changes.
 
 The gate on words runs in the JVM, so that only texts with such a word reach Python.
 """
@@ -93,6 +93,17 @@ def blocks(text: str, words: list[tuple[str, int, int]], reach: int) -> Iterator
         yield held
 
 
+def windows(low: int, high: int, reach: int) -> Iterator[tuple[int, int]]:
+    """A block in parts of three reaches that overlap by one, which is a template and as many words put in.
+
+    What a template saves is so measured on few words, however long a block grows, and each notice lies whole in a part.
+    """
+    while high - low > 3 * reach:
+        yield low, low + 3 * reach
+        low += 2 * reach
+    yield low, high
+
+
 def best_place(template: list[str], block: list[str]) -> tuple[int, int, int]:
     """Start, end and number of changed words of the place where the template fits best."""
 
@@ -138,7 +149,7 @@ def compiled(templates: tuple[tuple[str, str], ...]) -> list[Template]:
 
 
 def _confirmed(words: list[str], low: int, high: int, templates: list[Template], min_saving: float, min_words: float) -> Iterator[tuple]:
-    """(words in place, template, saving, start, end, changed words) of the notices in one block."""
+    """(words in place, template, saving, start, end, changed words) of the notices in one window."""
     parts = [(low, high)]
     while parts:
         low, high = parts.pop()
@@ -161,14 +172,14 @@ def _confirmed(words: list[str], low: int, high: int, templates: list[Template],
 def notices(text: str, templates: list[Template], min_saving: float = MIN_SAVING, min_words: float = MIN_WORDS) -> list[tuple]:
     """(license, start, end, saving, changed words, similarity, wording, changes) of each notice in a text.
 
-    Blocks are as wide as their templates ask for, so that a short notice stands out of its block. Of notices that
-    overlap, the one with more words in place counts. A notice lacks none of its template's key words.
+    Blocks and windows are as wide as their templates ask for, so that a short notice stands out. Of notices that
+    overlap, in one window or in two, the one with more words in place counts. A notice lacks none of its template's key words.
     """
     words = words_of(text)
     plain = [w for w, *_ in words]
     fits = [
         fit for reach in sorted({t.reach for t in templates}) for block in blocks(text, words, reach)
-        for fit in _confirmed(plain, *block, [t for t in templates if t.reach == reach], min_saving, min_words)
+        for window in windows(*block, reach) for fit in _confirmed(plain, *window, [t for t in templates if t.reach == reach], min_saving, min_words)
     ]
     taken = np.zeros(len(words), bool)
     found = []

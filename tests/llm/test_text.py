@@ -116,6 +116,28 @@ def test_license_lines_of_the_table(docs):
     assert licenses.scan(docs).select("doc_id").distinct().count() == want
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_long_lists_of_notices(name):
+    """Every exact notice of a list is found, however long the list is."""
+    lines = [f"pkg{i}x{i * 7919 % 1000} 1.{i}.0 {licenses.TEMPLATES[name]}" for i in range(1000)]
+    found = licenses.notices("\n".join(lines), licenses.compiled(tuple(licenses.TEMPLATES.items())))
+    assert [(f[0], f[4]) for f in found] == [(name, 0)] * 1000
+
+
+def test_notices_in_a_text_that_is_dense_in_anchors():
+    rng = random.Random(1)
+    words = ["license", "copyright", "permission", "warranty", "redistribute", *(f"w{i}" for i in range(60))]
+    parts, want = [], []
+    for i in range(520):
+        name = rng.choice(list(licenses.TEMPLATES))
+        parts += [" ".join(rng.choices(words, k=rng.randint(20, 180))), f"x{i}", licenses.TEMPLATES[name], f"y{i}"]
+        want.append((name, 0))
+    text = " ".join(parts)
+    assert len(text) > 300_000
+    found = licenses.notices(text, licenses.compiled(tuple(licenses.TEMPLATES.items())))
+    assert [(f[0], f[4]) for f in found] == want
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return bpe.encoder(RANKS, public_tokenizers.PATTERN)
