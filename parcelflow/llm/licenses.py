@@ -2,8 +2,8 @@
 
 A candidate block is the part of a text around words that notices use, cut into overlapping windows of a few
 template lengths. A window is compressed alone and with each template as the compressor's dictionary; how many bytes
-a template saves, as a share of what it saves on itself, ranks the templates. The best ones are confirmed word by
-word: the place of the window where the template fits with the fewest changes, and these changes.
+a template saves, as a share of what it saves on itself, tells whether the template is tried. It is confirmed word by
+word: every place of the window where it fits with few changes and holds the template's key words, and these changes.
 
 The gate on words runs in the JVM, so that only texts with such a word reach Python.
 """
@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -104,31 +105,11 @@ def windows(low: int, high: int, reach: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def best_place(template: list[str], block: list[str]) -> tuple[int, int, int]:
-    """Start, end and number of changed words of the place where the template fits best."""
-
-    def last_row(a: list[str], b: list[str]) -> np.ndarray:
-        codes = {w: i for i, w in enumerate(dict.fromkeys(a))}
-        right = np.array([codes.get(w, -1) for w in b])
-        steps = np.arange(len(b) + 1)
-        row = np.zeros(len(b) + 1, int)
-        for n, word in enumerate(a, 1):
-            new = np.empty_like(row)
-            new[0] = n
-            new[1:] = np.minimum(row[:-1] + (right != codes[word]), row[1:] + 1)
-            row = np.minimum.accumulate(new - steps) + steps  # words of the block that the template lacks
-        return row
-
-    row = last_row(template, block)
-    end = int(row.argmin())
-    back = last_row(template[::-1], block[:end][::-1])
-    return end - int(back.argmin()), end, int(row[end])
-
-
 class Template:
     def __init__(self, name: str, text: str):
         self.name, self.words = name, [w for w, *_ in words_of(text)]
         self.keys = set(KEYS.get(name, ()))
+        self.codes = {w: i for i, w in enumerate(dict.fromkeys(self.words))}
         self.reach = 2 * len(self.words)
         self.text = " ".join(self.words)
         data = zstandard.ZstdCompressionDict(self.text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -138,6 +119,31 @@ class Template:
     def saving(self, block: bytes, alone: int) -> float:
         return (alone - len(self.with_template.compress(block))) / self.own
 
+    def places(self, words: list[str], low: int, high: int, min_words: float) -> Iterator[tuple[int, int, int, int, str]]:
+        """(minus the words in place, changed words, start, end, name) where the template fits, best for each end.
+
+        Of starts with as few changes the last one counts. A place that lacks a key word is none.
+        """
+        n, size = len(self.words), high - low
+        if size / n < min_words:
+            return
+        right = np.array([self.codes.get(w, -1) for w in words[low:high]], int)
+        # A number holds changes and start of the best fit that ends at a word: changes * scale - start.
+        scale = size + 1
+        steps = np.arange(size + 1) * scale
+        row = -np.arange(size + 1)
+        for k, word in enumerate(self.words, 1):
+            new = np.empty_like(row)
+            new[0] = k * scale
+            new[1:] = np.minimum(row[:-1] + (right != self.codes[word]) * scale, row[1:] + scale)
+            row = np.minimum.accumulate(new - steps) + steps  # words of the text that the template lacks
+        changes = -(-row // scale)
+        for end in np.flatnonzero(1 - changes / n >= min_words).tolist():
+            changed = int(changes[end])
+            start = changed * scale - int(row[end])
+            if end > start and self.keys <= set(words[low + start : low + end]):
+                yield changed - n, changed, low + start, low + end, self.name
+
 
 _SETTINGS = zstandard.ZstdCompressionParameters(**SETTINGS)
 _ALONE = zstandard.ZstdCompressor(compression_params=_SETTINGS)
@@ -149,24 +155,14 @@ def compiled(templates: tuple[tuple[str, str], ...]) -> list[Template]:
 
 
 def _confirmed(words: list[str], low: int, high: int, templates: list[Template], min_saving: float, min_words: float) -> Iterator[tuple]:
-    """(words in place, template, saving, start, end, changed words) of the notices in one window."""
-    parts = [(low, high)]
-    while parts:
-        low, high = parts.pop()
-        block = words[low:high]
-        data = " ".join(block).encode()
-        alone = len(_ALONE.compress(data))
-        fits = []
-        for saving, t in sorted(((t.saving(data, alone), t) for t in templates), key=lambda x: (-x[0], x[1].name)):
-            if saving < min_saving:
-                break
-            start, end, changed = best_place(t.words, block)
-            if end > start and 1 - changed / len(t.words) >= min_words and t.keys <= set(block[start:end]):
-                fits.append((len(t.words) - changed, t.name, t, saving, low + start, low + end, changed))
-        if fits:
-            n, _, t, saving, start, end, changed = max(fits, key=lambda f: f[:2])
-            yield n, t, saving, start, end, changed
-            parts += [(low, start), (end, high)]
+    """(place, saving) of the notices in one window."""
+    data = " ".join(words[low:high]).encode()
+    alone = len(_ALONE.compress(data))
+    for t in templates:
+        saving = t.saving(data, alone)
+        if saving >= min_saving:
+            for place in t.places(words, low, high, min_words):
+                yield place, saving
 
 
 def notices(text: str, templates: list[Template], min_saving: float = MIN_SAVING, min_words: float = MIN_WORDS) -> list[tuple]:
@@ -177,14 +173,27 @@ def notices(text: str, templates: list[Template], min_saving: float = MIN_SAVING
     """
     words = words_of(text)
     plain = [w for w, *_ in words]
-    fits = [
-        fit for reach in sorted({t.reach for t in templates}) for block in blocks(text, words, reach)
-        for window in windows(*block, reach) for fit in _confirmed(plain, *window, [t for t in templates if t.reach == reach], min_saving, min_words)
-    ]
+    savings: dict[tuple, float] = {}
+    for reach in sorted({t.reach for t in templates}):
+        some = [t for t in templates if t.reach == reach]
+        for block in blocks(text, words, reach):
+            for window in windows(*block, reach):
+                for place, saving in _confirmed(plain, *window, some, min_saving, min_words):
+                    savings[place] = max(saving, savings.get(place, saving))
+    known = {t.name: t for t in templates}
     taken = np.zeros(len(words), bool)
-    found = []
-    for _, t, saving, start, end, changed in sorted(fits, key=lambda f: (-f[0], f[3], f[1].name)):
-        if taken[start:end].any():
+    found, queue = [], sorted(savings)
+    while queue:
+        place = heappop(queue)
+        _, changed, start, end, name = place
+        t, saving = known[name], savings[place]
+        held = np.flatnonzero(taken[start:end])
+        if len(held):
+            # What is left of the place may still hold the notice with more changes.
+            for rest in t.places(plain, start + int(held[-1]) + 1, end, min_words):
+                if rest[3] == end:
+                    savings[rest] = max(saving, savings.get(rest, saving))
+                    heappush(queue, rest)
             continue
         taken[start:end] = True
         first, last = words[start][1], words[end - 1][2]

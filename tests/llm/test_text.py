@@ -138,6 +138,19 @@ def test_notices_in_a_text_that_is_dense_in_anchors():
     assert [(f[0], f[4]) for f in found] == want
 
 
+def test_a_refused_place_does_not_refuse_the_template():
+    known = licenses.compiled(tuple(licenses.TEMPLATES.items()))
+    gpl = "licensed under the GNU General Public License, version"
+    for text, want in (
+        ("alpha is released under the BSD License and beta is licensed under the MIT License", [("MIT-notice", 1, "under the MIT License")]),
+        (f"This work is {gpl} 2 and this program is {gpl} 3", [("GPL-3.0-notice", 1, f"this program is {gpl} 3")]),
+        (f"This program is {gpl} 3, this work is {gpl} 2, this work is {gpl} 3",
+         [("GPL-3.0-notice", 1, f"This program is {gpl} 3"), ("GPL-3.0-notice", 0, f"this work is {gpl} 3")]),
+        (f"This work is {gpl} 2 or 3", [("GPL-3.0-notice", 2, f"This work is {gpl} 2 or 3")]),
+    ):
+        assert [(f[0], f[4], f[6]) for f in licenses.notices(text, known)] == want
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return bpe.encoder(RANKS, public_tokenizers.PATTERN)
