@@ -315,12 +315,13 @@ def _encoded(path: str, pattern: str, with_ids: bool):
         for batch in batches:
             n, ids_sha, text_sha, held = [], [], [], []
             for text in batch.column("text"):
-                ids_hash, text_hash, count, kept = hashlib.sha256(), hashlib.sha256(), 0, []
+                ids_hash, text_hash, count, kept, stream = hashlib.sha256(), hashlib.sha256(), 0, [], Utf8Stream()
                 for ids in encode_text(text.as_py() or "", pieces):
                     ids_hash.update(ids)
-                    text_hash.update(decode_bytes(ids, table))
+                    text_hash.update(stream.feed(decode_bytes(ids, table)).encode())
                     count += len(ids) // 4
                     kept.append(ids if with_ids else b"")
+                text_hash.update(stream.finish().encode())
                 n.append(count)
                 ids_sha.append(ids_hash.hexdigest())
                 text_sha.append(text_hash.hexdigest())

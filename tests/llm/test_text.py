@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -214,6 +215,16 @@ def test_encoded_and_decoded(table, request, library):
     assert sorted(map(repr, map(tuple, bpe.decoded(out, RANKS).collect()))) == sorted(map(repr, texts))
 
 
+def test_digests_are_of_what_the_stream_decodes(monkeypatch):
+    fed, feed = [], bpe.Utf8Stream.feed
+    monkeypatch.setattr(bpe.Utf8Stream, "feed", lambda self, data: fed.append(feed(self, data)) or fed[-1])
+    texts = ["été 漢字 😀 don't", "", None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": texts})
+    out = pa.Table.from_batches(bpe._encoded(RANKS, public_tokenizers.PATTERN, False)(iter([batch]))).to_pylist()
+    assert "".join(fed) == texts[0]
+    assert [r["decoded_sha256"] for r in out] == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 60), min_size=1, max_size=300))
 def test_blocks_round_trip(ids):
