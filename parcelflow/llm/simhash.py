@@ -187,17 +187,28 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` of each component, the one with the smallest id, with its columns.
 
-    Of rows that repeat the smallest id, one stays. A component in which no row has an id keeps one
-    of its rows; only there are texts read again.
+    Of rows of a component that repeat its smallest id, one stays. A component in which no row has an id keeps one
+    of its rows. Only for these, and for smallest ids that rows with different texts repeat, are texts read again.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = stored(fingerprints(docs, id_col, text_col))
     classes = stored(classes_of(rows))
-    heads = rows.join(classes, "mark").filter("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
-    named = docs.join(heads, F.col(id_col).cast("bigint") == F.col("__head")).dropDuplicates([id_col]).select(*columns)
-    bare = classes.filter("component_id is null").select(F.col("mark").alias("__mark"), F.col("root").alias("__root"))
-    loose = docs.filter(F.col(id_col).isNull()).select(F.struct(*columns).alias("row"), F.col(text_col).cast("binary").alias("text"))
+    placed = rows.join(classes, "mark")
+    heads = stored(
+        placed.filter("doc_id is not null").groupBy("doc_id")
+        .agg(F.min("mark").alias("mark"), F.max("mark").alias("most"), F.max(F.expr("doc_id = component_id")).alias("head")).filter("head")
+    )
+    own_id = F.col(id_col).cast("bigint")
+    single = heads.filter("mark = most").select(F.col("doc_id").alias("__head"))
+    named = docs.join(single, own_id == F.col("__head")).dropDuplicates([id_col]).select(*columns)
+    # The id alone does not tell these rows' component, so their texts do.
+    many = heads.filter("mark <> most").select(F.col("doc_id").alias("__head"))
+    wanted = classes.filter("component_id is null").select(F.lit(None).cast("bigint").alias("__head"), "mark", "root").unionByName(
+        placed.join(many, F.col("doc_id") == F.col("__head")).filter("doc_id = component_id").select("__head", "mark", "root").distinct()
+    ).select("__head", F.col("mark").alias("__mark"), F.col("root").alias("__root"))
+    row = [F.struct(*columns).alias("row"), F.col(text_col).cast("binary").alias("text")]
+    loose = docs.filter(F.col(id_col).isNull()).select(*row).unionByName(docs.join(many, own_id == F.col("__head")).select(*row))
     kind = loose.schema["row"].dataType
-    nameless = loose.mapInArrow(released(_own_marks), T.StructType([T.StructField("row", kind), T.StructField("__own", T.LongType())]))
-    nameless = nameless.join(bare, F.col("__own") == F.col("__mark")).dropDuplicates(["__root"]).select("row.*")
-    return named.unionByName(nameless)
+    loose = loose.mapInArrow(released(_own_marks), T.StructType([T.StructField("row", kind), T.StructField("__own", T.LongType())]))
+    known = (F.col("__own") == F.col("__mark")) & F.col("row").getField(id_col).cast("bigint").eqNullSafe(F.col("__head"))
+    return named.unionByName(loose.join(wanted, known).dropDuplicates(["__root"]).select("row.*"))

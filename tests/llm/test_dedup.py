@@ -158,6 +158,15 @@ def test_drop_near_copies(llm, odd_docs, no_docs):
     assert simhash.drop_near_copies(no_docs).count() == 0
 
 
+def test_an_id_that_two_components_share_stands_for_both(llm):
+    a, b, c = ("the old house by the river was sold", "BUY NOW cheap watches and pills here", "a third text about trees and gardens of spring")
+    rows = [(1, a, "x"), (1, b, "y"), (1, b, "y"), (2, a, "z"), (3, b, "z"), (4, c, "v"), (5, c, "w"), (5, "not at all like it, this one stands alone", "u"), (None, a, "n")]
+    left = simhash.drop_near_copies(llm.createDataFrame(rows, "doc_id bigint, text string, note string"))
+    assert sorted(map(tuple, left.collect())) == sorted({rows[0], rows[1], rows[5], rows[7]})
+    one = simhash.drop_near_copies(llm.createDataFrame([(4, c, "v"), (3, a, "a"), (4, a, "b")], "doc_id bigint, text string, note string"))
+    assert sorted(map(tuple, one.collect())) == [(3, a, "a"), (4, c, "v")]
+
+
 def test_components_of_odd_tables(llm):
     frame = lambda rows: llm.createDataFrame(rows, "u bigint, v bigint")
     assert components(frame([])).count() == 0
