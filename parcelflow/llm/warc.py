@@ -23,8 +23,6 @@ from parcelflow.session import workdir
 FILE_BYTES = 1 << 26
 SPLIT_BYTES = 1 << 22
 READ_BYTES = 1 << 20
-#: Bytes of a head that are decoded before a place is given up.
-HEAD_BYTES = 1 << 20
 LEVEL = 6
 MIN_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"
@@ -132,20 +130,23 @@ class Bytes:
 
 
 def _is_record(source: Bytes, at: int) -> bool:
-    """Whether a member begins here that decodes to a WARC head."""
-    unpacker, out = zlib.decompressobj(31), b""
+    """Whether a member begins here that decodes to a WARC head, however long; no more than its ends are kept."""
+    unpacker, first, last, found = zlib.decompressobj(31), b"", b"", False
     try:
-        while not unpacker.eof and b"\r\n\r\n" not in out and len(out) < HEAD_BYTES:
+        while not unpacker.eof and not found:
             data = source.read(at, 4096)
             if not data:
                 return False
-            out += unpacker.decompress(data)
+            out = unpacker.decompress(data)
             at += len(data)
-            if len(out) >= 5 and out[:5] != b"WARC/":
+            first += out[: 5 - len(first)]
+            if not b"WARC/".startswith(first):
                 return False
+            found = b"\r\n\r\n" in last + out
+            last = (last + out)[-3:]
     except zlib.error:
         return False
-    return out[:5] == b"WARC/" and b"\r\n\r\n" in out
+    return found and first == b"WARC/"
 
 
 def _next_record(source: Bytes, at: int, end: int) -> int | None:

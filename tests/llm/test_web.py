@@ -99,6 +99,19 @@ def test_no_pages(llm):
     assert warc.round_trip(llm.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_a_record_with_a_very_long_head_is_found_in_any_split(tmp_path):
+    url = "http://a/" + "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz0123456789", k=3_000_000))
+    records = [warc.record(k, u, b"body", "D", 4, None, False) for k, u in enumerate(["u", url, "v"])]
+    name = str(tmp_path / "a.warc.gz")
+    target = Target(name)
+    target.write(b"".join(records))
+    target.close()
+    source, size, second = warc.Bytes(name), sum(map(len, records)), len(records[0])
+    for cuts in ((0, second, size), (0, second - 1, second + 1, size), (0, size)):
+        found = [(at, warc.parsed(d)[:3:2]) for a, b in zip(cuts, cuts[1:]) for at, d in warc.members(source, a, b)]
+        assert found == [(0, (0, "u")), (second, (1, url)), (second + len(records[1]), (2, "v"))]
+
+
 def test_damaged_records_are_told(tmp_path):
     members = [warc.record(k, "u", f"body {k}".encode() * 50, "D", 1, None, False) for k in range(6)]
     broken = members[2][:-20] + b"\0" * 12 + members[2][-8:]
