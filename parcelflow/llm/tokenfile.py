@@ -15,6 +15,7 @@ All numbers are little-endian. Documents are dealt to tasks by ranges of ids and
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -184,14 +185,21 @@ class Reader:
 
 
 class Chunks(dict):
-    """Chunk of text to its ids; the tokenizer's own pattern parts a text at every border of chunks."""
+    """Chunk of text to its ids; the tokenizer's own pattern parts a text at every border of chunks.
+
+    As in the library, names of added tokens in a text are these tokens, and what is between them is parted by itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # Tokens that look at what stands beside them, or at a changed text, leave no place to part it.
+        self.whole = any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added)
+        names = sorted((re.escape(t.content) for t in added if t.content), key=len, reverse=True)
+        self.added = re.compile(f"({'|'.join(names)})") if names else None
 
     def __missing__(self, chunk: str) -> bytes:
         ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
@@ -202,8 +210,15 @@ class Chunks(dict):
         return ids
 
     def ids_of(self, text: str) -> Iterator[bytes]:
-        for part in bpe.segments(text):
-            yield b"".join(map(self.__getitem__, bpe.CHUNK.findall(part)))
+        if self.whole:
+            yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            return
+        for k, piece in enumerate(self.added.split(text) if self.added else [text]):
+            if k % 2:  # the name of an added token
+                yield self[piece]
+                continue
+            for part in bpe.segments(piece):
+                yield b"".join(map(self.__getitem__, bpe.CHUNK.findall(part)))
 
 
 @lru_cache(maxsize=2)

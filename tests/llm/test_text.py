@@ -1,5 +1,6 @@
 """Line quality, licences, tokens and token files against plain versions, libraries and round trips."""
 
+import functools
 import hashlib
 import itertools
 import random
@@ -225,6 +226,19 @@ def test_digests_are_of_what_the_stream_decodes(monkeypatch):
     assert [r["decoded_sha256"] for r in out] == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
 
 
+@functools.lru_cache
+def plain_tokenizer():
+    return Tokenizer.from_file(tokenfile.default_tokenizer())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "ab", "é漢", " ", "  ", "\n", "'s", "!", "12"]), max_size=12).map("".join))
+def test_names_of_added_tokens_are_tokens(text):
+    known = tokenfile.chunks(tokenfile.default_tokenizer())
+    for t in (text, f"a  <|endoftext|>{text}"):
+        assert np.frombuffer(b"".join(known.ids_of(t)), "<u4").tolist() == plain_tokenizer().encode(t, add_special_tokens=False).ids
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 60), min_size=1, max_size=300))
 def test_blocks_round_trip(ids):
