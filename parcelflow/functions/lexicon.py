@@ -1,16 +1,17 @@
 """Keyword lexicons: an ordered list of keywords, each with an ordered list of synonyms.
 
-A lexicon is configuration of a few hundred words, so it becomes part of the expression
-instead of a table to join: no row is multiplied and nothing is broadcast.
+A lexicon is configuration, in code or read with ``scan_lexicon`` and ``lexicon_of``. Its distinct synonyms are looked for in one
+pass over the texts (``search``), so no row is multiplied and the cost does not grow with their number.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelflow.functions.text import as_col, contains_any, let
+from parcelflow.functions.search import find_words
+from parcelflow.functions.text import as_col, contains_any
 
 Lexicon = dict[str, list[str]]
 
@@ -80,80 +81,72 @@ def lexicon_rows(lexicon: Lexicon) -> list[tuple[int, str, int, str]]:
     ]
 
 
+#: More synonyms than this are no configuration.
+MAX_SYNONYMS = 200_000
+
+
+def lexicon_of(rows: DataFrame, most: int = MAX_SYNONYMS) -> Lexicon:
+    """The lexicon in rows of ``scan_lexicon``, in their order; more than ``most`` rows are an error, and so is none.
+
+    Blank synonyms are left out; a keyword that comes twice goes on where it came first.
+    """
+    found = rows.select("priority", "keyword", "synonym_pos", "synonym").orderBy("priority", "synonym_pos").limit(most + 1).collect()
+    if not 0 < len(found) <= most:
+        raise ValueError(f"a lexicon of 1 to {most} synonyms is wanted, not {'more' if found else 'none'}")
+    lexicon: Lexicon = {}
+    for row in found:
+        lexicon.setdefault(row["keyword"], []).extend([row["synonym"]] if (row["synonym"] or "").strip() else [])
+    return lexicon
+
+
 # Priority and position lead, so that sorted entries are in lexicon order.
 ENTRY = ("priority", "synonym_pos", "keyword", "synonym")
-FAMILY_SCHEMA = (
-    "array<struct<root: string, entries: array<struct<"
-    "priority: int, synonym_pos: int, keyword: string, synonym: string>>>>"
-)
+ENTRIES_SCHEMA = "array<array<struct<priority: int, synonym_pos: int, keyword: string, synonym: string>>>"
 
 
-def synonym_families(lexicon: Lexicon) -> dict[str, list[tuple[int, str, int, str]]]:
-    """Lexicon rows by a shortest synonym that each contains: no row can occur without it."""
-    rows = lexicon_rows(lexicon)
-    synonyms = {synonym for *_, synonym in rows}
-    roots = sorted(s for s in synonyms if not any(o != s and o in s for o in synonyms))
-    families: dict[str, list[tuple[int, str, int, str]]] = {root: [] for root in roots}
-    for row in rows:
-        families[next(root for root in roots if root in row[3])].append(row)
-    return families
+def entries_by_synonym(lexicon: Lexicon) -> dict[str, list[tuple[int, int, str, str]]]:
+    """The entries of each distinct synonym; synonyms in the order of their first entry."""
+    entries: dict[str, list[tuple[int, int, str, str]]] = {}
+    for i, keyword, j, synonym in lexicon_rows(lexicon):
+        entries.setdefault(synonym, []).append((i, j, keyword, synonym))
+    return entries
 
 
-def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
-    """All lexicon entries found in a text in any case, in lexicon order.
+def _known(lexicon: Lexicon, first_only: bool) -> Column:
+    """A constant, which the optimizer parses once: the entries of each synonym by its number."""
+    entries = [[dict(zip(ENTRY, e)) for e in (es[:1] if first_only else es)] for es in entries_by_synonym(lexicon).values()]
+    return F.from_json(F.lit(json.dumps(entries)), ENTRIES_SCHEMA)
 
-    The text is searched for the root of each family, and for the rest of a family only if
-    its root is there.
-    """
-    groups = [
-        {"root": root, "entries": [dict(zip(ENTRY, (i, j, keyword, synonym))) for i, keyword, j, synonym in rows]}
-        for root, rows in synonym_families(lexicon).items()
-    ]
-    # A constant: the optimizer parses it once.
-    families = F.from_json(F.lit(json.dumps(groups)), FAMILY_SCHEMA)
 
-    def search(t: Column) -> Column:
-        present = F.filter(families, lambda f: t.contains(f["root"]))
-        return F.flatten(F.transform(present, lambda f: F.filter(f["entries"], lambda e: t.contains(e["synonym"]))))
+def _found(text: Column, lexicon: Lexicon) -> Column:
+    return find_words(F.lower(text), list(entries_by_synonym(lexicon)))
+
 
-    return F.array_sort(let(F.lower(as_col(text)), search))
+def keyword_hits(text: Column | str, lexicon: Lexicon) -> Column:
+    """All lexicon entries found in a text in any case, in lexicon order."""
+    known = _known(lexicon, False)
+    return F.array_sort(F.flatten(F.transform(_found(as_col(text), lexicon), lambda f: F.get(known, f["id"]))))
 
 
 def first_keyword(text: Column | str, lexicon: Lexicon) -> Column:
-    """Keyword and synonym of the first lexicon entry found in a text in any case; null without a hit."""
-    # Each synonym once, under the keyword that comes first: a later one can never be the first hit.
-    first: dict[str, str] = {}
-    for _, keyword, _, synonym in lexicon_rows(lexicon):
-        first.setdefault(synonym, keyword)
-    entries = list(first.items())
-    known = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(s).alias("synonym")) for s, k in entries])
-
-    def search(t: Column) -> Column:
-        # Conditions are tried in turn, so the search of a text ends at its first hit.
-        place = F.when(t.contains(entries[0][0]), 0)
-        for i, (synonym, _) in enumerate(entries[1:], 1):
-            place = place.when(t.contains(synonym), i)
-        return F.get(known, place)
+    """Keyword and synonym of the first lexicon entry found in a text in any case; null without a hit.
 
-    return let(F.lower(as_col(text)), search)
+    Synonyms are numbered by their first entry, so the smallest number found is the first hit.
+    """
+    entry = F.get(F.get(_known(lexicon, True), F.get(_found(as_col(text), lexicon), F.lit(0))["id"]), F.lit(0))
+    return F.when(entry.isNotNull(), F.struct(entry["keyword"].alias("keyword"), entry["synonym"].alias("synonym")))
 
 
 def motivated_status(text: Column | str, lexicon: Lexicon = LISTING_LEXICON, window: int = 30) -> Column:
     """Struct of motivated, keyword, synonym and the context of the synonym's first occurrence."""
-
-    def describe(t: Column) -> Column:
-        def with_context(entry: Column) -> Column:
-            synonym = entry["synonym"]
-            at = F.position(synonym, t)
-            start = F.greatest(F.lit(1), at - window)
-            return F.struct(
-                entry.isNotNull().alias("motivated"), entry["keyword"].alias("keyword"), synonym.alias("synonym"),
-                F.substring(t, start, at + F.length(synonym) + window - start).alias("context"),
-            )
-
-        return let(first_keyword(t, lexicon), with_context)
-
-    return let(F.lower(as_col(text)), describe)
+    text = as_col(text)
+    first = F.get(_found(text, lexicon), F.lit(0))
+    entry = F.get(F.get(_known(lexicon, True), first["id"]), F.lit(0))
+    start = F.greatest(F.lit(1), first["at"] - window)
+    return F.struct(
+        entry.isNotNull().alias("motivated"), entry["keyword"].alias("keyword"), entry["synonym"].alias("synonym"),
+        F.substring(F.lower(text), start, first["at"] + F.length(entry["synonym"]) + window - start).alias("context"),
+    )
 
 
 def plain_context(context: Column | str, phrases: list[str] | None = None) -> Column:

@@ -6,7 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from parcelflow.functions.text import as_col, let, strip
+from parcelflow.functions import dom
+from parcelflow.functions.text import as_col
 
 # The labels of the monthly cost table, and the words around the rent.
 COST_COLUMNS = {
@@ -15,13 +16,6 @@ COST_COLUMNS = {
 }
 COST_LABELS = list(COST_COLUMNS)
 RENT_BEFORE, RENT_AFTER = "Est.", "per month"
-# Named character references that are decoded; others stay as they are.
-ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "middot": "·", "amp": "&"}
-
-#: href of an ``a`` element: in double quotes, in single quotes, or bare.
-LINK_PATTERN = r"""(?i)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-
-
 def first_match(c: Column | str, pattern: str, group: int = 1) -> Column:
     """Like ``regexp_extract``, but null without a match."""
     return F.nullif(F.regexp_extract(as_col(c), pattern, group), F.lit(""))
@@ -43,29 +37,10 @@ def rent_amount(c: Column | str) -> Column:
     return _amount(c, rf"(?i){re.escape(RENT_BEFORE)}\s*[$]?([0-9,]+)\s*{re.escape(RENT_AFTER)}")
 
 
-def decoded(c: Column | str) -> Column:
-    """Named and decimal character references as characters; ``&amp;`` last, so that it opens no new one."""
-
-    def numbers(parts: Column) -> Column:
-        def part(p: Column, i: Column) -> Column:
-            code = F.regexp_extract(p, r"^([0-9]{1,7});", 1).try_cast("int")
-            known = (i > 0) & code.isNotNull() & (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-            char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-            return F.when(known, F.concat(char, F.regexp_replace(p, r"^[0-9]+;", ""))).when(i > 0, F.concat(F.lit("&#"), p)).otherwise(p)
-
-        return F.array_join(F.transform(parts, part), "")
-
-    text = as_col(c)
-    text = F.when(text.contains("&#"), let(F.split(text, "&#", -1), numbers)).otherwise(text)
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
-
-
 def links(html: Column | str) -> Column:
-    """All href values of ``a`` elements in page order, without quotes, decoded."""
-    raw = F.regexp_extract_all(as_col(html), F.lit(LINK_PATTERN), F.lit(1))
-    return F.transform(raw, lambda x: decoded(strip(F.regexp_replace(x, r"""^["']|["']$""", ""))))
+    """All href values of ``a`` elements in page order, decoded; comments and scripts hold none."""
+    anchors = F.filter(dom.tokens(html), lambda t: t.rlike(r"(?i)^<a[\s/]"))
+    return F.array_compact(F.transform(anchors, lambda t: dom.attribute(t, "href")))
 
 
 def absolute_link(link: Column | str, page_url: Column | str) -> Column:
@@ -86,8 +61,7 @@ def absolute_link(link: Column | str, page_url: Column | str) -> Column:
 
 def tag_text(html: Column | str, tag: str) -> Column:
     """Text of the first ``tag`` element: inner tags removed, references decoded, trimmed; null when absent or empty."""
-    inner = F.regexp_extract(as_col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
-    return F.nullif(strip(decoded(F.regexp_replace(inner, r"<[^>]*>", ""))), F.lit(""))
+    return dom.select_text(dom.tokens(html), tag.lower())
 
 
 def first_of(*strategies: Column, default: str = "N/A") -> Column:

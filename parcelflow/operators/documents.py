@@ -1,19 +1,20 @@
 """Agent documents: fill-null merge, cap, labels and nesting.
 
-The system of record is flat, one row per (agent, address). Maps are built for output only,
-after the cap (``cap_latest``), which bounds a group; nesting itself drops nothing.
+The system of record is flat, one row per (agent, address). Maps are built for output only, of at most
+``PART_ROWS`` entries; nesting drops nothing.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from parcelflow.operators.dedup import top_per_group
 from parcelflow.operators.skew import row_number
 
 MAX_PER_AGENT = 15
+PART_ROWS = 1000
 
 
 def fill_null_upsert(
@@ -64,8 +65,25 @@ def ordinal_labels(df: DataFrame, agent: str, order: list[str], out: str = "labe
     return ranked.withColumn(out, F.concat(F.lit("Address "), F.col("_rn").cast("string"))).drop("_rn")
 
 
+def number_on(
+    marks: DataFrame, batch: DataFrame, agent: str, order: list[str], out: str = "n", **limits: int
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of a batch numbered on from each agent's mark, and the marks after it.
+
+    ``marks`` has (agent, mark): the largest number that the agent has given out. A number is never given twice and never changes, whatever becomes of its
+    row; an agent without a mark begins at 1. Null agents are one group. No older row is read.
+    """
+    ranked = row_number(batch, [agent], order, "_rn", **limits)
+    side = marks.select(F.col(agent).alias("_agent"), F.col("mark").alias("_mark"))
+    numbered = ranked.join(side, F.col(agent).eqNullSafe(F.col("_agent")), "left").select(
+        *[F.col(f"`{c}`") for c in batch.columns], (F.coalesce("_mark", F.lit(0)) + F.col("_rn")).cast("bigint").alias(out)
+    )
+    now = batch.groupBy(agent).agg(F.count(F.lit(1)).alias("mark"))
+    return numbered, marks.select(agent, "mark").unionByName(now).groupBy(agent).agg(F.sum("mark").alias("mark"))
+
+
 def collect_per_group(
-    df: DataFrame, group: str, order: list[str], record: Column, part_rows: int = 1000
+    df: DataFrame, group: str, order: list[str], record: Column, part_rows: int = PART_ROWS
 ) -> DataFrame:
     """Records per group as ordered arrays of at most ``part_rows``.
 
@@ -80,21 +98,26 @@ def collect_per_group(
     )
 
 
-def nest(df: DataFrame, agent: str, order: list[Column], columns: list[str]) -> DataFrame:
-    """One row per agent with a map 'Address i' -> record of all its rows; cap before it with ``cap_latest``."""
-    w = Window.partitionBy(agent).orderBy(*order)
+def nest(
+    df: DataFrame, agent: str, order: list[Column | str], columns: list[str], part_rows: int | None = PART_ROWS
+) -> DataFrame:
+    """Rows per agent with a map 'Address i' -> record, ``part_rows`` entries at most, and the part's number.
+
+    An agent with more rows goes on in part 1, 2, …, with labels that go on too, so neither a row nor a task holds an unbounded
+    group and no row is dropped. ``part_rows=None`` is for rows that ``cap_latest`` has bounded: one map per agent, with no count before.
+    """
+    rows = df.filter(F.col(agent).isNotNull())
+    if part_rows is None:
+        ranked = rows.withColumn("_i", F.row_number().over(Window.partitionBy(agent).orderBy(*order))).withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        ranked = row_number(rows, [agent], order, "_i").withColumn("part", F.floor((F.col("_i") - 1) / part_rows).cast("bigint"))
     entry = F.struct(
         F.col("_i"),
         F.concat(F.lit("Address "), F.col("_i").cast("string")).alias("k"),
         F.struct(*columns).alias("v"),
     )
     listed = F.array_sort(F.collect_list(entry))
-    return (
-        df.filter(F.col(agent).isNotNull())
-        .withColumn("_i", F.row_number().over(w))
-        .groupBy(agent)
-        .agg(F.map_from_entries(F.transform(listed, lambda e: F.struct(e["k"], e["v"]))).alias("listings"))
-    )
+    return ranked.groupBy(agent, "part").agg(F.map_from_entries(F.transform(listed, lambda e: F.struct(e["k"], e["v"]))).alias("listings"))
 
 
 def flatten(nested: DataFrame, agent: str) -> DataFrame:
@@ -102,6 +125,18 @@ def flatten(nested: DataFrame, agent: str) -> DataFrame:
     return nested.select(agent, F.explode("listings").alias("label", "_v")).select(agent, "label", "_v.*")
 
 
+def observed_merge(merged: DataFrame, name: str = "merge") -> tuple[DataFrame, Observation]:
+    """``merged`` as it is, and what its first action will have counted: rows, inserted, filled and unchanged ones.
+
+    The counts come from the pass that writes the rows, so a report needs no second one. ``Observation.get`` waits for that action; a
+    task that is run again counts once.
+    """
+    seen = Observation(name)
+    action = F.col("action")
+    counts = [F.count_if(action == a).alias(a) for a in ("inserted", "filled", "unchanged")]
+    return merged.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
 def merge_summary(merged: DataFrame, agent: str) -> DataFrame:
     """Rows and distinct agents per merge action."""
     return merged.groupBy("action").agg(

@@ -23,6 +23,65 @@ def new_keys(seen: DataFrame, processed: DataFrame, key: str = "url") -> DataFra
     return seen.select(key).distinct().join(processed.select(key).distinct(), key, "left_anti")
 
 
+#: Bits of a key bitmap: 32,768 bits to a row of 4 KB, 8 MB in all.
+BITMAP_ROWS = 2048
+BITS_PER_ROW = 1 << 15
+
+
+def _bit(key: Column, rows: int) -> Column:
+    """The bit of a key, from 1, as Spark's bitmap functions count."""
+    return F.pmod(F.xxhash64(key), F.lit(rows * BITS_PER_ROW)) + 1
+
+
+def key_bitmap(df: DataFrame, key: str = "url", rows: int = BITMAP_ROWS) -> DataFrame:
+    """(bitmap_no, bits): the keys of a table as set bits, ``rows`` rows of 4 KB at most; combines on the map side.
+
+    Bitmaps of several batches of keys are one after ``merged_bitmaps``, so a bitmap can be kept beside a table and grows with it.
+    Its size does not depend on the table's; with as many keys as bits two thirds of the bits are set.
+    """
+    bit = _bit(F.col(key), rows)
+    keys = df.filter(F.col(key).isNotNull())
+    return keys.groupBy(F.bitmap_bucket_number(bit).alias("bitmap_no")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+
+
+def merged_bitmaps(*bitmaps: DataFrame) -> DataFrame:
+    every = bitmaps[0]
+    for more in bitmaps[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("bitmap_no").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def with_possible(df: DataFrame, bitmap: DataFrame, key: str = "url", out: str = "possible", rows: int = BITMAP_ROWS) -> DataFrame:
+    """``df`` plus ``out``: whether the bitmap may hold the key. False is certain, also for a null key.
+
+    ``rows`` is that of the bitmap. The bitmap has at most ``rows`` rows of 4 KB, which the hint on it relies on.
+    """
+    if rows > BITMAP_ROWS:
+        raise ValueError(f"a bitmap of more than {BITMAP_ROWS} rows is not sent to every task")
+    bit = _bit(F.col(key), rows)
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    side = F.broadcast(bitmap.select(F.col("bitmap_no").alias("_no"), F.col("bits").alias("_bits")))
+    joined = df.withColumn("_want", F.bitmap_bucket_number(bit)).join(side, F.col("_want") == F.col("_no"), "left")
+    hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return joined.select(*[df[c] for c in df.columns], hit.alias(out))
+
+
+def new_keys_by_bitmap(seen: DataFrame, processed: DataFrame, key: str = "url", rows: int = BITMAP_ROWS, bitmap: DataFrame | None = None) -> DataFrame:
+    """``new_keys`` where one pass sees few keys of a large table: most processed keys never reach the shuffle.
+
+    A bitmap of the seen keys clears the processed ones that cannot be among them, on the side of the scan. With ``bitmap``, the one kept
+    beside the processed table, seen keys that it does not hold are new without a look at the table. What is left goes through the exact anti join.
+    """
+    keys = seen.select(key).distinct()
+    among = with_possible(processed.select(key), key_bitmap(seen, key, rows), key, "_maybe", rows).filter("_maybe").select(key).distinct()
+    if bitmap is None:
+        return keys.join(among, key, "left_anti")
+    told = with_possible(keys, bitmap, key, "_maybe", rows)
+    sure = told.filter("NOT _maybe").select(key)
+    return sure.unionByName(told.filter("_maybe").select(key).join(among, key, "left_anti"))
+
+
 def missing_keys(seen: DataFrame, processed: DataFrame, key: str = "url") -> DataFrame:
     return new_keys(processed, seen, key)
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from parcelflow.operators.skew import row_number, running_total
 
@@ -36,15 +34,28 @@ def contact_rollup(
         F.count(F.lit(1)).alias("addresses"),
         *[F.max(F.when(F.col("_slot") == i, F.col("_addr"))).alias(f"address_{i + 1}") for i in range(width)],
     )
-    total = placed.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("total_addresses"))
-    same = reduce(lambda a, b: a & b, [parts[k].eqNullSafe(total[f"_t_{k}"]) for k in keys])
-    return parts.join(total, same).drop(*[f"_t_{k}" for k in keys])
+    # One row per part is left, so the total needs neither a second numbering nor a join.
+    return parts.withColumn("total_addresses", F.sum("addresses").over(Window.partitionBy(*keys)))
 
 
 def total_and_distinct(df: DataFrame, value: Column) -> DataFrame:
     return df.agg(F.count(value).alias("total"), F.countDistinct(value).alias("distinct_values"))
 
 
+#: 2**12 registers: about 1.6% of standard error in at most 2.5 KB a sketch.
+SKETCH_BITS = 12
+
+
+def distinct_sketches(batch: DataFrame, group: list[str], value: str) -> DataFrame:
+    """A sketch of the distinct values of each group of a batch, to be kept beside those of other batches; nulls do not count."""
+    return batch.groupBy(*group).agg(F.hll_sketch_agg(value, F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def distinct_estimates(sketches: DataFrame, group: list[str], out: str = "distinct_values") -> DataFrame:
+    """Distinct values per group over all kept sketches: values that repeat from batch to batch count once, and no row is read again."""
+    return sketches.groupBy(*group).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(out))
+
+
 def conditional_counts(df: DataFrame, key: str, failed: Column, min_failed: int) -> DataFrame:
     """Processed and failed rows per key, for keys with at least ``min_failed`` failures."""
     return (
@@ -61,6 +72,13 @@ def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def observed_profile(df: DataFrame, columns: list[str], name: str = "profile") -> tuple[DataFrame, Observation]:
+    """``df`` as it is, and the counts of ``null_profile`` from its first action."""
+    seen = Observation(name)
+    missing = [F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in columns]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *missing), seen
+
+
 def progress_ratio(df: DataFrame, done: Column) -> DataFrame:
     return df.agg(
         F.count_if(done).alias("done"),

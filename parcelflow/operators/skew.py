@@ -67,3 +67,34 @@ def running_total(
 def row_number(df: DataFrame, keys: list[str], order: list[str], out: str = "rn", **limits: int) -> DataFrame:
     """``row_number()`` per key, from 1, that no single key can overload."""
     return running_total(df, keys, order, out, **limits)
+
+
+def last_known(
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, max_task_rows: int = MAX_TASK_ROWS
+) -> DataFrame:
+    """``df`` plus ``out``: the last ``value`` that is not null up to and with this row, per key in ``order``.
+
+    Hot keys are cut into ranges as in ``running_total``; what is sent on from range to range is one value. ``order`` is ascending, nulls
+    first, and should be total. Columns named ``__v``, ``__range`` and ``__before`` are taken for the work.
+    """
+    work = df.withColumn("__v", value)
+    most, rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    if (most or 0) <= max_task_rows:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return work.withColumn(out, F.last("__v", ignorenulls=True).over(whole)).select(*df.columns, out)
+    ranged = stored(work.repartitionByRange(-(-rows // max_task_rows), *keys, *order).withColumn("__range", F.spark_partition_id()))
+    has = F.when(F.col("__v").isNotNull(), F.struct(*order))
+    per_range = ranged.groupBy(*keys, "__range").agg(F.max_by("__v", has).alias("__s"))
+    by_key = Window.partitionBy(*keys)
+    before = by_key.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sent = (
+        per_range.withColumn("__ranges", F.count(F.lit(1)).over(by_key)).withColumn("__before", F.last("__s", ignorenulls=True).over(before))
+        .filter("__ranges > 1").select(*[F.col(f"`{k}`").alias(f"__o_{k}") for k in keys], F.col("__range").alias("__o_range"), "__before")
+    )
+    same = reduce(lambda a, b: a & b, [ranged[k].eqNullSafe(sent[f"__o_{k}"]) for k in keys], ranged["__range"] == sent["__o_range"])
+    inside = Window.partitionBy(*keys, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        ranged.join(F.broadcast(sent), same, "left")  # at most two rows per range
+        .withColumn(out, F.coalesce(F.last("__v", ignorenulls=True).over(inside), F.col("__before")))
+        .select(*df.columns, out)
+    )

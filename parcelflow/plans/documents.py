@@ -153,7 +153,7 @@ def nested_document_json(spark, sf_dir):
         "o_custkey", "o_orderdate", "o_orderkey", F.col("o_orderkey").cast("string").alias("address"),
         F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("seen"),
     )
-    return document_lines(capped, "o_custkey", ["o_orderdate", "o_orderkey"], ["address", "status", "seen"])
+    return document_lines(capped, "o_custkey", ["o_orderdate", "o_orderkey"], ["address", "status", "seen"], capped=True)
 
 
 @query("agents_by_action", f"""

@@ -253,9 +253,9 @@ def scan_postal_reference(spark, sf_dir):
     fields = [zip_code.alias("postal_code"), F.col("n_name").alias("county_name"), F.lit("x").alias("state_name"), F.lit("XX").alias("state_code")]
     older = nation.select(*fields).withColumn("county_name", F.concat(F.lit("A former "), "county_name"))
     older.unionByName(nation.select(*fields)).select(*POSTAL.fieldNames()).write.parquet(path)
-    postal = enrich.one_per_zip(readers.scan_postal_reference(spark, path), "postal_code", ["county_name"])
+    postal = readers.scan_postal_reference(spark, path)
     customer = table(spark, sf_dir, "customer").select("c_custkey", F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zip"))
-    return enrich.zip_to_county(customer, postal, customer["zip"] == postal["postal_code"], "county_name")
+    return enrich.zip_to_county(customer, postal, ("zip", "postal_code"), "county_name")
 
 
 @query("scan_url_state", """

@@ -75,7 +75,7 @@ def broadcast_lookup(spark, sf_dir):
     """Postal lookup; Spark broadcasts the reference when its size allows."""
     customer = table(spark, sf_dir, "customer")
     postal = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") != 2)
-    out = enrich.zip_to_county(customer, postal, customer.c_nationkey == postal.n_nationkey, "n_name")
+    out = enrich.zip_to_county(customer, postal, ("c_nationkey", "n_nationkey"), "n_name")
     return out.select("c_custkey", "county")
 
 

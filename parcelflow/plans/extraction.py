@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from parcelflow.functions import lexicon, markup, text
 from parcelflow.operators import extract
 from parcelflow.plans.registry import query, table
+from parcelflow.session import workdir
+from parcelflow.sources import readers
 
 # The listing lexicon, led by words that occur in the test texts.
 TEXT_LEXICON: lexicon.Lexicon = {
@@ -36,7 +38,7 @@ def texts(spark, sf_dir):
     FROM documents JOIN lex ON contains(lower(text), synonym)
 """)
 def keyword_theta_join(spark, sf_dir):
-    """All (text, synonym) hits. The lexicon is part of the expression; only hits become rows."""
+    """All (text, synonym) hits, found in one pass over each text; only hits become rows."""
     hits = texts(spark, sf_dir).select("doc_id", F.explode(lexicon.keyword_hits("text", TEXT_LEXICON)).alias("h"))
     return hits.select("doc_id", "h.priority", "h.keyword", "h.synonym_pos", "h.synonym")
 
@@ -54,6 +56,25 @@ def first_keyword_match(spark, sf_dir):
     return texts(spark, sf_dir).select("doc_id", F.explode(found).alias("m")).select("doc_id", "m.keyword", "m.synonym")
 
 
+@query("keyword_match_scanned", """
+    WITH lex AS (
+        SELECT CAST(dense_rank() OVER (ORDER BY r_name) - 1 AS INTEGER) AS priority, r_name AS keyword,
+               CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_name) - 1 AS INTEGER) AS synonym_pos, lower(substr(n_name, 1, 4)) AS synonym
+        FROM nation JOIN region ON n_regionkey = r_regionkey)
+    SELECT doc_id, priority, keyword, synonym_pos, synonym FROM documents JOIN lex ON contains(lower(text), synonym)
+""")
+def keyword_match_scanned(spark, sf_dir):
+    """A lexicon that is not in the code: regions and the beginnings of their nations' names, saved as configuration, scanned and searched."""
+    names = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    synonyms = names.groupBy("r_name").agg(F.transform(F.array_sort(F.collect_list("n_name")), lambda n: F.substring(n, 1, 4)).alias("s"))
+    entries = F.array_sort(F.collect_list(F.struct("r_name", "s")))
+    path = f"{workdir(spark, 'lexicon')}/config"
+    synonyms.agg(F.to_json(F.struct(F.map_from_entries(entries).alias("keywords"))).alias("value")).write.text(path)
+    scanned = lexicon.lexicon_of(readers.scan_lexicon(spark, f"{path}/*.txt"))
+    hits = texts(spark, sf_dir).select("doc_id", F.explode(lexicon.keyword_hits("text", scanned)).alias("h"))
+    return hits.select("doc_id", "h.priority", "h.keyword", "h.synonym_pos", "h.synonym")
+
+
 @query("keyword_context", """
     WITH x AS (SELECT doc_id, lower(text) AS t, strpos(lower(text), 'free') AS p FROM documents)
     SELECT doc_id, substr(t, greatest(1, p - 30), p + 4 + 30 - greatest(1, p - 30)) AS context FROM x WHERE p > 0
@@ -124,9 +145,9 @@ def url_host(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", markup.url_host("url").alias("host"))
 
 
-def _element_sql(tag: str) -> str:
+def element_sql(tag: str, closing: str | None = None) -> str:
     """Text of the first element, by splitting at its tags; the pages hold these references only."""
-    inner = f"split_part(list_extract(string_split(html, '<{tag}>'), 2), '</{tag}>', 1)"
+    inner = f"split_part(list_extract(string_split(html, '<{tag}>'), 2), '</{closing or tag}>', 1)"
     plain = f"list_reduce(list_transform(string_split({inner}, '<'), lambda x, i: CASE WHEN i = 1 THEN x ELSE substr(x, strpos(x, '>') + 1) END), lambda x, y: x || y)"
     for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
         plain = f"replace({plain}, '&{name};', '{char}')"
@@ -147,7 +168,7 @@ def extract_links(spark, sf_dir):
     return whole.filter(~text.contains_any(F.lower("href"), ["/the", "casino"]))
 
 
-@query("extract_tag_text", f"SELECT page_id, {_element_sql('title')} AS title, {_element_sql('h1')} AS heading FROM pages")
+@query("extract_tag_text", f"SELECT page_id, {element_sql('title')} AS title, {element_sql('h1')} AS heading FROM pages")
 def extract_tag_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id", markup.tag_text("html", "title").alias("title"), markup.tag_text("html", "h1").alias("heading")
@@ -155,7 +176,7 @@ def extract_tag_text(spark, sf_dir):
 
 
 @query("extract_with_fallback", f"""
-    SELECT page_id, coalesce({_element_sql('h2')}, {_element_sql('footer')}, {_element_sql('h1')}, 'N/A') AS value FROM pages
+    SELECT page_id, coalesce({element_sql('h2')}, {element_sql('footer')}, {element_sql('h1')}, 'N/A') AS value FROM pages
 """)
 def extract_with_fallback(spark, sf_dir):
     strategies = [markup.tag_text("html", tag) for tag in ("h2", "footer", "h1")]
@@ -186,7 +207,7 @@ def motivated_status(spark, sf_dir):
 @query("extract_listing_fields", rf"""
     WITH {LEXICON_SQL},
     cut AS (
-        SELECT page_id, url, html, {_element_sql('h1')} AS street, {_element_sql('footer')} AS agent_name,
+        SELECT page_id, url, html, {element_sql('h1')} AS street, {element_sql('footer')} AS agent_name,
             split_part(split_part(split_part(url, '/', 3), '?', 1), '#', 1) AS city, regexp_extract(url, '/([a-z][a-z])/', 1) AS state,
             nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS zip_code, len(string_split(html, '<p>')) - 1 AS paragraphs,
             len(string_split(html, '<a ')) - 1 AS anchors

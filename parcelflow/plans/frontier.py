@@ -264,7 +264,7 @@ def failure_streaks_sliced(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         "user_id", "event_type", F.date_trunc("minute", "ts").alias("minute"), (-F.col("event_id")).alias("newest")
     )
-    return rollup.failure_streaks(events, "user_id", ["minute", "newest"], F.col("event_type") == "error", max_task_rows=2)
+    return rollup.failure_streaks(events, "user_id", ["minute", "newest"], F.col("event_type") == "error", max_task_rows=1000)
 
 
 @query("row_numbers_sliced", """

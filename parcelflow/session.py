@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,6 +28,26 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "par
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession | None = None) -> None:
+    """Send this package to the executors of the running session, once per application, as ``--py-files`` would.
+
+    A local session has it already.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    context = spark.sparkContext
+    if context.master.startswith("local") or context.applicationId in _shipped:
+        return
+    root, name = os.path.split(os.path.dirname(os.path.abspath(__file__)))
+    into = os.path.join(tempfile.mkdtemp(prefix="package-"), name)
+    context.addPyFile(shutil.make_archive(into, "zip", root, name))
+    _shipped.add(context.applicationId)
+
+
 def workdir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 

@@ -154,6 +154,28 @@ def scan_lexicon(spark: SparkSession, path: str, section: str = "keywords") -> D
     )
 
 
+def scan_variants(lines: DataFrame, known: dict[str, str], line: str = "value", bad: str | None = None) -> DataFrame:
+    """JSON objects of any shape: typed columns for the ``known`` fields, and all others as they are in a VARIANT column ``rest``.
+
+    ``known`` maps a field to its type. A field of another type than stated is null in its column and stays in ``rest``, so none is lost; with
+    ``rest_joined`` the object comes back. A line that is no object is left out, or with ``bad`` told in the column of that name.
+    """
+    parsed = lines.select(F.col(line).alias("_line"), F.try_parse_json(F.col(line)).alias("_v"))
+    whole = F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.col("_v"))
+    fields = F.from_json(F.to_json(whole), "map<string, variant>")
+    typed = {name: F.try_variant_get(whole, f"$['{name}']", kind) for name, kind in known.items()}
+    lost = F.map_filter(fields, lambda k, _: ~F.coalesce(F.element_at(F.create_map(*[x for n, v in typed.items() for x in (F.lit(n), v.isNotNull())]), k), F.lit(False)))
+    out = parsed.select(*[v.alias(n) for n, v in typed.items()], F.parse_json(F.to_json(lost)).alias("rest"), F.when(whole.isNull(), F.col("_line")).alias("_bad"))
+    return out.filter("_bad IS NULL").drop("_bad") if bad is None else out.withColumnRenamed("_bad", bad)
+
+
+def rest_joined(known: list[str], rest: str = "rest") -> Column:
+    """The JSON object of a row of ``scan_variants`` again: known fields that are not null, then the rest."""
+    own, others = F.to_json(F.struct(*known)), F.to_json(rest)
+    both = F.concat(F.substring(own, F.lit(1), F.length(own) - 1), F.lit(","), F.substring(others, F.lit(2), F.length(others)))
+    return F.when(own == "{}", others).when(others == "{}", own).otherwise(both)
+
+
 def scan_url_state(spark: SparkSession, path: str, location: str | None = None, state: str | None = None) -> DataFrame:
     """The URL state table; both filters reach the Parquet scan."""
     df = spark.read.parquet(path)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,9 +14,17 @@ from parcelflow.operators.dedup import fresh_rows, union_by_name_distinct
 from parcelflow.operators.documents import nest
 
 VERSION = "version="
+CLAIMS = "_claims"
 RECORD_SEPARATOR = "\u001e\n"
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, none where there is no such folder (a listing, no data)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
+
+
 def _versions(spark: SparkSession, base: str) -> list[int]:
     """Committed versions under ``base``, oldest first (a listing of folder names, no data)."""
     jvm = spark._jvm
@@ -29,15 +41,39 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(found)
 
 
+def _created(spark: SparkSession, path: str) -> bool:
+    """Whether this call, and no other, has created an empty file. HDFS and local file systems decide that; an object store may not."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(place.getParent())
+    if fs.getScheme() == "file":  # where Hadoop looks first and creates later
+        return jvm.java.io.File(place.toUri().getPath()).createNewFile()
+    try:
+        return fs.createNewFile(place)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+
+
+def _claimed(spark: SparkSession, base: str) -> str:
+    """The folder of a version that no other writer has or gets. A claim whose writer failed leaves a gap in the numbers, which readers do not see."""
+    taken = [name[len(VERSION):] for place in (base, f"{base}/{CLAIMS}") for name in names_in(spark, place) if name.startswith(VERSION)]
+    number = max([int(n) for n in taken if n.isdigit()], default=0) + 1
+    while not _created(spark, f"{base}/{CLAIMS}/{VERSION}{number}"):
+        number += 1
+    return f"{base}/{VERSION}{number}"
+
+
 def publish(df: DataFrame, base: str, fmt: str = "parquet", **options: str) -> str:
     """Write ``df`` as the next version of the table ``base``; readers see it once it is complete.
 
-    ``df`` may be derived from the current version, which stays as it is. Returns the folder of the version.
+    ``df`` may be derived from the current version, which stays as it is. Writers at the same time get numbers of their own, so none
+    overwrites another's; the version with the larger number is the current one. Returns the folder of the version.
     """
-    spark = df.sparkSession
-    versions = _versions(spark, base)
-    target = f"{base}/{VERSION}{(versions[-1] if versions else 0) + 1}"
-    df.write.mode("overwrite").format(fmt).options(**options).save(target)  # at most a broken try of this version is replaced
+    target = _claimed(df.sparkSession, base)
+    df.write.mode("errorifexists").format(fmt).options(**options).save(target)
     return target
 
 
@@ -66,6 +102,24 @@ def move(spark: SparkSession, path: str, folder: str) -> str:
     return goal.toString()
 
 
+def consume_files(
+    spark: SparkSession, folder: str, archive: str, read: Callable[[list[str]], DataFrame], merge: Callable[[DataFrame], object], suffix: str = ".csv"
+) -> list[str]:
+    """Read the files of ``folder``, merge their rows, then move the files that had rows to ``archive``; returns where these are now.
+
+    Files move only after ``merge`` has returned: when it fails all stay and the error goes on. A file without a row stays, as
+    does one that arrives meanwhile. Nothing is deleted.
+    """
+    paths = {name: f"{folder}/{name}" for name in names_in(spark, folder) if name.endswith(suffix)}
+    if not paths:
+        return []
+    rows = read(list(paths.values()))
+    # One name per file; a name as it stands in a URI.
+    full = {unquote(r[0]) for r in rows.select(F.col("_metadata.file_name")).distinct().collect()}
+    merge(rows)
+    return [move(spark, path, archive) for name, path in paths.items() if name in full]
+
+
 def retained(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
     """The newest ``keep`` versions, newest first; anything older may be archived."""
     return [f"{base}/{VERSION}{v}" for v in reversed(_versions(spark, base)[-keep:])]
@@ -105,9 +159,9 @@ def save_contact_rollup(new: DataFrame, base: str) -> str:
     return publish(union_by_name_distinct(current(spark, base), new), base)
 
 
-def document_lines(df: DataFrame, agent: str, order: list[Column], columns: list[str]) -> DataFrame:
-    """One JSON object {agent: {'Address i': record}} per agent, in column ``value``."""
-    docs = nest(df, agent, order, columns)
+def document_lines(df: DataFrame, agent: str, order: list[Column], columns: list[str], capped: bool = False) -> DataFrame:
+    """One JSON object {agent: {'Address i': record}} per agent and 1,000 records, in column ``value``; ``capped`` as in ``nest``."""
+    docs = nest(df, agent, order, columns, *([None] if capped else []))
     return docs.select(F.to_json(F.create_map(F.col(agent).cast("string"), F.col("listings"))).alias("value"))
 
 

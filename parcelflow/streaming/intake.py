@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from parcelflow.operators.dedup import last_wins
-from parcelflow.sources.writers import move
+from parcelflow.sources.writers import move, names_in
+
+GENERATION = "generation="
+#: Partition columns of deltas, the earliest first.
+DELTA_ORDER = ["generation", "batch", "query"]
 
 
 def watch_folder(
@@ -72,15 +76,24 @@ def drop_seen(
 
 def _store_delta(out: str, rows: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """A batch as a folder of its own. The folder's name holds the id of the query, which lives in its checkpoint: a
-    batch that is repeated replaces itself, and a query that has lost its checkpoint never writes over older batches."""
+    batch that is repeated replaces itself, and a query that has lost its checkpoint never writes over older batches.
+    A query that begins is a generation later than those that have written before it."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        rows(batch).withColumn("_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{out}/query={query}/batch={batch_id}")
+        place = f"{out}/{_generation(batch.sparkSession, out, query)}/query={query}/batch={batch_id}"
+        rows(batch).write.mode("overwrite").parquet(place)
 
     return store
 
 
+def _generation(spark: SparkSession, out: str, query: str) -> str:
+    """The folder of a query's generation: the one it has written to before, else the next. It orders queries without a clock."""
+    known = [g for g in names_in(spark, out) if g.startswith(GENERATION)]
+    own = [g for g in known if f"query={query}" in names_in(spark, f"{out}/{g}")]
+    return own[0] if own else f"{GENERATION}{max([int(g[len(GENERATION):]) for g in known], default=0) + 1}"
+
+
 def running_counts(stream: DataFrame, key: str, out: str) -> DataStreamWriter:
     """Counts per key; each batch stores only the keys whose count has changed. Read with ``latest_counts``."""
     counts = stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -101,9 +114,9 @@ def upsert_deltas(stream: DataFrame, keys: list[str], order: list[str], out: str
 
 
 def latest_rows(spark: SparkSession, out: str, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key over all deltas; between equal orders the later batch wins."""
+    """One row per key over all deltas; between equal orders the later generation wins, then the later batch."""
     table = spark.read.parquet(out)
-    return last_wins(table, keys, [*order, "_at", "batch", "query"]).drop("_at", "batch", "query")
+    return last_wins(table, keys, [*order, *DELTA_ORDER]).drop(*DELTA_ORDER)
 
 
 def compact(spark: SparkSession, out: str, archive: str, keys: list[str], order: list[str]) -> None:
@@ -112,8 +125,10 @@ def compact(spark: SparkSession, out: str, archive: str, keys: list[str], order:
     Readers and the stream go on as before: until the old folders are gone a key has the same row twice.
     """
     table = spark.read.parquet(out)
-    folded = [f"query={r['query']}/batch={r['batch']}" for r in table.select("query", "batch").distinct().collect()]
-    last = last_wins(table, keys, [*order, "_at", "batch", "query"]).drop("batch", "query")
-    last.write.parquet(f"{out}/query=folded-{uuid.uuid4().hex}/batch=-1")
+    places = table.select(*DELTA_ORDER).distinct().collect()
+    folded = [f"{GENERATION}{r['generation']}/query={r['query']}/batch={r['batch']}" for r in places]
+    last = last_wins(table, keys, [*order, *DELTA_ORDER]).drop(*DELTA_ORDER)
+    # In the last generation, before its next batch.
+    last.write.parquet(f"{out}/{GENERATION}{max(r['generation'] for r in places)}/query=folded-{uuid.uuid4().hex}/batch=-1")
     for name in folded:
-        move(spark, f"{out}/{name}", f"{archive}/{name.split('/')[0]}")
+        move(spark, f"{out}/{name}", f"{archive}/{name.rpartition('/')[0]}")

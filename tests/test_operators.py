@@ -100,8 +100,7 @@ def test_nesting_drops_nothing(spark, tmp_path):
 def test_a_repeated_zip_multiplies_no_row(spark):
     postal = spark.createDataFrame([("1", "Old", 1), ("1", "New", 2), (None, "x", 3)], "zip string, county string, n int")
     df = spark.createDataFrame([(1, "1"), (2, "9"), (3, None)], "id int, z string")
-    one = enrich.one_per_zip(postal, "zip", ["n"])
-    out = enrich.zip_to_county(df, one, df["z"] == one["zip"], "county", out="place").collect()
+    out = enrich.zip_to_county(df, postal, ("z", "zip"), "county", out="place", order=["n"]).collect()
     assert sorted((r.id, r.place) for r in out) == [(1, "New"), (2, "Unknown"), (3, "Unknown")]
 
 
@@ -217,7 +216,7 @@ def test_enrichment_keeps_rows_and_last_load_wins(spark):
 def test_zip_lookup_miss_and_null_are_unknown(spark):
     df = spark.createDataFrame([("01234",), ("99999",), ("11111",), (None,)], "zip string")
     postal = spark.createDataFrame([("01234", "Orange"), ("11111", None)], "postal_code string, county_name string")
-    out = enrich.zip_to_county(df, postal, df.zip == postal.postal_code, "county_name")
+    out = enrich.zip_to_county(df, postal, ("zip", "postal_code"), "county_name")
     assert {r.zip: r.county for r in out.collect()} == {"01234": "Orange", "99999": "Unknown", "11111": "Unknown", None: "Unknown"}
 
 

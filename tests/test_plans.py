@@ -13,6 +13,9 @@ SF_DIR = "/root/testdata/sf0.001"
 ONE_TASK = re.compile(r"SinglePartition.*\n.*HashAggregate\(keys=\[(__range#\d+)?\]")
 
 
+WORD_SEARCH = ["extract_listing_fields", "first_keyword_match", "keyword_match_scanned", "keyword_theta_join", "motivated_status"]
+
+
 def plan(spark, name):
     return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
@@ -21,7 +24,9 @@ def plan(spark, name):
 def test_no_unbounded_step(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert not re.search(r"ArrowEvalPython|BatchEvalPython|InPandas", text)
+    assert not re.search(r"BatchEvalPython|InPandas|InArrow", text)
+    # The one-pass search for words is the only function in Python, once per plan and over Arrow batches.
+    assert len(re.findall(r"ArrowEvalPython \[found\(", text)) == text.count("ArrowEvalPython") == int(name in WORD_SEARCH)
     assert len(ONE_TASK.findall(text)) == text.count("SinglePartition")
 
 
