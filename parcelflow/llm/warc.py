@@ -23,6 +23,8 @@ from parcelflow.session import workdir
 FILE_BYTES = 1 << 26
 SPLIT_BYTES = 1 << 22
 READ_BYTES = 1 << 20
+#: Reading tasks at most for each core; beyond that a task takes several splits.
+TASKS_PER_CORE = 64
 LEVEL = 6
 MIN_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"
@@ -102,9 +104,12 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(body_col).cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumns({"digest": F.unhex(F.sha1("payload")), "size": F.length("payload").cast("bigint")})
+    # Digests alone are joined by digest. Payloads go by digest and page, so a group of copies, however large, lies in many tasks.
     last = rows.groupBy("digest").agg(F.max("page_id").alias("last"))
     again = (F.col("size") >= min_bytes) & F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
-    return rows.join(last, "digest").select("page_id", "url", "payload", "digest", "size", "last", again.alias("revisit"))
+    page = F.concat("digest", F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary"))  # a digest has 20 bytes
+    roles = rows.select("digest", "page_id", "size").distinct().join(last, "digest").select(page.alias("_page"), "last", again.alias("revisit"))
+    return rows.withColumn("_page", page).join(roles, "_page").select("page_id", "url", "payload", "digest", "size", "last", "revisit")
 
 
 def write(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -236,13 +241,15 @@ def _read(with_payload: bool):
 
 
 def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool = False) -> DataFrame:
-    """All records of the archives in ``files`` (file, bytes), dealt to tasks by ranges of bytes.
+    """All records of the archives in ``files`` (file, bytes), dealt to tasks by ranges of bytes, one range to a task.
 
     A record that is cut or damaged gives a row of record_type ``damaged`` with its place.
     """
     splits = files.select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes).cast("bigint"))).alias("start"))
     splits = splits.select("file", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end"))
-    return splits.repartition("file", "start").mapInArrow(_read(with_payload), RECORD_SCHEMA)
+    # The rows of splits are few bytes, of which adaptive execution would make one task. A number that is asked for stays.
+    tasks = min(splits.count(), TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism)
+    return splits.repartition(max(1, tasks)).mapInArrow(_read(with_payload), RECORD_SCHEMA)
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
