@@ -1,10 +1,11 @@
 """Mixing sources to target weights by Sainte-Lague apportionment, in DataFrame operations alone.
 
 A source is cut into shards of about ``SHARD_WORDS`` words by a seeded hash of the ids, a shard into
-blocks of ``BLOCK_WORDS`` words along a seeded order of its documents. Blocks go to sources by the
-highest quotients target / (2k - 1), and those of a source to its shards in the same way. A shard with
-n blocks and a quota of q takes every block q div n times and a seeded choice of q mod n blocks
-once more. What a document gives is what these blocks hold of it.
+equal blocks of about ``BLOCK_WORDS`` words along a seeded order of its documents. All words of the mix go to sources by the
+highest quotients target / (2k - 1), and those of a source to its shards in the same way: a seat is one word, so sources of a few words
+get their share like large ones. A shard with n words and a quota of q takes every block q div n times, and then, along a seeded
+order of its blocks, whole blocks for q mod n words once more; the last of these gives only its first words, so that the quota is met
+to the word. What a document gives is what these blocks hold of it.
 
 Quotients are never listed in full. With weights p that sum to 1 and N seats, rounding p * (N - s/2 - 1)
 for the s parties gives too few seats and p * (N + s/2 + 1) too many; only the seats between the two,
@@ -76,12 +77,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     ).drop("_level")
 
 
-def _blocks(words_: Column) -> Column:
-    return F.greatest(F.lit(1), F.ceil(words_ / BLOCK_WORDS)).cast("bigint")
-
-
-def _shard(doc_id: Column, shards: Column) -> Column:
-    return F.pmod(F.xxhash64(doc_id, F.lit(SEED)), shards)
+def _shard(key: Column, shards: Column) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(SEED)), shards)
 
 
 def plan(rows: DataFrame, weights=weights_by_rank) -> tuple[DataFrame, DataFrame]:
@@ -92,18 +89,16 @@ def plan(rows: DataFrame, weights=weights_by_rank) -> tuple[DataFrame, DataFrame
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn(
         "source_no", F.row_number().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_last())).cast("bigint")
     )
-    shared = targets(weights(sizes)).withColumn(
-        "seats", F.round(F.sum("source_size").over(Window.partitionBy()) / BLOCK_WORDS).cast("bigint")
-    )
+    shared = targets(weights(sizes)).withColumn("seats", F.sum("source_size").over(Window.partitionBy()).cast("bigint"))
     sources = stored(
         apportion(shared, [], "source_no", "target", "seats", "quota")
-        .withColumn("quota", F.least("quota", MOST * _blocks(F.col("source_size"))))
+        .withColumn("quota", F.least("quota", MOST * F.col("source_size")))
         .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS)).cast("bigint"))
         .select("source", "source_no", "source_size", "target", "quota", "shards")
     )
     in_shards = with_sources(rows, sources).groupBy("source_no", "shard", "quota").agg(F.sum("size").alias("shard_size"))
     shards = apportion(in_shards, ["source_no"], "shard", "shard_size", "quota", "shard_quota").select(
-        "source_no", "shard", "shard_size", F.least("shard_quota", MOST * _blocks(F.col("shard_size"))).alias("shard_quota")
+        "source_no", "shard", "shard_size", F.least("shard_quota", MOST * F.col("shard_size")).alias("shard_quota")
     )
     return sources, stored(shards)
 
@@ -112,42 +107,56 @@ def with_sources(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """``rows`` beside their source; the join carries no hint, its small side is measured."""
     named = sources.withColumnRenamed("source", "_source")
     return rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
-        "shard", _shard(F.col("doc_id"), F.col("shards"))
+        "shard", _shard(F.col("place"), F.col("shards"))
     )
 
 
-def _chosen(block: Column) -> Column:
-    """Whether a block is one of the ``more`` that are taken once more."""
-    return F.pmod(block * F.pmod(F.lit(STEP), F.col("blocks")) + F.col("offset"), F.col("blocks")) < F.col("more")
+def _taken_of(block: Column) -> Column:
+    """How many words of a block, its first ones, are taken once more.
+
+    Blocks come in the order of their ``turn``, a seeded step through their numbers. All have ``width`` words but the last, which lacks
+    ``lack``; so the words of all blocks that come before one are known without a sum.
+    """
+    def turn(b: Column) -> Column:
+        return F.pmod(b * F.pmod(F.lit(STEP), F.col("blocks")) + F.col("offset"), F.col("blocks"))
+
+    final = F.col("blocks") - 1
+    before = turn(block) * F.col("width") - F.when(turn(final) < turn(block), F.col("lack")).otherwise(F.lit(0))
+    size = F.col("width") - F.when(block == final, F.col("lack")).otherwise(F.lit(0))
+    return F.least(size, F.greatest(F.lit(0), F.col("more") - before))
 
 
 def placed(rows: DataFrame, sources: DataFrame, shards: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, source, size, ...) with their place in the shard and what is taken of them.
+    """``rows`` (doc_id, place, source, size, ...) with their place in the shard and what is taken of them.
 
     ``rounds`` is how often all of the document is taken, ``part`` how many words are taken once more.
     """
-    order = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64("doc_id", F.lit(SEED + 1)), "doc_id", "size")
+    order = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64("place", F.lit(SEED + 1)), "place", "size")
     at = with_sources(rows, sources.drop("quota")).withColumn(
         "end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("start", F.col("end") - F.col("size")).join(shards, ["source_no", "shard"])
-    at = at.withColumn("blocks", _blocks(F.col("shard_size"))).withColumns({
-        "rounds": F.floor(F.col("shard_quota") / F.col("blocks")),
-        "more": F.pmod("shard_quota", "blocks"),
+    some = F.greatest(F.lit(1), F.col("shard_size"))  # a shard without words takes none
+    at = at.withColumn("blocks", F.ceil(some / BLOCK_WORDS).cast("bigint")).withColumn("width", F.ceil(some / F.col("blocks")).cast("bigint")).withColumns({
+        "lack": F.col("blocks") * F.col("width") - some,
+        "rounds": F.floor(F.col("shard_quota") / some),
+        "more": F.pmod("shard_quota", some),
         "offset": F.pmod(F.xxhash64("source_no", "shard", F.lit(SEED + 2)), F.col("blocks")),
     })
 
     def held(total: Column, block: Column) -> Column:
-        inside = F.least(F.col("end"), (block + 1) * BLOCK_WORDS) - F.greatest(F.col("start"), block * BLOCK_WORDS)
-        return total + F.when(_chosen(block), inside).otherwise(F.lit(0))
+        first = block * F.col("width")
+        return total + F.greatest(F.lit(0), F.least(F.col("end"), first + _taken_of(block)) - F.greatest(F.col("start"), first))
 
-    first, last = F.floor(F.col("start") / BLOCK_WORDS), F.floor((F.col("end") - 1) / BLOCK_WORDS)
+    first, last = F.floor(F.col("start") / F.col("width")), F.floor((F.col("end") - 1) / F.col("width"))
     part = F.aggregate(F.sequence(first, last), F.lit(0).cast("bigint"), held)
     return at.withColumn("part", F.when(F.col("size") > 0, part).otherwise(F.lit(0).cast("bigint")))
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    """(doc_id, place, source, size, ...); ``place`` decides shard and order, by the id or, without one, by the text."""
+    own = F.col(id_col).cast("bigint")
     return docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        own.alias("doc_id"), F.coalesce(own, F.xxhash64(F.col(text_col))).alias("place"), F.col(source_col).cast("string").alias("source"),
         words(F.col(text_col)).alias("size"), *more,
     )
 
@@ -157,9 +166,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """(id_col, size, source_size, target, taken) for every row of ``docs``.
 
     taken is how many words the mix takes of the document, repeats counted: 0 to ``MOST`` times its
-    size. The words taken of a source differ from its target by rounding to blocks, at most
-    about ``MOST`` blocks per shard. Null and blank texts have size 0 and are not taken. A null source
-    is a source of its own. Rows without an id share a place in the order; rows that repeat
+    size. The words taken of a source differ from its target by rounding to whole words, in all sources by less than one seat
+    each and one word a shard. Null and blank texts have size 0 and are not taken. A null source
+    is a source of its own. Rows without an id are placed by their text; rows that repeat
     an id count as rows. The same rows give the same result. An empty table gives an empty result.
     """
     rows = stored(_sized(docs, id_col, text_col, source_col))
@@ -181,7 +190,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     at = placed(whole, *plan(rows, weights)).withColumn("copies", F.col("rounds") + (F.col("part") > 0).cast("bigint"))
     each = at.filter("size > 0 and copies > 0").withColumn("round", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     pieces = F.regexp_extract_all(F.col("row")[text_col], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    kept = F.filter(pieces, lambda _, i: _chosen(F.floor((F.col("start") + i) / BLOCK_WORDS)))
+
+    def is_taken(_: Column, i: Column) -> Column:
+        at = F.col("start") + i
+        return F.pmod(at, F.col("width")) < _taken_of(F.floor(at / F.col("width")))
+
+    kept = F.filter(pieces, is_taken)
     cut = F.col("round") > F.col("rounds")
     text = F.when(cut & (F.col("part") < F.col("size")), F.ltrim(F.array_join(kept, ""))).otherwise(F.col("row")[text_col])
     each = each.withColumn("_text", text)
