@@ -10,7 +10,8 @@ others follow as exceptions with their places. An index of block starts lets a r
     footer  = ids (uint64) | blocks (uint64) | documents (uint64) | place of the index (uint64) | "PFOR1"
 
 All numbers are little-endian. Documents are dealt to tasks by ranges of ids and each task writes files of about
-``FILE_IDS`` ids, so neither a task's memory nor a file grows with the table.
+``FILE_IDS`` ids or at most ``FILE_DOCS`` documents. A document is written and read in runs of ids, so neither a task's memory nor a file
+grows with the table or with a document's length.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ MAGIC = b"PFOR1"
 BLOCK = 256
 SHARE = 0.9
 FILE_IDS = 64_000_000
+FILE_DOCS = 100_000
+#: Rows of digests that are given back at a time.
+OUT_ROWS = 10_000
 #: Ids that are held in memory before their blocks are written.
 HELD_IDS = 1 << 18
 END = 0
@@ -117,7 +121,17 @@ class Writer:
         self.waiting = self.ids = 0
 
     def add(self, ids: np.ndarray) -> None:
-        self.lengths.append(len(ids))
+        """A whole document."""
+        self.begin()
+        self.extend(ids)
+
+    def begin(self) -> None:
+        """A new document, of no ids yet."""
+        self.lengths.append(0)
+
+    def extend(self, ids: np.ndarray) -> None:
+        """More ids of the last document."""
+        self.lengths[-1] += len(ids)
         self.held.append(ids)
         self.waiting += len(ids)
         self.ids += len(ids)
@@ -169,16 +183,24 @@ class Reader:
 
     def documents(self) -> Iterator[np.ndarray]:
         """The ids of each document, with one read for every run of documents of about ``HELD_IDS`` ids."""
+        parts: list[np.ndarray] = []
+        for _, ids, last in self.runs():
+            parts.append(ids)
+            if last:
+                yield np.concatenate(parts)
+                parts = []
+
+    def runs(self) -> Iterator[tuple[int, np.ndarray, bool]]:
+        """(document, some ids of it, whether they are its last), in order; one read for about ``HELD_IDS`` ids, whatever a document's length."""
         ends = np.cumsum(self.lengths)
         k = 0
-        while k < len(ends):
-            start = int(ends[k] - self.lengths[k])
-            stop = max(k + 1, int(np.searchsorted(ends, start + HELD_IDS, side="right")))
-            ids = self.read(start, int(ends[stop - 1]) - start)
-            for n in self.lengths[k:stop]:
-                yield ids[:n]
-                ids = ids[n:]
-            k = stop
+        for at in range(0, max(self.ids, 1), HELD_IDS):
+            ids, place = self.read(at, HELD_IDS), at
+            while k < len(ends) and (place < at + len(ids) or self.lengths[k] == 0):
+                stop = min(int(ends[k]), at + len(ids))
+                yield k, ids[place - at : stop - at], stop == ends[k]
+                place = stop
+                k += int(stop == ends[k])
 
     def close(self) -> None:
         self.file.close()
@@ -244,10 +266,12 @@ def _write(folder: str, tokenizer: str, file_ids: int):
                 if writer is None:
                     name = f"{folder}/{task:06d}-{number:06d}.pfor"
                     writer, ids_of_file = Writer(name), []
-                ids = [np.frombuffer(p, "<u4") for p in known.ids_of(text.as_py() or "")]
-                writer.add(np.concatenate([*ids, np.array([END], "<u4")]))
+                writer.begin()
+                for part in known.ids_of(text.as_py() or ""):
+                    writer.extend(np.frombuffer(part, "<u4"))
+                writer.extend(np.array([END], "<u4"))
                 ids_of_file.append(doc_id.as_py())
-                if writer.ids >= file_ids:
+                if writer.ids >= file_ids or len(ids_of_file) >= FILE_DOCS:
                     yield closed()
                     writer, number = None, number + 1
         if writer is not None:
@@ -279,13 +303,24 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             reader, start = Reader(row["file"]), row["start"]
-            out = []
-            for doc_id, ids in zip(row["doc_ids"], reader.documents(), strict=True):
-                out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                start += len(ids)
+            out, crc = [], 0
+            for k, ids, last in reader.runs():
+                crc = zlib.crc32(ids.astype("<u4").tobytes(), crc)
+                if last:
+                    n = int(reader.lengths[k])
+                    out.append((row["doc_ids"][k], start, n, crc))
+                    start, crc = start + n, 0
+                if len(out) >= OUT_ROWS:
+                    yield _digest_rows(out)
+                    out = []
             reader.close()
-            columns = [pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
+            if out:
+                yield _digest_rows(out)
+
+
+def _digest_rows(out: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def digests(files: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -3,7 +3,10 @@
 import functools
 import hashlib
 import itertools
+import pickle
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -30,7 +33,7 @@ def test_marginals_equal_all_paths():
     rng = np.random.default_rng(2)
     per_text = np.array([3, 1, 4])
     good, between, start = rng.normal(size=8), rng.normal(size=(2, 2)), rng.normal(size=2)
-    got, pairs = crf.marginals(good, per_text, between, start, np.ones(3))
+    got, pairs, *_ = crf.marginals(good, per_text, between, start, np.ones(3))
     at, want_pairs = 0, np.zeros((2, 2))
     for n in per_text:
         paths = list(itertools.product((0, 1), repeat=int(n)))
@@ -46,12 +49,77 @@ def test_marginals_equal_all_paths():
 
 
 def test_figures_do_not_depend_on_the_cut(monkeypatch):
-    texts = [b"", b"\n", b"a b\nC d!", "été | x\n\n".encode(), b"x" * 300]
-    want = crf.line_figures(texts)
-    monkeypatch.setattr(crf, "SEGMENT", 7)
-    for a, b in zip(want, crf.line_figures(texts), strict=True):
-        assert (a == b).all()
-    assert want[2].tolist() == [1, 2, 2, 3, 1]
+    texts = [b"", b"\n", b"a b\nC d!", "été | x\n\n".encode(), b"x" * 300, b"a a b\na a b\n"]
+
+    def whole():
+        return [np.concatenate(parts) for parts in zip(*crf.line_runs(texts), strict=True)]
+
+    want = whole()
+    assert np.flatnonzero(want[2]).tolist() == [0, 1, 3, 5, 8, 9] and want[1].tolist() == [0, 0, 0, 3, 4, 9, 0, 0, 300, 5, 5, 0]
+    assert want[0][:, 14].tolist() == [0, 0, 1, 0, 0, 0, 0, 1, 0, 0, 1, 0], "lines that came before in their text"
+    monkeypatch.setattr(crf, "LONG_LINE", 3)
+    for segment, lines in ((7, 1 << 14), (1 << 20, 2), (3, 1)):
+        monkeypatch.setattr(crf, "SEGMENT", segment)
+        monkeypatch.setattr(crf, "LINES_AT_A_TIME", lines)
+        for a, b in zip(want, whole(), strict=True):
+            assert (a == b).all()
+
+
+def test_scores_equal_all_paths_at_any_cut(model, docs, monkeypatch):
+    """The document score against every labelling of its lines, with features taken line by line."""
+    texts = [t.text.encode() for t in docs.limit(300).collect()]
+    texts = [b"\n".join(t.split(b"\n")[:9]) for t in texts][:60] + [b"", b"\n", b"one line", b"x!!\n\nx!!"]
+    k = crf.FIGURES * crf.BINS
+
+    def plain(text):
+        figures = np.concatenate([f for f, *_ in crf.line_runs([text])])
+        own = [model.own(f[None])[0].astype(float) for f in figures]
+        w, n = model.weights, len(figures)
+        good = [
+            own[t] @ w[:k] + (own[t - 1] @ w[k : 2 * k] if t else 0) + (own[t + 1] @ w[2 * k : 3 * k] if t + 1 < n else 0)
+            + (w[-3] if t == 0 else 0) + (w[-2] if t == n - 1 else 0) + w[-1] for t in range(n)
+        ]
+        paths = list(itertools.product((0, 1), repeat=n))
+        score = np.array([
+            model.start[p[0]] + sum((y - 0.5) * g for y, g in zip(p, good, strict=True)) + sum(model.between[a, b] for a, b in itertools.pairwise(p)) for p in paths
+        ])
+        chance = np.exp(score - score.max())
+        p_good = chance @ np.array(paths) / chance.sum()
+        weight = np.array([len(line) + 1 for line in text.split(b"\n")])
+        return weight @ p_good / weight.sum()
+
+    want = [plain(t) for t in texts]
+    for lines, block, segment in ((1 << 14, 64, 1 << 20), (4, 3, 200), (1, 1, 1), (3, 2, 50)):
+        monkeypatch.setattr(crf, "LINES_AT_A_TIME", lines)
+        monkeypatch.setattr(crf, "BLOCK_LINES", block)
+        monkeypatch.setattr(crf, "SEGMENT", segment)
+        assert crf.score_all(texts, model) == pytest.approx(want, abs=1e-5)
+
+
+def test_long_texts_in_bounded_memory(model, tmp_path):
+    """Two megabytes of line breaks, and one line of twenty, each in a process of its own."""
+    (tmp_path / "model").write_bytes(pickle.dumps(model))
+    code = (
+        "import pickle, resource, sys; from parcelflow.llm import crf; model = pickle.load(open(sys.argv[1], 'rb')); text = eval(sys.argv[2]);"
+        "start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; score = crf.score_all([text], model)[0];"
+        "assert 0 <= score <= 1; print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start) // 1024)"
+    )
+    for text in ("b'\\n' * 2_000_000", "b'ab cd efg ' * 2_000_000"):
+        done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "model"), text], capture_output=True, text=True, check=True)
+        assert int(done.stdout) < 500
+
+
+def test_the_sample_takes_whole_texts_up_to_its_lines(llm, monkeypatch):
+    rows = [(i, "\n".join(["Good line, here."] * 10 if i % 2 else ["$$$ ### !!!"] * 10)) for i in range(60)] + [(99, "x\n" * 6000)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string")
+    labels = llm.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(crf, "train", lambda figures, per_text, label: seen.append((per_text, label)))
+    crf.fit(docs, labels)
+    assert {*seen[-1][0]} == {10} and len(seen[-1][0]) > 30
+    monkeypatch.setattr(crf, "SAMPLE_LINES", 35)
+    crf.fit(docs, labels)
+    assert seen[-1][0].tolist() == [10] * 6 and sorted(seen[-1][1].tolist()) == [0, 0, 0, 1, 1, 1]
 
 
 def test_quality_of_held_out_documents(llm):
@@ -252,6 +320,42 @@ def test_outliers_go_to_the_exceptions():
     assert len(tokenfile.encode_blocks(a)[0]) == tokenfile._HEAD.size + 6
 
 
+@pytest.mark.parametrize("held", [7, 256, 1000])
+def test_documents_in_runs(tmp_path, monkeypatch, held):
+    monkeypatch.setattr(tokenfile, "HELD_IDS", held)
+    rng = np.random.default_rng(held)
+    docs = [rng.integers(0, 50_257, n, dtype=np.uint32) for n in (0, 3, 0, 4000, 7, 7, 0)]
+    writer = tokenfile.Writer(str(tmp_path / "a.pfor"))
+    for d in docs:
+        writer.begin()
+        for at in range(0, len(d), 50):
+            writer.extend(d[at : at + 50])
+    writer.close()
+    reader = tokenfile.Reader(str(tmp_path / "a.pfor"))
+    assert all((a == b).all() for a, b in zip(reader.documents(), docs, strict=True))
+    assert max(len(ids) for _, ids, _ in reader.runs()) <= held
+
+
+def test_a_document_of_very_many_ids_in_bounded_memory(tmp_path):
+    """Eight million ids written and read in a process of its own."""
+    code = (
+        "import resource, sys, zlib; import numpy as np; from parcelflow.llm import tokenfile;"
+        "start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; w = tokenfile.Writer(sys.argv[1]); w.begin();"
+        "[w.extend(np.arange(k, k + 1000, dtype=np.uint32) % 50257) for k in range(0, 8_000_000, 1000)]; w.close();"
+        "n = sum(len(ids) for _, ids, _ in tokenfile.Reader(sys.argv[1]).runs()); assert n == 8_000_000;"
+        "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start) // 1024)"
+    )
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "a.pfor")], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 200
+
+
+def test_files_end_by_documents_too(llm, monkeypatch):
+    monkeypatch.setattr(tokenfile, "FILE_DOCS", 3)
+    docs = llm.createDataFrame([(i, "a b") for i in range(10)], "doc_id bigint, text string").coalesce(1)
+    files = tokenfile.write(docs, workdir(llm, "test-tokens"), tokenfile.default_tokenizer()).collect()
+    assert max(len(f.doc_ids) for f in files) <= 3 and sum(len(f.doc_ids) for f in files) == 10
+
+
 def test_random_access(tmp_path):
     rng = np.random.default_rng(6)
     docs = [rng.integers(0, 50_257, n, dtype=np.uint32) for n in (1, 0, 700, 256, 3, 90_000)]
@@ -263,6 +367,9 @@ def test_random_access(tmp_path):
     assert all((a == b).all() for a, b in zip(reader.documents(), docs, strict=True))
     for start in (0, 1, 255, 256, 50_000, len(whole) - 1):
         assert (reader.read(start, 600) == whole[start : start + 600]).all()
+    runs = list(reader.runs())
+    assert [k for k, _, last in runs if last] == list(range(6))
+    assert all((np.concatenate([ids for j, ids, _ in runs if j == k]) == d).all() for k, d in enumerate(docs))
     empty = tokenfile.Writer(str(tmp_path / "b.pfor"))
     empty.close()
     assert list(tokenfile.Reader(str(tmp_path / "b.pfor")).documents()) == []
