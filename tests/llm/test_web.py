@@ -95,6 +95,25 @@ def test_warc_round_trip(llm, least, split, file_bytes):
     assert {r.target_uri for r in got if r.page_id == 4} == {"http://b%0D%0AWARC-Type:%20x".replace("%20", "%20")}
 
 
+def test_one_reading_task_for_each_split(llm):
+    """Adaptive execution leaves the splits apart, although their rows are few bytes."""
+    assert llm.conf.get("spark.sql.adaptive.enabled") == "true"
+    pages = llm.range(200).selectExpr("id AS page_id", "'u' AS url", "sha2(cast(id as string), 512) || sha2(cast(id + 7 as string), 512) AS html")
+    files = warc.write(warc.with_revisits(pages), workdir(llm, "test-warc"))
+    size = files.agg({"bytes": "sum"}).first()[0]
+    split = size // 12
+    found = warc.read(files, split).selectExpr("page_id", "spark_partition_id() AS task").collect()
+    assert sorted(r.page_id for r in found) == list(range(200)) and len({r.task for r in found}) >= 12
+
+
+def test_copies_of_a_payload_lie_in_many_tasks(llm):
+    pages = llm.range(4000).selectExpr("id AS page_id", "'u' AS url", "'the same' AS html")
+    rows = warc.with_revisits(pages.repartition(8)).selectExpr("spark_partition_id() AS task", "revisit").collect()
+    assert sum(not r.revisit for r in rows) == 1 and len(rows) == 4000
+    plan = warc.with_revisits(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("payload") >= 1
+
+
 def test_no_pages(llm):
     assert warc.round_trip(llm.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
@@ -155,6 +174,28 @@ def test_embeddings(llm):
     assert tiles.near_dedup(df.limit(0)).count() == 0
 
 
+def test_vectors_that_repeat_an_id(llm):
+    """Each row has the links of its own vector, whatever other vectors have its id."""
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [1.0, -0.01], 0), (1, [0.0, 1.0], 1), (4, [0.0, 1.0], 1), (5, [0.0, 2.0], 0)]
+    df = llm.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    for tile in (1, 2, 100):
+        got = sorted(map(tuple, tiles.near_dedup(df, tile=tile).collect()))
+        assert got == sorted([(1, 2, 1, True), (1, 1, 1, True), (2, 2, 1, False), (3, 2, 1, False), (1, 1, 1, True), (4, 1, 1, False), (5, 1, 1, False)])
+
+
+def test_strips_give_the_same_links(monkeypatch):
+    rng = np.random.default_rng(12)
+    v = rng.normal(size=(4, 8))[rng.integers(0, 4, 90)] + rng.normal(size=(90, 8)) * 0.2
+    q, b = tiles.quantise(tiles.unit(v))
+    tile = tiles.Tile({"dim": 8, "ids": np.arange(90).tobytes(), "sizes": np.ones(90, np.int64).tobytes(), "q": q.tobytes(), "bounds": b.tobytes(), "vectors": v.tobytes()})
+    want = tiles.unit(v) @ tiles.unit(v).T >= 0.93
+    np.fill_diagonal(want, False)
+    for strip in (1, 7, 256):
+        monkeypatch.setattr(tiles, "STRIP", strip)
+        links = tiles.Links(tile, tile, 0.93, True)
+        assert (np.concatenate([found for _, found in links]) == want).all()
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(10)
     u = tiles.unit(rng.normal(size=(200, 64)) * rng.lognormal(size=(200, 1)))
