@@ -33,9 +33,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with digests of the ids and of what they decode to."""
+    """Token ids of each document (little-endian 32-bit), with digests of the ids and of what they decode to."""
     ship(spark)
-    return bpe.encoded(docs, bpe.default_ranks())
+    return bpe.encoded(docs, bpe.default_ranks(), with_ids=True)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]

@@ -240,11 +240,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns; of rows that repeat an id and a text, one."""
-    found = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.unhex("text_sha256").alias("__digest"), F.col("keep_id").alias("__keep")
-    ).distinct()
-    marked = docs.withColumn("__text_digest", digest(text_col))
-    return (
-        marked.join(found, (F.col("__text_digest") == F.col("__digest")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__keep")))
-        .dropDuplicates(["__text_digest"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    def key(text_digest: Column, own_id: Column) -> Column:
+        return F.concat(text_digest, F.coalesce(own_id.cast("string"), F.lit("")).cast("binary"))  # a digest has 32 bytes
+
+    found = exact_dedup(docs, id_col, text_col).filter("kept").select(key(F.unhex("text_sha256"), F.col("keep_id")).alias("key")).distinct()
+    # One key for the join and the repeats, so texts are shuffled once; the row is one column, so no name clashes.
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key(digest(text_col), F.col(id_col).cast("bigint")).alias("key"))
+    return marked.join(found, "key").dropDuplicates(["key"]).select("row.*")

@@ -85,7 +85,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _own_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         marks = np.fromiter((fingerprint(t.as_py()) for t in batch.column("text")), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(marks.view(np.int64))], ["row", "__own"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(marks.view(np.int64))], ["row", "own"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,16 +199,16 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .agg(F.min("mark").alias("mark"), F.max("mark").alias("most"), F.max(F.expr("doc_id = component_id")).alias("head")).filter("head")
     )
     own_id = F.col(id_col).cast("bigint")
-    single = heads.filter("mark = most").select(F.col("doc_id").alias("__head"))
-    named = docs.join(single, own_id == F.col("__head")).dropDuplicates([id_col]).select(*columns)
+    single = heads.filter("mark = most").select(F.col("doc_id").alias("head"))
+    whole = docs.select(F.struct(*columns).alias("row"), own_id.alias("head"), F.col(text_col).cast("binary").alias("text"))
+    named = whole.select("row", "head").join(single, "head").dropDuplicates(["head"]).select("row.*")
     # The id alone does not tell these rows' component, so their texts do.
-    many = heads.filter("mark <> most").select(F.col("doc_id").alias("__head"))
-    wanted = classes.filter("component_id is null").select(F.lit(None).cast("bigint").alias("__head"), "mark", "root").unionByName(
-        placed.join(many, F.col("doc_id") == F.col("__head")).filter("doc_id = component_id").select("__head", "mark", "root").distinct()
-    ).select("__head", F.col("mark").alias("__mark"), F.col("root").alias("__root"))
-    row = [F.struct(*columns).alias("row"), F.col(text_col).cast("binary").alias("text")]
-    loose = docs.filter(F.col(id_col).isNull()).select(*row).unionByName(docs.join(many, own_id == F.col("__head")).select(*row))
+    many = heads.filter("mark <> most").select(F.col("doc_id").alias("head"))
+    wanted = classes.filter("component_id is null").select(F.lit(None).cast("bigint").alias("head"), "mark", "root").unionByName(
+        placed.join(many, F.col("doc_id") == F.col("head")).filter("doc_id = component_id").select("head", "mark", "root").distinct()
+    )
+    loose = whole.filter("head IS NULL").select("row", "text").unionByName(whole.join(many, "head").select("row", "text"))
     kind = loose.schema["row"].dataType
-    loose = loose.mapInArrow(released(_own_marks), T.StructType([T.StructField("row", kind), T.StructField("__own", T.LongType())]))
-    known = (F.col("__own") == F.col("__mark")) & F.col("row").getField(id_col).cast("bigint").eqNullSafe(F.col("__head"))
-    return named.unionByName(loose.join(wanted, known).dropDuplicates(["__root"]).select("row.*"))
+    loose = loose.mapInArrow(released(_own_marks), T.StructType([T.StructField("row", kind), T.StructField("own", T.LongType())]))
+    known = (F.col("own") == F.col("mark")) & F.col("row").getField(id_col).cast("bigint").eqNullSafe(F.col("head"))
+    return named.unionByName(loose.join(wanted, known).dropDuplicates(["root"]).select("row.*"))

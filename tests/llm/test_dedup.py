@@ -52,6 +52,25 @@ def test_drop_copies_keeps_columns_and_one_row(odd_docs, no_docs):
     assert cuckoo.drop_copies(no_docs).count() == 0
 
 
+def test_stages_take_any_column_names(llm):
+    names = ["__keep", "__head", "__digest", "__text_digest", "key", "row", "head", "mark", "own", "root", "text_sha256", "component_id", "a.b"]
+    rows = [(i, t, *[str(i)] * len(names)) for i, t in [(1, "a b c d"), (2, "a b  c d"), (3, "other words are here"), (None, "a b c d"), (3, "other words are here")]]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names))
+    for drop in (cuckoo.drop_copies, simhash.drop_near_copies):
+        left = drop(docs)
+        assert left.columns == docs.columns and sorted((r.doc_id, r["a.b"]) for r in left.collect()) == [(1, "1"), (3, "3")]
+
+
+def test_texts_are_shuffled_once(llm, docs):
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = cuckoo.drop_copies(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        llm.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(key" in line]
+    assert len(exchanges) == 2, "the marked rows once, and the keys that stay"
+
+
 def test_filter_never_misses_and_deletes():
     rng = random.Random(3)
     bucket = cuckoo.Bucket(1)

@@ -60,6 +60,8 @@ def test_pipeline(llm):
     for r in corpus_pipeline.run(llm, SF_DIR).collect():
         rows[r.doc_id].append(r)
     assert {*rows} == {i for i, n in taken.items() if n}
+    assert all(library.decode(np.frombuffer(r.ids, "<u4").tolist()) == d.text for d in kept for r in rows[d.doc_id] if r.ids_sha256 == ids[d.doc_id])
+    assert all(hashlib.sha256(r.ids).hexdigest() == r.ids_sha256 and len(r.ids) == 4 * r.n_tokens for found in rows.values() for r in found)
     for i, found in rows.items():
         full = [r for r in found if r.decoded_sha256 == whole[i]]
         assert len(full) == taken[i] // size[i] and len(found) - len(full) == (taken[i] % size[i] > 0)
