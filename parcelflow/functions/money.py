@@ -18,7 +18,7 @@ CAPEX_SHARE = "0.05"
 VACANCY_SHARE = "0.05"
 DOWNPAYMENT_SHARE = "0.10"
 FIXED_MONTHLY_COST = "350.00"
-FINANCED_SHARE = "0.20"  # the balance falls from 90% to 70% of the price
+FINANCED_PART = 5  # the balance falls from 90% to 70% of the price: by a fifth of it
 
 
 def _number(c: Column | str) -> Column:
@@ -55,8 +55,9 @@ def round_money(c: Column | str, factor: str | None = None) -> Column:
 def term_length(price: Column | str, payment: Column | str) -> Column:
     """Months until the balance falls from 90% to 70% of the price; 0 without a payment.
 
-    In decimal: a payment that divides the amount exactly takes no month more.
+    In whole cents: a payment that divides the amount exactly takes no month more. All sums of ``MONEY_TYPE`` fit a long.
     """
-    p, m = money(price), money(payment)
-    months = F.ceil(p * F.lit(FINANCED_SHARE).cast("decimal(3,2)") / F.when(m > 0, m)).cast("bigint")
+    p, m = ((money(c) * 100).cast("bigint") for c in (price, payment))
+    paid = F.when(m > 0, m * FINANCED_PART)
+    months = F.call_function("div", p + paid - 1, paid)
     return F.coalesce(F.greatest(F.lit(0).cast("bigint"), months), F.lit(0).cast("bigint"))

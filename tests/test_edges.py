@@ -41,6 +41,22 @@ def test_kv_records(spark, tmp_path):
     assert [(r.price, r.bad_lines) for r in rows if r.address is None] == [("7", 0)]
 
 
+@pytest.mark.parametrize("split", ["16", "37", "1000"])
+def test_records_of_one_file_over_many_tasks(spark, tmp_path, split):
+    """A file of many records is read by ranges of bytes; each record belongs to the range that it begins in, wherever the cuts fall."""
+    records = [f"address: {i} Main\nprice: {'9' * (i % 40 + 1)}\nbroken" for i in range(300)]
+    path = write(tmp_path / "kv" / "all.txt", writers.RECORD_SEPARATOR.join(records))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = readers.scan_kv_records(spark, path, ["address"], separator=writers.RECORD_SEPARATOR)
+        assert found.rdd.getNumPartitions() >= 8
+        assert sorted((r.address, r.bad_lines) for r in found.collect()) == sorted((f"{i} Main", 1) for i in range(300))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_documents_json(spark, tmp_path):
     record = T.StructType.fromDDL("address string, price string")
     doc = {"Ann": {"Address 1": {"address": "x", "price": "$1"}, "Address 2": {"address": "y"}}, "Bob": {}}
