@@ -22,6 +22,7 @@ conversation is never held in one row or task.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -311,27 +312,36 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.unionByName(taken), convs.select("conv")
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by sequence and conversation: runs of ids of one sequence as text, with the first id and their number."""
+    names = ("cls", "first", "n", "ids")
+    for batch in batches:
+        rows = []
+        for cls, members in itertools.groupby(zip(batch.column("cls").to_pylist(), batch.column("conv").to_pylist(), strict=True), lambda r: r[0]):
+            ids = [conv for _, conv in members]
+            rows.append((cls, ids[0], len(ids), ",".join(map(str, ids))))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows, strict=True)], names)
+
+
 def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by sequence and conversation: how many conversations a sequence has, the first, and the hash of the list."""
+    """Of such runs in order: how many conversations a sequence has, the first, and the hash of the list."""
+    names = ("cls", "n", "lo", "ends")
     now, n, lo, sha = None, 0, None, None
 
-    def row() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"cls": [now], "n": pa.array([n], pa.int64()), "lo": pa.array([lo], pa.int64()), "ends": [sha.hexdigest()]})
-
     for batch in batches:
         rows = []
-        for cls, conv in zip(batch.column("cls").to_pylist(), batch.column("conv").to_pylist(), strict=True):
+        for cls, first, more, ids in zip(*(batch.column(c).to_pylist() for c in ("cls", "first", "n", "ids")), strict=True):
             if cls != now:
                 if sha is not None:
                     rows.append((now, n, lo, sha.hexdigest()))
-                now, n, lo, sha = cls, 0, conv, hashlib.sha256()
-            sha.update(f",{conv}".encode() if n else str(conv).encode())
-            n += 1
+                now, n, lo, sha = cls, 0, first, hashlib.sha256()
+            sha.update(f",{ids}".encode() if n else ids.encode())
+            n += more
         if rows:
-            names = ("cls", "n", "lo", "ends")
             yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows, strict=True)], names)
     if sha is not None:
-        yield row()
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (now, n, lo, sha.hexdigest())], names)
 
 
 def _tails(piece: int):
@@ -357,8 +367,8 @@ def trie(turns: DataFrame, convs: DataFrame | None = None, piece: int = PIECE, p
 
     ``turns`` has (conv, depth, dig, chars) with depths 1, 2, ... per conversation, ``convs`` every conversation (default: those
     of ``turns``). The root has depth 0 and no parent. A node's conv_id is its smallest member. Equal sequences are one sequence
-    with several members; their ids go through one task in sorted order, which SHA-256 over them needs, but are not held
-    in it. An empty table gives no node, not even a root.
+    with several members. SHA-256 takes their ids one after another: they are sorted and joined to runs in many tasks, and one task
+    hashes the runs of a sequence in order without holding them. An empty table gives no node, not even a root.
     """
     mark = F.sha2(F.concat_ws(":", "depth", "dig"), 256)
     lanes = [F.conv(F.substring(mark, at, 14), 16, 10).cast("decimal(18,0)").alias(name) for at, name in ((1, "a"), (15, "b"))]
@@ -368,9 +378,10 @@ def trie(turns: DataFrame, convs: DataFrame | None = None, piece: int = PIECE, p
     if convs is not None:
         sums = convs.join(sums, "conv", "left")
     name = F.concat_ws(":", F.coalesce("len", F.lit(0)), F.coalesce("a", zero), F.coalesce("b", zero))
-    members = sums.select("conv", name.alias("cls")).repartition("cls").sortWithinPartitions("cls", "conv")
+    members = stored(sums.select("conv", name.alias("cls"))).repartitionByRange("cls", "conv").sortWithinPartitions("cls", "conv")
+    runs = members.mapInArrow(released(_packed), "cls string, first bigint, n bigint, ids string").repartition("cls").sortWithinPartitions("cls", "first")
     classes = stored(
-        members.mapInArrow(released(_ending), "cls string, n bigint, lo bigint, ends string")
+        runs.mapInArrow(released(_ending), "cls string, n bigint, lo bigint, ends string")
         .withColumn("len", F.substring_index("cls", ":", 1).cast("bigint"))
     )
     pieces = _pieces(rows, classes, piece)
