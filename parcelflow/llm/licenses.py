@@ -1,9 +1,10 @@
 """License notices by conditional compression.
 
 A candidate block is the part of a text around words that notices use, cut into overlapping windows of a few
-template lengths. A window is compressed alone and with each template as the compressor's dictionary; how many bytes
-a template saves, as a share of what it saves on itself, tells whether the template is tried. It is confirmed word by
-word: every place of the window where it fits with few changes and holds the template's key words, and these changes.
+template lengths. A window is compressed alone and with each template as the compressor's dictionary; templates are ranked by how many bytes
+they save, as a share of what they save on themselves. From the top down, as long as they save enough, they are confirmed word by
+word: every place of the window where one fits with few changes and holds the template's key words, and these changes. Of places that
+overlap the one with more words in place wins, and among equals the better rank.
 
 The gate on words runs in the JVM, so that only texts with such a word reach Python.
 """
@@ -61,14 +62,53 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "LGPL-3.0-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "ISC-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "BSD-notice": "Released under the BSD License.",
+    "BSD-conditions": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0-notice": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means."
+    ),
 }
 # Words that tell a notice from those that are worded like it.
 KEYS = {
     "MIT-notice": ("mit",), "Apache-2.0-notice": ("apache", "2.0"), "GPL-3.0-notice": ("general", "3"),
     "CC-BY-NC-4.0-notice": ("by-nc", "4.0"), "CC-BY-4.0-notice": ("commons", "attribution", "4.0"),
     "MPL-2.0-notice": ("mozilla",), "Apache-2.0-header": ("apache", "2.0"), "GPL-3.0-header": ("general", "3"),
+    "GPL-2.0-notice": ("general", "2"), "GPL-2.0-header": ("general", "2"), "LGPL-2.1-header": ("lesser", "2.1"), "LGPL-3.0-header": ("lesser", "3"),
+    "AGPL-3.0-header": ("affero", "3"), "BSD-notice": ("bsd",), "CC-BY-SA-4.0-notice": ("commons", "attribution-sharealike", "4.0"),
+    "CC0-1.0-notice": ("waived", "neighboring"), "Unlicense": ("unencumbered",),
 }
-SCHEMA = "doc_id bigint, license string, start bigint, end bigint, saving double, changed_words int, similarity double, wording string, changes string"
+SCHEMA = "doc_id bigint, license string, start bigint, end bigint, saving double, rank int, changed_words int, similarity double, wording string, changes string"
 
 
 def words_of(text: str) -> list[tuple[str, int, int]]:
@@ -155,45 +195,58 @@ def compiled(templates: tuple[tuple[str, str], ...]) -> list[Template]:
 
 
 def _confirmed(words: list[str], low: int, high: int, templates: list[Template], min_saving: float, min_words: float) -> Iterator[tuple]:
-    """(place, saving) of the notices in one window."""
+    """(place, saving, rank) of the notices in one window, the template that saves most first."""
     data = " ".join(words[low:high]).encode()
     alone = len(_ALONE.compress(data))
-    for t in templates:
-        saving = t.saving(data, alone)
-        if saving >= min_saving:
-            for place in t.places(words, low, high, min_words):
-                yield place, saving
+    ranked = sorted(((t.saving(data, alone), t) for t in templates), key=lambda x: (-x[0], x[1].name))
+    for rank, (saving, t) in enumerate(ranked, 1):
+        if saving < min_saving:
+            break
+        for place in t.places(words, low, high, min_words):
+            yield place, saving, rank
+
+
+def classes_of(templates: list[Template]) -> list[list[Template]]:
+    """Templates by length: those of a class reach at most half as far again as its shortest, and are ranked against each other."""
+    classes: list[list[Template]] = []
+    for t in sorted(templates, key=lambda t: (t.reach, t.name)):
+        if classes and 2 * t.reach <= 3 * classes[-1][0].reach:
+            classes[-1].append(t)
+        else:
+            classes.append([t])
+    return classes
 
 
 def notices(text: str, templates: list[Template], min_saving: float = MIN_SAVING, min_words: float = MIN_WORDS) -> list[tuple]:
-    """(license, start, end, saving, changed words, similarity, wording, changes) of each notice in a text.
+    """(license, start, end, saving, rank, changed words, similarity, wording, changes) of each notice in a text.
 
-    Blocks and windows are as wide as their templates ask for, so that a short notice stands out. Of notices that
-    overlap, in one window or in two, the one with more words in place counts. A notice lacks none of its template's key words.
+    Blocks and windows are as wide as their templates ask for, so that a short notice stands out; templates of about one length are
+    ranked in one window. Of notices that overlap, in one window or in two, the one with more words in place counts, then the one
+    of better rank. A notice lacks none of its template's key words.
     """
     words = words_of(text)
     plain = [w for w, *_ in words]
-    savings: dict[tuple, float] = {}
-    for reach in sorted({t.reach for t in templates}):
-        some = [t for t in templates if t.reach == reach]
+    best: dict[tuple, tuple[int, float]] = {}  # place: rank, and minus the saving
+    for some in classes_of(templates):
+        reach = max(t.reach for t in some)
         for block in blocks(text, words, reach):
             for window in windows(*block, reach):
-                for place, saving in _confirmed(plain, *window, some, min_saving, min_words):
-                    savings[place] = max(saving, savings.get(place, saving))
+                for place, saving, rank in _confirmed(plain, *window, some, min_saving, min_words):
+                    best[place] = min((rank, -saving), best.get(place, (rank, -saving)))
     known = {t.name: t for t in templates}
     taken = np.zeros(len(words), bool)
-    found, queue = [], sorted(savings)
+    # Words in place lead, then the rank of the template.
+    found, queue = [], sorted((place[0], best[place][0], *place[1:]) for place in best)
     while queue:
-        place = heappop(queue)
-        _, changed, start, end, name = place
-        t, saving = known[name], savings[place]
+        in_place, rank, changed, start, end, name = heappop(queue)
+        t, (rank, saving) = known[name], best[in_place, changed, start, end, name]
         held = np.flatnonzero(taken[start:end])
         if len(held):
             # What is left of the place may still hold the notice with more changes.
             for rest in t.places(plain, start + int(held[-1]) + 1, end, min_words):
-                if rest[3] == end:
-                    savings[rest] = max(saving, savings.get(rest, saving))
-                    heappush(queue, rest)
+                if rest[3] == end and rest not in best:
+                    best[rest] = (rank, saving)
+                    heappush(queue, (rest[0], rank, *rest[1:]))
             continue
         taken[start:end] = True
         first, last = words[start][1], words[end - 1][2]
@@ -201,12 +254,12 @@ def notices(text: str, templates: list[Template], min_saving: float = MIN_SAVING
             f"{' '.join(t.words[a:b])} -> {' '.join(plain[start + c : start + d])}"
             for kind, a, b, c, d in SequenceMatcher(None, t.words, plain[start:end], autojunk=False).get_opcodes() if kind != "equal"
         )
-        found.append((t.name, first, last, saving, changed, 1 - changed / len(t.words), text[first:last], changes))
+        found.append((t.name, first, last, -saving, rank, changed, 1 - changed / len(t.words), text[first:last], changes))
     return sorted(found, key=lambda f: f[1])
 
 
 def _scan(templates: tuple, min_saving: float, min_words: float):
-    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.float64(), pa.string(), pa.string())
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.string(), pa.string())
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +278,7 @@ def _scan(templates: tuple, min_saving: float, min_words: float):
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text",
          min_saving: float = MIN_SAVING, min_words: float = MIN_WORDS) -> DataFrame:
-    """One row per notice: (id_col, license, start, end, saving, changed_words, similarity, wording, changes).
+    """One row per notice: (id_col, license, start, end, saving, rank, changed_words, similarity, wording, changes).
 
     start and end are places in the text, in characters. Null, empty and other texts without a notice give no
     row; repeated rows give repeated notices. Each template must hold a word of ``ANCHOR``.
