@@ -2,14 +2,53 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelflow.functions import contact, lexicon as lex, locality, markup
+from parcelflow.functions import contact, dom, lexicon as lex, locality, markup
 from parcelflow.functions.text import last_token, sentinel_to_null, strip
 
 SAVED, INVALID_ADDRESS, NO_CONTACT = "saved", "invalid_address", "no_contact"
 
 
+@dataclass(frozen=True)
+class Selectors:
+    """Where a listing page holds its fields: one selector for each, ``costs`` for the rows of the cost table."""
+
+    # The elements of the pages that listings are read from.
+    street: str = 'div[data-rf-test-id="abp-streetLine"]'
+    place: str = "div.dp-subtext.bp-cityStateZip"
+    price: str = "div.statsValue"
+    agent: str = "span.agent-basic-details--heading"
+    agent_name: str = "span"
+    contact: str = "div.agent-contact"
+    info: str = "div.remarks"
+    costs: str = "div.Row"
+
+
+def from_markup(
+    pages: DataFrame, keys: list[str], url: str, html: str, selectors: Selectors = Selectors(), lexicon: lex.Lexicon = lex.LISTING_LEXICON,
+) -> DataFrame:
+    """``listing_fields`` of pages of markup, by selectors. What a page does not hold is null.
+
+    The agent's name is the element ``agent_name`` inside the first ``agent`` element. The rows of the cost table are read as texts, so a cost is found beside
+    its label whatever elements lie between. The markup is cut into tokens once.
+    """
+    cut = pages.select(*keys, F.col(url).alias("_url"), dom.tokens(html).alias("_t"))
+    section = lambda s: dom.select_text("_t", s)
+    agent = dom.select_text(F.get(dom.select("_t", selectors.agent), 0)["inside"], selectors.agent_name)
+    texts = cut.select(
+        *keys, "_url", section(selectors.street).alias("_street"), section(selectors.place).alias("_where"), section(selectors.price).alias("_price"),
+        agent.alias("_agent"), section(selectors.contact).alias("_contact"), section(selectors.info).alias("_info"),
+        F.array_join(dom.select_texts("_t", selectors.costs), " ").alias("_costs"),
+    )
+    costs = F.concat_ws(" ", "_costs", "_info")
+    return listing_fields(
+        texts, keys, F.col("_url"), F.col("_street"), F.col("_where"), F.col("_price"), F.col("_agent"), F.col("_contact"), F.col("_info"), costs, lexicon,
+    )
+
+
 def listing_fields(
     pages: DataFrame, keys: list[str], url: Column, address: Column, place: Column, price: Column, agent: Column,
     contact_section: Column, info: Column, costs: Column, lexicon: lex.Lexicon = lex.LISTING_LEXICON,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelflow.functions import dom
-from parcelflow.operators import dedup, documents, enrich, frontier, rollup
+from parcelflow.operators import dedup, documents, enrich, extract, frontier, rollup
 from parcelflow.plans.documents import SIDES_SQL, merged
 from parcelflow.plans.extraction import element_sql
 from parcelflow.plans.frontier import passes
@@ -237,3 +237,34 @@ def select_elements(spark, sf_dir):
         dom.select_text("o", 'div.row[data-id="7"]').alias("nested"), dom.value_beside("o", "div.pair", "span.name", "span.value", "HOA").alias("beside"),
         dom.attribute(F.get(dom.select("o", "a[href]"), 0)["opening"], "href").alias("link"),
     )
+
+
+@query("listing_page_fields", """
+    SELECT c_custkey, c_custkey || ' Main & 1st St, City ' || c_nationkey || ', FL ' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS address,
+           'City ' || c_nationkey AS city, 'FL' AS state, lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS zip_code,
+           CASE WHEN c_custkey % 5 > 0 THEN '$' || c_custkey || ',000' END AS price, CASE WHEN c_custkey % 3 > 0 THEN CAST(1000 + c_custkey % 1000 AS INTEGER) END AS rent,
+           CAST(c_nationkey AS INTEGER) AS hoa_fee, CAST(7000 + c_custkey % 1000 AS INTEGER) AS property_taxes, CAST(NULL AS INTEGER) AS insurance, CAST(c_custkey AS INTEGER) AS principal_and_interest,
+           c_name AS agent_name, CASE WHEN c_custkey % 4 > 0 THEN '813-555-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') ELSE 'N/A' END AS phone_number,
+           c_custkey % 2 = 0 AS "Motivated", CASE WHEN c_custkey % 2 = 0 THEN 'Fixer Upper' END AS "Trigger Keyword", CASE WHEN c_custkey % 2 = 0 THEN 'fixer upper' END AS "Trigger Sentence",
+           CASE WHEN c_custkey % 2 = 0 THEN substr('a fixer upper near the river.' || CASE WHEN c_custkey % 3 > 0 THEN ' est. $1,' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') || ' per month' ELSE '' END, 1, 43) END AS "Trigger Context", 'https://h.example/' || c_custkey AS url,
+           CASE WHEN c_custkey % 4 > 0 THEN 'saved' ELSE 'no_contact' END AS outcome
+    FROM customer
+""")
+def listing_page_fields(spark, sf_dir):
+    """Listing pages from markup to rows: old values in comments and scripts, rows within rows, references, missing fields."""
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    html = F.concat(
+        F.lit("<html><!-- <div class='statsValue'>$1</div> --><script>var x = \"<div class='statsValue'>$2</div>\";</script><div class=top><div data-rf-test-id='abp-streetLine' title='a>b'>"),
+        key, F.lit(" Main &amp; 1st St </div><div class='dp-subtext  bp-cityStateZip'>City "), nation, F.lit(", FL "), F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0"),
+        F.lit("</div>"), F.when(F.col("c_custkey") % 5 > 0, F.concat(F.lit("<div class='statsValue'><span>$"), key, F.lit(",000</span></div>"))).otherwise(""),
+        F.lit("<span class='agent-basic-details--heading'>Listed by <span>"), F.col("c_name"), F.lit("</span></span><div class='agent-contact'>Call&nbsp;now "),
+        F.when(F.col("c_custkey") % 4 > 0, F.concat(F.lit("813-555-"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0"))).otherwise("none"),
+        F.lit("</div><div class='Row'><span class='Row--header'>Principal and interest</span><div><span class='Row--content'>$"), key,
+        F.lit(".75</span></div></div><div class='Row'><span>Property taxes</span> <b>$7,"), F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0"),
+        F.lit("</b></div><div class='Row'><span>HOA dues</span><span>$"), nation, F.lit("</span></div><div class='remarks'>A "),
+        F.when(F.col("c_custkey") % 2 == 0, "fixer <b>upper</b>").otherwise("home"), F.lit(" near the river."),
+        F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit(" Est. $1,"), F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0"), F.lit(" per month"))).otherwise(""),
+        F.lit("</div></div></html>"),
+    )
+    pages = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("https://h.example/"), key).alias("page_url"), html.alias("html"))
+    return extract.from_markup(pages, ["c_custkey"], "page_url", "html")

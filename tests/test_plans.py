@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 ONE_TASK = re.compile(r"SinglePartition.*\n.*HashAggregate\(keys=\[(__range#\d+)?\]")
 
 
-WORD_SEARCH = ["extract_listing_fields", "first_keyword_match", "keyword_match_scanned", "keyword_theta_join", "motivated_status"]
+WORD_SEARCH = ["extract_listing_fields", "first_keyword_match", "keyword_match_scanned", "keyword_theta_join", "listing_page_fields", "motivated_status"]
 
 
 def plan(spark, name):
