@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelflow.functions.text import let
 from parcelflow.llm.common import WORD, stored
 
 BLOCK_WORDS = 32
@@ -117,15 +118,28 @@ def _taken_of(block: Column) -> Column:
     Blocks come in the order of their ``turn``, a seeded step through their numbers. All have ``width`` words but the last, which lacks
     ``lack``; so the words of all blocks that come before one are known without a sum.
     """
-    def turn(b: Column) -> Column:
-        return F.pmod(b * F.pmod(F.lit(STEP), F.col("blocks")) + F.col("offset"), F.col("blocks"))
-
-    final = F.col("blocks") - 1
-    before = turn(block) * F.col("width") - F.when(turn(final) < turn(block), F.col("lack")).otherwise(F.lit(0))
-    size = F.col("width") - F.when(block == final, F.col("lack")).otherwise(F.lit(0))
+    turn = _turn(block)
+    before = turn * F.col("width") - F.when(F.col("last_turn") < turn, F.col("lack")).otherwise(F.lit(0))
+    size = F.col("width") - F.when(block == F.col("blocks") - 1, F.col("lack")).otherwise(F.lit(0))
     return F.least(size, F.greatest(F.lit(0), F.col("more") - before))
 
 
+def _turn(block: Column) -> Column:
+    return F.pmod(block * F.col("step") + F.col("offset"), F.col("blocks"))
+
+
+def _blocks_of() -> Column:
+    """The blocks that a document lies in."""
+    return F.sequence(F.floor(F.col("start") / F.col("width")), F.floor((F.col("end") - 1) / F.col("width")))
+
+
+def _held(block: Column) -> tuple[Column, Column]:
+    """Where a block begins in a document, from 0, and how many words of it the block takes once more; they follow each other."""
+    first = block * F.col("width")
+    low = F.greatest(F.col("start"), first)
+    return low - F.col("start"), F.greatest(F.lit(0), F.least(F.col("end"), first + _taken_of(block)) - low)
+
+
 def placed(rows: DataFrame, sources: DataFrame, shards: DataFrame) -> DataFrame:
     """``rows`` (doc_id, place, source, size, ...) with their place in the shard and what is taken of them.
 
@@ -141,14 +155,9 @@ def placed(rows: DataFrame, sources: DataFrame, shards: DataFrame) -> DataFrame:
         "rounds": F.floor(F.col("shard_quota") / some),
         "more": F.pmod("shard_quota", some),
         "offset": F.pmod(F.xxhash64("source_no", "shard", F.lit(SEED + 2)), F.col("blocks")),
-    })
-
-    def held(total: Column, block: Column) -> Column:
-        first = block * F.col("width")
-        return total + F.greatest(F.lit(0), F.least(F.col("end"), first + _taken_of(block)) - F.greatest(F.col("start"), first))
-
-    first, last = F.floor(F.col("start") / F.col("width")), F.floor((F.col("end") - 1) / F.col("width"))
-    part = F.aggregate(F.sequence(first, last), F.lit(0).cast("bigint"), held)
+        "step": F.pmod(F.lit(STEP), F.col("blocks")),
+    }).withColumn("last_turn", _turn(F.col("blocks") - 1))
+    part = F.aggregate(_blocks_of(), F.lit(0).cast("bigint"), lambda total, block: total + _held(block)[1])
     return at.withColumn("part", F.when(F.col("size") > 0, part).otherwise(F.lit(0).cast("bigint")))
 
 
@@ -191,11 +200,14 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     each = at.filter("size > 0 and copies > 0").withColumn("round", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     pieces = F.regexp_extract_all(F.col("row")[text_col], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
 
-    def is_taken(_: Column, i: Column) -> Column:
-        at = F.col("start") + i
-        return F.pmod(at, F.col("width")) < _taken_of(F.floor(at / F.col("width")))
+    def held(words_: Column) -> Column:
+        def of_block(block: Column) -> Column:
+            at, n = _held(block)
+            return F.slice(words_, (at + 1).cast("int"), n.cast("int"))
+
+        return F.flatten(F.transform(_blocks_of(), of_block))
 
-    kept = F.filter(pieces, is_taken)
+    kept = let(pieces, held)
     cut = F.col("round") > F.col("rounds")
     text = F.when(cut & (F.col("part") < F.col("size")), F.ltrim(F.array_join(kept, ""))).otherwise(F.col("row")[text_col])
     each = each.withColumn("_text", text)
