@@ -16,6 +16,7 @@ grows with the table or with a document's length.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -206,10 +207,23 @@ class Reader:
         self.file.close()
 
 
+#: A chunk that every byte-level pattern takes for one piece: Latin letters, with one space before them or none.
+LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
 class Chunks(dict):
     """Chunk of text to its ids; the tokenizer's own pattern parts a text at every border of chunks.
 
-    As in the library, names of added tokens in a text are these tokens, and what is between them is parted by itself.
+    As in the library, names of added tokens in a text are these tokens, and what is between them is parted by itself. A chunk
+    that is one piece goes to the library's BPE model as it is; where the tokenizer's steps before the model are not the plain byte-level
+    ones, all chunks go through all steps.
     """
 
     def __init__(self, path: str):
@@ -222,9 +236,19 @@ class Chunks(dict):
         self.whole = any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added)
         names = sorted((re.escape(t.content) for t in added if t.content), key=len, reverse=True)
         self.added = re.compile(f"({'|'.join(names)})") if names else None
+        steps = self.tokenizer.pre_tokenizer
+        kind = json.loads(steps.__getstate__()) if steps is not None else {}
+        plain = kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space") and self.tokenizer.normalizer is None
+        self.model = self.tokenizer.model if plain else None
+        self.letters = byte_letters()
+
+    def _encoded(self, chunk: str) -> list[int]:
+        if self.model is not None and LETTERS.fullmatch(chunk):
+            return [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.letters))]
+        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        ids = array("I", self._encoded(chunk)).tobytes()
         if len(chunk) <= bpe.LONGEST_KEPT:
             if len(self) >= MAX_CHUNKS:
                 self.clear()

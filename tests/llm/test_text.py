@@ -383,6 +383,15 @@ def test_names_of_added_tokens_are_tokens(text):
         assert np.frombuffer(b"".join(known.ids_of(t)), "<u4").tolist() == plain_tokenizer().encode(t, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("abcXYZ éßÀÖØöøÿ×÷ıƀɏɐ'-_1漢ʰª", max_size=20) | st.lists(st.sampled_from([" the", "tion", " été", "ß", " ", "'s"]), max_size=8).map("".join))
+def test_chunks_of_letters_go_to_the_model_alone(text):
+    known = tokenfile.Chunks.__new__(tokenfile.Chunks)
+    known.__dict__.update(tokenfile.chunks(tokenfile.default_tokenizer()).__dict__)
+    assert known.model is not None
+    assert np.frombuffer(b"".join(known.ids_of(text)), "<u4").tolist() == plain_tokenizer().encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 60), min_size=1, max_size=300))
 def test_blocks_round_trip(ids):
