@@ -83,9 +83,12 @@ def text_of(inside: Column) -> Column:
 
 def _raw_attribute(opening: Column, name: str) -> Column:
     """An attribute without its quotes; empty where it has no value, null where the tag does not have it."""
-    inside = F.regexp_extract(opening, rf"(?is)^<[a-z][^\s/>]*+({_INSIDE})>", 1)
-    at = F.array_position(F.regexp_extract_all(F.lower(inside), F.lit(ATTRIBUTE), F.lit(1)), name.lower())
-    raw = F.get(F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(2)), F.nullif(at, F.lit(0)).cast("int") - 1)
+
+    def named(inside: Column) -> Column:
+        at = F.array_position(F.regexp_extract_all(F.lower(inside), F.lit(ATTRIBUTE), F.lit(1)), name.lower())
+        return F.get(F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(2)), F.nullif(at, F.lit(0)).cast("int") - 1)
+
+    raw = let(F.regexp_extract(opening, rf"(?is)^<[a-z][^\s/>]*+({_INSIDE})>", 1), named)
     return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
@@ -98,7 +101,12 @@ def attribute(opening: Column, name: str) -> Column:
 
 
 def _fits(opening: Column, selector: Selector) -> Column:
+    """Whether an opening tag fits. Attributes are cut only from a tag that holds the wanted value somewhere."""
     fits = F.lit(True)
+    for name in selector.classes:
+        fits &= F.contains(opening, F.lit(name))
+    for _, value in selector.attributes:
+        fits &= F.contains(opening, F.lit(value or ""))
     for name in selector.classes:
         fits &= F.coalesce(F.array_contains(F.split(_raw_attribute(opening, "class"), r"\s+"), name), F.lit(False))
     for name, value in selector.attributes:
@@ -128,18 +136,26 @@ def _depths(steps: Column) -> Column:
         starts = fold(chunks, zero, over)
         return F.flatten(F.zip_with(chunks, starts, lambda c, x: fold(c, x, down)))
 
-    cut = F.transform(F.sequence(F.lit(1), F.size(steps), F.lit(CHUNK)), lambda at: F.slice(steps, at, F.lit(CHUNK)))
-    return F.when(F.size(steps) > 0, let(cut, of_chunks)).otherwise(none)
+    def of_steps(ks: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.size(ks), F.lit(CHUNK)), lambda at: F.slice(ks, at, F.lit(CHUNK)))
+        return F.when(F.size(ks) > CHUNK, let(cut, of_chunks)).otherwise(fold(ks, zero, down))
 
+    return let(steps, of_steps)
 
-def _spans(found: Column, tag: str) -> Column:
-    """(at, end) of the opening tags of one name, from tokens of all; both are places among them, from 0."""
-    opens, closes = rf"(?i)^<{tag}(?=[\s/>])", rf"(?i)^</{tag}(?=[\s/>])"
+
+def spans(found: Column | str, tag: str) -> Column:
+    """(at, end) of the opening tags of one name, from tokens of all; both are places among them, from 0. Null gives null.
+
+    They serve every selector of that name: kept in a column, they are worked out once for a page.
+    """
+    found = as_col(found)
     size = F.size(found)
     if tag in RAW or tag in VOID:
+        opens = rf"(?i)^<{tag}(?=[\s/>])"
         marks = F.transform(found, lambda t, i: F.when(t.rlike(opens), F.struct(i.alias("at"), (i + 1).alias("end"))))
         return F.array_compact(marks)
-    step = lambda t: F.when(t.rlike(opens), 1).when(t.rlike(closes), -1).otherwise(0)
+    either = rf"(?i)^</?{tag}(?=[\s/>])"
+    step = lambda t: F.when(t.startswith("<") & t.rlike(either), F.when(t.startswith("</"), -1).otherwise(1)).otherwise(0)
     marks = F.filter(F.transform(found, lambda t, i: F.struct(i.alias("at"), step(t).alias("step"))), lambda m: m["step"] != 0)
 
     def ended(order: Column) -> Column:
@@ -149,8 +165,9 @@ def _spans(found: Column, tag: str) -> Column:
             fits = (behind["level"] == m["level"]) & (F.lit(True) if tag in FLAT else behind["step"] == -1)
             return F.struct(m["at"].alias("at"), F.when(fits, behind["at"]).otherwise(size).alias("end"), m["step"].alias("step"))
 
-        spans = F.filter(F.transform(order, span), lambda s: s["step"] == 1)
-        return F.array_sort(F.transform(spans, lambda s: F.struct(s["at"].alias("at"), s["end"].alias("end"))))
+        opened = F.filter(F.transform(order, span), lambda s: s["step"] == 1)
+        # Not array_sort, which calls a comparing lambda for every pair.
+        return F.sort_array(F.transform(opened, lambda s: F.struct(s["at"].alias("at"), s["end"].alias("end"))))
 
     def levelled(ms: Column) -> Column:
         if tag in FLAT:
@@ -158,15 +175,16 @@ def _spans(found: Column, tag: str) -> Column:
         depth = _depths(F.transform(ms, lambda m: m["step"]))
         # An opening tag is one level deeper than what it stands in; a closing tag outside any has level 0.
         level = lambda m, d: F.struct(F.when(m["step"] == 1, d + 1).otherwise(d).alias("level"), m["at"].alias("at"), m["step"].alias("step"))
-        return F.array_sort(F.filter(F.zip_with(ms, depth, level), lambda m: m["level"] > 0))
+        return F.sort_array(F.filter(F.zip_with(ms, depth, level), lambda m: m["level"] > 0))
 
     return let(let(marks, levelled), ended)
 
 
-def select(found: Column | str, selector: str) -> Column:
+def select(found: Column | str, selector: str, at: Column | str | None = None) -> Column:
     """Elements that fit a selector, in page order: (opening, inside), the opening tag and the tokens up to its end.
 
-    ``found`` is a column of tokens: a whole page's, or the inside of an element. Null gives null.
+    ``found`` is a column of tokens: a whole page's, or the inside of an element. Null gives null. ``at`` is a column with the ``spans`` of the
+    selector's tag, for those who look for many selectors of one.
     """
     what = parse(selector)
 
@@ -179,7 +197,8 @@ def select(found: Column | str, selector: str) -> Column:
                 inside = F.slice(ts, s["at"] + 2, s["end"] - s["at"] - 1)
             return F.struct(opening.alias("opening"), inside.alias("inside"))
 
-        fitting = F.filter(_spans(ts, what.tag), lambda s: _fits(F.get(ts, s["at"]), what))
+        every = spans(ts, what.tag) if at is None else as_col(at)
+        fitting = F.filter(every, lambda s: _fits(F.get(ts, s["at"]), what))
         return F.transform(fitting, element)
 
     return let(as_col(found), elements)
@@ -192,14 +211,14 @@ def _content(element: Column, selector: str) -> Column:
     return text_of(element["inside"])
 
 
-def select_text(found: Column | str, selector: str) -> Column:
+def select_text(found: Column | str, selector: str, at: Column | str | None = None) -> Column:
     """The text of the first element that fits; null without one, or where it has none."""
-    return _content(F.get(select(found, selector), 0), selector)
+    return _content(F.get(select(found, selector, at), 0), selector)
 
 
-def select_texts(found: Column | str, selector: str) -> Column:
+def select_texts(found: Column | str, selector: str, at: Column | str | None = None) -> Column:
     """The texts of all elements that fit, in page order; null for one without text."""
-    return F.transform(select(found, selector), lambda e: _content(e, selector))
+    return F.transform(select(found, selector, at), lambda e: _content(e, selector))
 
 
 def value_beside(found: Column | str, row: str, header: str, content: str, label: str) -> Column:

@@ -33,15 +33,18 @@ def from_markup(
     """``listing_fields`` of pages of markup, by selectors. What a page does not hold is null.
 
     The agent's name is the element ``agent_name`` inside the first ``agent`` element. The rows of the cost table are read as texts, so a cost is found beside
-    its label whatever elements lie between. The markup is cut into tokens once.
+    its label whatever elements lie between. The markup is cut into tokens once, and the tags of one name are paired once for all selectors.
     """
     cut = pages.select(*keys, F.col(url).alias("_url"), dom.tokens(html).alias("_t"))
-    section = lambda s: dom.select_text("_t", s)
-    agent = dom.select_text(F.get(dom.select("_t", selectors.agent), 0)["inside"], selectors.agent_name)
+    on_page = [s for f, s in vars(selectors).items() if f != "agent_name"]
+    place = {s: f"_at_{dom.parse(s).tag}" for s in on_page}
+    cut = cut.select("*", *[dom.spans("_t", tag).alias(f"_at_{tag}") for tag in dict.fromkeys(dom.parse(s).tag for s in on_page)])
+    section = lambda s: dom.select_text("_t", s, place[s])
+    agent = dom.select_text(F.get(dom.select("_t", selectors.agent, place[selectors.agent]), 0)["inside"], selectors.agent_name)
     texts = cut.select(
         *keys, "_url", section(selectors.street).alias("_street"), section(selectors.place).alias("_where"), section(selectors.price).alias("_price"),
         agent.alias("_agent"), section(selectors.contact).alias("_contact"), section(selectors.info).alias("_info"),
-        F.array_join(dom.select_texts("_t", selectors.costs), " ").alias("_costs"),
+        F.array_join(dom.select_texts("_t", selectors.costs, place[selectors.costs]), " ").alias("_costs"),
     )
     costs = F.concat_ws(" ", "_costs", "_info")
     return listing_fields(

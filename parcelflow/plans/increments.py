@@ -266,5 +266,7 @@ def listing_page_fields(spark, sf_dir):
         F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit(" Est. $1,"), F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0"), F.lit(" per month"))).otherwise(""),
         F.lit("</div></div></html>"),
     )
-    pages = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("https://h.example/"), key).alias("page_url"), html.alias("html"))
+    # A row group may hold all rows of so narrow a table: dealt anew before they grow to pages, they go to all cores.
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name").repartition(2 * spark.sparkContext.defaultParallelism)
+    pages = rows.select("c_custkey", F.concat(F.lit("https://h.example/"), key).alias("page_url"), html.alias("html"))
     return extract.from_markup(pages, ["c_custkey"], "page_url", "html")

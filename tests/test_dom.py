@@ -104,3 +104,13 @@ def test_a_page_of_a_megabyte(spark):
     pages = ["<div>" * 3000 + "x" + "</div>" * 3000 + "<p>" + "y" * 1_000_000 + "</p><a " + "z='1' " * 50_000 + ">"]
     assert values(spark, pages, lambda t: dom.select_text(t, "div")) == ["x"]
     assert values(spark, pages, lambda t: dom.select_text(t, "p")) == ["y" * 1_000_000]
+
+
+def test_kept_spans_select_alike(spark):
+    """Selectors over spans that are kept give what they give alone, also where tags are more than are folded at a time."""
+    pages = ["<div class=a>1<div class='b a'>2</div></div></div><DIV class=b>3", "<div class=a>" * 300 + "x" + "</div>" * 300, "<p>", "", None]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string").select("i", dom.tokens("html").alias("t"))
+    kept = df.select("i", "t", dom.spans("t", "div").alias("at"))
+    got = kept.select(dom.select_texts("t", "div.a", "at").alias("a"), dom.select_texts("t", "div.b", "at").alias("b")).orderBy("i").collect()
+    assert [r.a and (r.a[0], len(r.a)) for r in got] == [("12", 2), ("x", 300), [], [], None]
+    assert [r.b for r in got] == [["2", "3"], [], [], [], None]

@@ -72,3 +72,12 @@ def test_page_novelty_reads_once_and_joins_nothing(spark):
 @pytest.mark.parametrize("name", ["first_keyword_match", "extract_links", "extract_tag_text", "normalize_key", "filter_exclude_any"])
 def test_raw_text_is_not_shuffled(spark, name):
     assert "Exchange" not in plan(spark, name)
+
+
+def test_listing_pages_pair_tags_once_and_use_all_cores(spark):
+    df = QUERIES["listing_page_fields"](spark, SF_DIR)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    # Six selectors of div elements share the places of their tags.
+    assert len(re.findall(r"\(\?i\)\^</?\??div\(", optimized)) == 1
+    assert "array_sort" not in optimized.lower() and "arraysort" not in optimized.lower()
+    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
