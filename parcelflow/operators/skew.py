@@ -8,6 +8,9 @@ totals before a range are added.
 
 Both plans give the same result; the count of rows per key only chooses between them. The table of
 totals that is broadcast has at most two rows per range.
+
+What the driver receives grows with the number of ranges: some hundred sampled rows, a task's result and two totals for each.
+So there are at most ``MAX_RANGES``, and beyond that they get longer; a range is sorted and totalled from disk where it does not fit.
 """
 
 from __future__ import annotations
@@ -19,6 +22,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from parcelflow.session import stored
 
 MAX_TASK_ROWS = 10_000_000
+MAX_RANGES = 1_000
+
+
+def _in_ranges(work: DataFrame, keys: list[str], order: list[str], rows: int, max_task_rows: int) -> DataFrame:
+    """The rows dealt by ranges of (key, order) of about ``max_task_rows``, stored, with the number of their range."""
+    ranges = min(MAX_RANGES, max(1, -(-rows // max_task_rows)))
+    return stored(work.repartitionByRange(ranges, *keys, *order).withColumn("__range", F.spark_partition_id()))
 
 
 def _totals_before(ranged: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,15 +60,14 @@ def running_total(
     if keys and (most or 0) <= max_task_rows:
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return work.withColumn(out, F.sum("__v").over(whole)).select(*df.columns, out)
-    ranges = max(1, -(-(rows or 0) // max_task_rows))
-    ranged = stored(work.repartitionByRange(ranges, *keys, *order).withColumn("__range", F.spark_partition_id()))
+    ranged = _in_ranges(work, keys, order, rows or 0, max_task_rows)
     totals = _totals_before(ranged, keys)
     same = reduce(
         lambda a, b: a & b, [ranged[k].eqNullSafe(totals[f"__o_{k}"]) for k in keys], ranged["__range"] == totals["__o_range"]
     )
     inside = Window.partitionBy(*keys, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranged.join(F.broadcast(totals), same, "left")  # at most two rows per range, one range per MAX_TASK_ROWS rows
+        ranged.join(F.broadcast(totals), same, "left")  # at most two rows per range, and MAX_RANGES ranges
         .withColumn(out, F.sum("__v").over(inside) + F.coalesce(F.col("__before"), F.lit(0)))
         .select(*df.columns, out)
     )
@@ -82,7 +91,7 @@ def last_known(
     if (most or 0) <= max_task_rows:
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return work.withColumn(out, F.last("__v", ignorenulls=True).over(whole)).select(*df.columns, out)
-    ranged = stored(work.repartitionByRange(-(-rows // max_task_rows), *keys, *order).withColumn("__range", F.spark_partition_id()))
+    ranged = _in_ranges(work, keys, order, rows, max_task_rows)
     has = F.when(F.col("__v").isNotNull(), F.struct(*order))
     per_range = ranged.groupBy(*keys, "__range").agg(F.max_by("__v", has).alias("__s"))
     by_key = Window.partitionBy(*keys)

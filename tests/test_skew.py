@@ -176,3 +176,19 @@ def test_hot_listing_key_is_split_at_run_time(spark):
     assert len(rows) == 300_000
     assert sum(r.matched for r in rows if r.addr_key == "hot") == 100_000
     assert "skew=true" in plan
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_ranges_have_a_bound(spark, monkeypatch, keys):
+    """However few rows a range may have, the ranges, each of which costs the driver memory, do not grow with the table."""
+    made = []
+    monkeypatch.setattr(skew, "MAX_RANGES", 7)
+    monkeypatch.setattr(skew, "stored", lambda df: made.append(df.rdd.getNumPartitions()) or df.localCheckpoint())
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "k int, t int, id int, v int")
+    out = skew.running_total(df, keys, ["t", "id"], "total", F.col("v"), max_task_rows=2)
+    want = {i: total for i, (total, _) in expected(rows, bool(keys)).items()}
+    assert {r.id: r.total for r in out.collect()} == want
+    if keys:
+        skew.last_known(df, keys, ["t", "id"], F.col("v"), "last", max_task_rows=2).collect()
+    assert made == [7] * len(made) and made
